@@ -79,14 +79,12 @@ def first_line(text: Column) -> Column:
     return F.element_at(F.split(text, "\n"), 1)
 
 
-def extractive_answers(questions: DataFrame, hits: DataFrame, query_id: str = "qid", out: str = "answer") -> DataFrame:
+def extractive_answer(hits: Column) -> Column:
     """Built-in offline answer: the first line of the best hit."""
-    best = hits.filter("rk = 1").select(query_id, first_line(F.col("text")).alias(out))
-    return questions.join(best, query_id, "left").withColumn(out, F.coalesce(F.col(out), F.lit(NOT_IN_CONTEXT)))
+    best = F.try_element_at(hits, F.lit(1))["text"]
+    return F.coalesce(first_line(best), F.lit(NOT_IN_CONTEXT))
 
 
-def compare_answers(with_context: DataFrame, without_context: DataFrame, query_id: str = "qid") -> DataFrame:
-    """Answers of the two ways side by side."""
-    return with_context.select(query_id, "question", F.col("answer").alias("rag_answer")).join(
-        without_context.select(query_id, F.col("answer").alias("direct_answer")), query_id
-    )
+def compare_answers(with_context: DataFrame, generator, question: str = "question") -> DataFrame:
+    """Add ``direct_answer``, given without context, beside ``answer``."""
+    return with_context.withColumn("direct_answer", generated(F.col(question), generator))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import BROADCAST_BYTES, NLIST, SearchConfig
 from ..functions.vectors import l2_normalize, squared_norm
-from .search import QueryBlock, _hit_schema, block_search, fetch_queries, matrix_of, rank, scan_search
+from .search import QueryBlock, _hit_schema, block_search, bounded, fetch_queries, matrix_of, rank, scan_search
 
 CELL = "cell_id"
 
@@ -127,10 +127,10 @@ def probed_top_k(
         if len(wanted) < len(centroids.cells):
             indexed = indexed.filter(F.col(CELL).isin([int(c) for c in wanted]))
         winners = scan_search(indexed, block, hit_schema, query_id, keys, vector, config.k, CELL)
-    else:
-        winners = _probed_blocks(
-            indexed, queries, centroids, hit_schema, keys, query_id, vector, query_vector, config
-        )
+        return bounded(rank(winners, query_id, keys, config.k), table.num_rows, config.k)
+    winners = _probed_blocks(
+        indexed, queries, centroids, hit_schema, keys, query_id, vector, query_vector, config
+    )
     return rank(winners, query_id, keys, config.k)
 
 

@@ -28,13 +28,13 @@ def context_line(source: Column, chunk_index: Column, score: Column, text: Colum
     )
 
 
-def context_blocks(hits: DataFrame, query_id: str = "qid", label: str = "score") -> DataFrame:
-    """One row per query that has hits: its contexts in rank order."""
-    line = context_line(F.col("source_file"), F.col("chunk_index"), F.col("score"), F.col("text"), label)
-    ranked = F.array_sort(F.collect_list(F.struct(F.col("rk"), line.alias("line"))))
-    return hits.groupBy(query_id).agg(
-        F.array_join(F.transform(ranked, lambda s: s["line"]), CONTEXT_SEPARATOR).alias("context")
+def context_block(hits: Column, label: str = "score") -> Column:
+    """Contexts of an array of hits, in its order; an empty string without hits."""
+    lines = F.transform(
+        hits,
+        lambda h: context_line(h["source_file"], h["chunk_index"], h["score"], h["text"], label),
     )
+    return F.coalesce(F.array_join(lines, CONTEXT_SEPARATOR), F.lit(""))
 
 
 def prompt_text(context: Column, question: Column) -> Column:
@@ -46,13 +46,8 @@ def prompt_text(context: Column, question: Column) -> Column:
     )
 
 
-def build_prompts(
-    questions: DataFrame, hits: DataFrame, query_id: str = "qid", question: str = "question", label: str = "score"
-) -> DataFrame:
-    """Questions with ``context`` and ``prompt``; one without hits keeps an empty context."""
-    blocks = context_blocks(hits, query_id, label)
-    return (
-        questions.join(blocks, query_id, "left")
-        .withColumn("context", F.coalesce(F.col("context"), F.lit("")))
-        .withColumn("prompt", prompt_text(F.col("context"), F.col(question)))
+def build_prompts(gathered: DataFrame, question: str = "question", hits: str = "hits", label: str = "score") -> DataFrame:
+    """Add ``context`` and ``prompt``; a question without hits keeps an empty context."""
+    return gathered.withColumn("context", context_block(F.col(hits), label)).withColumn(
+        "prompt", prompt_text(F.col("context"), F.col(question))
     )

@@ -72,8 +72,12 @@ def first_errors(log: DataFrame, n: int = SHOWN_ERRORS) -> DataFrame:
     )
 
 
+def _micros(moment: Column) -> Column:
+    return F.unix_micros(moment.cast("timestamp"))
+
+
 def _seconds(moment: Column) -> Column:
-    return F.unix_micros(moment) / F.lit(1e6)
+    return _micros(moment) / F.lit(1e6)
 
 
 def throughput(log: DataFrame, finished: str = "finished_at", wall_clock_s: float | None = None) -> DataFrame:
@@ -101,7 +105,7 @@ def progress(log: DataFrame, finished: str = "finished_at", every_s: int = PROGR
     of ticks and over the blocks, so no window sees more than a bounded part.
     """
     per_block = 4096
-    tick = F.floor(F.unix_micros(F.col(finished)) / F.lit(every_s * 1_000_000)).cast("long")
+    tick = F.floor(_micros(F.col(finished)) / F.lit(every_s * 1_000_000)).cast("long")
     ticks = log.groupBy(tick.alias("tick")).agg(F.count("*").alias("n"))
     ticks = ticks.withColumn("block", F.floor(F.col("tick") / per_block))
     blocks = ticks.groupBy("block").agg(F.sum("n").alias("block_n"), F.min("tick").alias("block_first"))
@@ -127,7 +131,7 @@ def progress(log: DataFrame, finished: str = "finished_at", every_s: int = PROGR
         .select(
             "elapsed_s",
             "processed",
-            F.round(F.col("processed") / F.col("total") * 100, 1).alias("pct"),
+            F.round(F.col("processed") * 100 / F.col("total"), 6).alias("pct"),
             F.round(rate, 6).alias("rate"),
             F.round((F.col("total") - F.col("processed")) / rate / 60, 3).alias("eta_min"),
         )

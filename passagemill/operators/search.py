@@ -33,6 +33,7 @@ _SCORES_AT_ONCE = 4_000_000
 _EMIT_ROWS = 10_000
 _FIRST_LOOK = 1_000
 _MOST_PARTITIONS = 50_000
+_SMALL_HITS = 200_000
 
 
 def matrix_of(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -159,6 +160,11 @@ def rank(candidates: DataFrame, query_id: str, keys: list[str], k: int) -> DataF
     )
 
 
+def bounded(hits: DataFrame, queries: int, k: int) -> DataFrame:
+    """Mark hits as small if queries times k, both known, are few."""
+    return F.broadcast(hits) if queries * k <= _SMALL_HITS else hits
+
+
 def fetch_queries(queries: DataFrame, query_id: str, vector: str, limit_bytes: int):
     """The query table if its matrix fits in ``limit_bytes``, else None.
 
@@ -327,13 +333,13 @@ def top_k(
     if table is not None:
         block = QueryBlock.of(table.column(query_id), table.column(query_vector))
         winners = scan_search(collection, block, hit_schema, query_id, keys, vector, config.k)
-    else:
-        everything = F.lit(0).alias("__cell")
-        winners = block_search(
-            collection.select("*", everything),
-            queries.select("*", everything),
-            hit_schema, query_id, keys, vector, query_vector, "__cell", config,
-        )
+        return bounded(rank(winners, query_id, keys, config.k), table.num_rows, config.k)
+    everything = F.lit(0).alias("__cell")
+    winners = block_search(
+        collection.select("*", everything),
+        queries.select("*", everything),
+        hit_schema, query_id, keys, vector, query_vector, "__cell", config,
+    )
     return rank(winners, query_id, keys, config.k)
 
 
@@ -351,7 +357,11 @@ def top_k_of(
     return winners.drop("qid").orderBy(F.col("score").desc(), *keys).limit(k)
 
 
-def nest_hits(hits: DataFrame, query_id: str = "qid", fields: tuple[str, ...] = ()) -> DataFrame:
-    """One row per query with its hits, best first, as ``array<struct>``."""
-    row = F.struct("rk", *[c for c in (fields or hits.columns) if c not in (query_id, "rk")])
-    return hits.groupBy(query_id).agg(F.array_sort(F.collect_list(row)).alias("hits"))
+def gather_hits(questions: DataFrame, hits: DataFrame, query_id: str = "qid") -> DataFrame:
+    """Questions with their hits, best first, as ``array<struct>`` (empty without hits).
+
+    The lists hold at most ``k`` hits each.
+    """
+    row = F.struct("rk", *[c for c in hits.columns if c not in (query_id, "rk")])
+    lists = hits.groupBy(query_id).agg(F.array_sort(F.collect_list(row)).alias("hits"))
+    return questions.join(lists, query_id, "left").withColumn("hits", F.coalesce(F.col("hits"), F.array()))

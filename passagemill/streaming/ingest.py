@@ -41,7 +41,7 @@ def ingest_stream(
     spark: SparkSession, source: str, target: str, checkpoint: str, schema: str | StructType = DOCUMENTS,
     key: str = "doc_id", text: str = "text", file_format: str = "json", files_per_batch: int = 1000,
     collection: CollectionConfig = CollectionConfig(), chunk: ChunkConfig = ChunkConfig(), embedder=None,
-    stream_id: str = "ingest",
+    stream_id: str = "ingest", options: dict | None = None,
 ):
     """Start a query that takes all new files of ``source`` into ``target`` and stops.
 
@@ -49,7 +49,11 @@ def ingest_stream(
     a stream with a new checkpoint a ``stream_id`` of its own.
     """
     documents = (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).format(file_format).load(source)
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .options(**(options or {}))
+        .format(file_format)
+        .load(source)
     )
     chunks = text_chunks(documents, key, text, chunk)
 
