@@ -83,7 +83,7 @@ def windows(df: DataFrame) -> DataFrame:
 
 
 def packed(df: DataFrame) -> DataFrame:
-    return greedy_chunks(line_units(df, "text"))
+    return greedy_chunks(line_units(df, "text"), collapsed=True)
 
 
 def chunk_vectors(docs: DataFrame, chunker) -> DataFrame:
@@ -121,7 +121,7 @@ def page_units(spark, sf):
 
 def page_chunks(spark, sf):
     pages = spread(_table(spark, sf, "pages", "page_id", "html"))
-    return explode_chunks(greedy_chunks(html_units(pages, "html")), ["page_id"])
+    return explode_chunks(greedy_chunks(html_units(pages, "html"), collapsed=True), ["page_id"])
 
 
 def token_counts(spark, sf):

@@ -18,21 +18,26 @@ from ..sources.jsonl import write_chunks
 LOG_COLUMNS = ("source_file", "status", "page_count", "chunk_count", "error", "duration_s", "actor_host")
 
 
-def chunk_documents(parsed: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
+def chunk_documents(parsed: DataFrame, config: ChunkConfig = ChunkConfig(), collapsed: bool = False) -> DataFrame:
     """Add ``chunks`` and ``chunk_count`` and settle the status of parsed documents."""
-    out = greedy_chunks(parsed, "units", config.max_tokens)
-    n = chunk_count(F.col("chunks"))
-    all_blank = (F.col("status") == "success") & (n == 0)
+    out = greedy_chunks(parsed, "units", config.max_tokens, collapsed=collapsed).withColumn("__n", chunk_count(F.col("chunks")))
+    success = F.col("status") == "success"
+    all_blank = success & (F.col("__n") == 0)
     return (
-        out.withColumn("chunk_count", F.when(F.col("status") == "success", n).otherwise(0).cast("long"))
+        out.withColumn("chunk_count", F.when(success, F.col("__n")).otherwise(0).cast("long"))
         .withColumn("error", F.when(all_blank, "All chunks empty").otherwise(F.col("error")))
         .withColumn("status", F.when(all_blank, "empty").otherwise(F.col("status")))
-        .drop("units")
+        .drop("units", "__n")
     )
 
 
 def chunk_rows(chunked: DataFrame, index_mode: str = "position") -> DataFrame:
-    return explode_chunks(chunked.filter("status = 'success'"), ["source_key", "source_file"], "chunks", index_mode)
+    """Chunk rows of parsed documents. Failed and empty ones have no chunks.
+
+    There is no filter on ``status`` on purpose: the optimizer would push it, with
+    the whole chunking expression in it, below the chunking and run that twice.
+    """
+    return explode_chunks(chunked, ["source_key", "source_file"], "chunks", index_mode)
 
 
 def run_log(chunked: DataFrame) -> DataFrame:

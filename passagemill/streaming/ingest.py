@@ -34,7 +34,7 @@ def _write_batch(rows: DataFrame, batch_id: int, stream_id: str, path: str) -> N
 def text_chunks(documents: DataFrame, key: str = "doc_id", text: str = "text", chunk: ChunkConfig = ChunkConfig()) -> DataFrame:
     """Text documents to chunk rows; works on a batch and on a stream."""
     parsed = native_documents(line_units(documents, text), key, key)
-    return chunk_rows(chunk_documents(parsed, chunk), chunk.index_mode)
+    return chunk_rows(chunk_documents(parsed, chunk, collapsed=True), chunk.index_mode)
 
 
 def ingest_stream(
