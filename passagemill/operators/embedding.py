@@ -74,7 +74,7 @@ def hashed_vectors(text: Column, dim: int = EMBEDDING_DIM, normalize: bool = Fal
             place = table[np.asarray(coded.indices)]
             row = np.repeat(np.arange(n), lengths)
             flat = np.bincount(row * dim + place[:, 0], weights=place[:, 1], minlength=n * dim)
-            matrix = flat.reshape(n, dim)
+            matrix = flat.astype(np.float64, copy=False).reshape(n, dim)  # bincount of nothing counts in int
             yield _to_lists(_unit_rows(matrix) if normalize else matrix)
 
     return hash_tokens(words(F.lower(F.coalesce(text, F.lit("")))))
