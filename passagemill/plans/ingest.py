@@ -155,10 +155,7 @@ def append_indexed(
     fresh = chunks.withColumn("id", store.chunk_id(*key)).join(known, "id", "left_anti").drop("id")
     rows, _ = collection_rows(fresh, config, embedder, key)
     indexed = materialise(assign_cells(rows, centroids), "append")
-    (
-        indexed.select(*store.open_collection(spark, config).columns)
-        .write.mode("append").format("parquet").partitionBy(CELL).saveAsTable(store.full_name(config))
-    )
+    store.append(indexed.select(*store.open_collection(spark, config).columns), config, CELL)
 
 
 def of_model(collection: DataFrame, model: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..config import CollectionConfig
 from ..functions.vectors import has_dim
 
+_MOST_WRITERS = 50_000
 COLUMNS = ("id", "source_file", "chunk_index", "text", "embedding")
 
 
@@ -74,28 +75,64 @@ def find_database(spark: SparkSession, name: str) -> str | None:
     return None
 
 
-def create_or_replace(df: DataFrame, config: CollectionConfig, partition_by: str | None = None) -> None:
+def even_files(df: DataFrame, column: str, rows_per_file: int) -> DataFrame:
+    """Lay rows out for a table partitioned by ``column``.
+
+    Each value gets as many files as its rows ask for, each file from one task, so
+    a value that holds a third of all rows is written by many tasks and a rare one
+    does not leave a file per task. ``df`` is read twice: pass a stored table.
+    """
+    parts = df.groupBy(column).agg(
+        F.ceil(F.count("*") / F.lit(rows_per_file)).cast("long").alias("__parts")
+    )
+    files = parts.agg(F.sum("__parts").alias("n")).head()["n"] or 1
+    # One row per partition folder, so it is small. Null-safe: rows without a value stay.
+    spread_out = df.alias("d").join(
+        F.broadcast(parts.withColumnRenamed(column, "__value")), F.col(f"d.{column}").eqNullSafe(F.col("__value")), "left"
+    )
+    return (
+        spread_out.withColumn("__part", F.pmod(F.xxhash64("id"), F.col("__parts")))
+        .repartition(min(int(files), _MOST_WRITERS), column, "__part")
+        .drop("__parts", "__part", "__value")
+    )
+
+
+def create_or_replace(
+    df: DataFrame, config: CollectionConfig, partition_by: str | None = None, rows_per_file: int = 1_000_000
+) -> None:
     """Destructive: an existing collection of this name is dropped.
 
-    The new rows are written to a side table first, so a failed job leaves the
-    old collection untouched.
+    All rows are computed and written aside first, so a failure in parsing or
+    embedding leaves the old collection untouched. A plain table is then renamed;
+    a partitioned one is laid out from the side table.
     """
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{config.database}`")
     side = f"`{config.database}`.`{config.name}__new`"
     spark.sql(f"DROP TABLE IF EXISTS {side}")
-    writer = df.write.format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.saveAsTable(side)
+    df.write.format("parquet").saveAsTable(side)
     spark.sql(f"DROP TABLE IF EXISTS {full_name(config)}")
-    spark.sql(f"ALTER TABLE {side} RENAME TO {full_name(config)}")
-
-
-def append(df: DataFrame, config: CollectionConfig, max_rows_per_file: int = 0) -> None:
-    df.write.mode("append").option("maxRecordsPerFile", max_rows_per_file).format("parquet").saveAsTable(
-        full_name(config)
-    )
+    if partition_by is None:
+        spark.sql(f"ALTER TABLE {side} RENAME TO {full_name(config)}")
+        return
+    even_files(spark.table(side), partition_by, rows_per_file).write.format("parquet").partitionBy(
+        partition_by
+    ).saveAsTable(full_name(config))
+    spark.sql(f"DROP TABLE {side}")
+
+
+def append(
+    df: DataFrame, config: CollectionConfig, partition_by: str | None = None, rows_per_file: int = 1_000_000
+) -> None:
+    """Add rows. With ``partition_by``, ``df`` must be a stored table."""
+    if partition_by is None:
+        df.write.mode("append").option("maxRecordsPerFile", rows_per_file).format("parquet").saveAsTable(
+            full_name(config)
+        )
+        return
+    even_files(df, partition_by, rows_per_file).write.mode("append").format("parquet").partitionBy(
+        partition_by
+    ).saveAsTable(full_name(config))
 
 
 def open_collection(spark: SparkSession, config: CollectionConfig) -> DataFrame:
