@@ -26,6 +26,8 @@ EMBEDDINGS_ROUTE = "/v1/embeddings"
 # ------------------------------------------------------------------------------
 
 _VECTOR = "array<float>"
+_CELLS_AT_ONCE = 4_000_000
+_KNOWN_TOKENS = 1_000_000
 
 
 def _to_lists(matrix: np.ndarray) -> pa.Array:
@@ -59,23 +61,28 @@ def hashed_vectors(text: Column, dim: int = EMBEDDING_DIM, normalize: bool = Fal
     @F.arrow_udf(_VECTOR)
     def hash_tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known: dict[str, tuple[int, int]] = {}
-        for tokens in batches:
-            n = len(tokens)
-            lengths = np.diff(np.asarray(tokens.offsets))
-            coded = tokens.flatten().dictionary_encode()
-            if len(known) > 1_000_000:
-                known.clear()
-            table = np.zeros((len(coded.dictionary), 2), dtype=np.int64)
-            for i, token in enumerate(coded.dictionary.to_pylist()):
-                place = known.get(token)
-                if place is None:
-                    place = known[token] = _bucket(token, dim)
-                table[i] = place
-            place = table[np.asarray(coded.indices)]
-            row = np.repeat(np.arange(n), lengths)
-            flat = np.bincount(row * dim + place[:, 0], weights=place[:, 1], minlength=n * dim)
-            matrix = flat.astype(np.float64, copy=False).reshape(n, dim)  # bincount of nothing counts in int
-            yield _to_lists(_unit_rows(matrix) if normalize else matrix)
+        step = max(1, _CELLS_AT_ONCE // dim)
+        for batch in batches:
+            parts = []
+            for at in range(0, len(batch), step):
+                tokens = batch.slice(at, step)
+                n = len(tokens)
+                lengths = np.diff(np.asarray(tokens.offsets))
+                coded = tokens.flatten().dictionary_encode()
+                if len(known) > _KNOWN_TOKENS:
+                    known.clear()
+                table = np.zeros((len(coded.dictionary), 2), dtype=np.int64)
+                for i, token in enumerate(coded.dictionary.to_pylist()):
+                    place = known.get(token)
+                    if place is None:
+                        place = known[token] = _bucket(token, dim)
+                    table[i] = place
+                place = table[np.asarray(coded.indices)]
+                row = np.repeat(np.arange(n), lengths)
+                flat = np.bincount(row * dim + place[:, 0], weights=place[:, 1], minlength=n * dim)
+                matrix = flat.astype(np.float64, copy=False).reshape(n, dim)  # bincount of nothing counts in int
+                parts.append(_to_lists(_unit_rows(matrix) if normalize else matrix))
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float32()))
 
     return hash_tokens(words(F.lower(F.coalesce(text, F.lit("")))))
 

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ..config import BROADCAST_BYTES, NLIST, SearchConfig
 from ..functions.vectors import l2_normalize, squared_norm
-from .search import QueryBlock, _hit_schema, block_search, bounded, fetch_queries, matrix_of, rank, scan_search
+from ..session import materialise
+from .search import SCORES_AT_ONCE, QueryBlock, _hit_schema, block_search, bounded, fetch_queries, matrix_of, rank, scan_search
 
 CELL = "cell_id"
 
@@ -39,21 +40,25 @@ def train_centroids(
     vector: str = "embedding",
     seed: int = 42,
     iterations: int = 10,
-    fraction: float = 1.0,
+    rows_per_cell: int | None = 1024,
 ) -> DataFrame:
-    """KMeans on the unit vectors. ``fraction < 1`` trains on a sample; which cell
-    a row falls into may change by that, but every row still falls into one."""
+    """KMeans on the unit vectors.
+
+    The iterations run over about ``rows_per_cell * nlist`` random rows (all rows
+    for None): centroids hardly move beyond that. Which rows were drawn changes the
+    cut of the cells, never their content: every row is assigned to a cell later.
+    """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     usable = vectors.filter(squared_norm(F.col(vector)) > 0)
-    if fraction < 1.0:
-        usable = usable.sample(fraction=fraction, seed=seed)
-    points = usable.select(array_to_vector(l2_normalize(F.col(vector))).alias("features")).cache()
-    try:
-        model = KMeans(k=max(2, nlist), seed=seed, maxIter=iterations, featuresCol="features").fit(points)
-    finally:
-        points.unpersist()
+    if rows_per_cell is not None:
+        fraction = rows_per_cell * nlist / max(1, vectors.count())
+        if fraction < 1.0:
+            usable = usable.sample(fraction=fraction, seed=seed)
+    points = usable.select(array_to_vector(l2_normalize(F.col(vector))).alias("features"))
+    points = materialise(points.repartition(points.sparkSession.sparkContext.defaultParallelism), "training")
+    model = KMeans(k=max(2, nlist), seed=seed, maxIter=iterations, featuresCol="features").fit(points)
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     return vectors.sparkSession.createDataFrame(rows, f"{CELL} int, centroid array<double>")
 
@@ -71,14 +76,20 @@ class Centroids:
         norms = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
         self.units = np.divide(matrix, norms, out=matrix.copy(), where=norms > 0)
 
+    def _in_slices(self, matrix: np.ndarray, pick) -> np.ndarray:
+        """``pick`` on the cosines of a slice of rows, so that memory stays bounded."""
+        step = max(1, SCORES_AT_ONCE // max(1, len(self.cells)))
+        parts = [pick(matrix[at : at + step] @ self.units.T) for at in range(0, max(1, len(matrix)), step)]
+        return self.cells[np.concatenate(parts)]
+
     def nearest(self, matrix: np.ndarray) -> np.ndarray:
         """Closest cell per row by cosine; ties go to the lower cell."""
-        return self.cells[np.argmax(matrix @ self.units.T, axis=1)]
+        return self._in_slices(matrix, lambda cosines: np.argmax(cosines, axis=1))
 
     def probes(self, matrix: np.ndarray, nprobe: int) -> np.ndarray:
         """The ``nprobe`` closest cells per row, closest first."""
-        order = np.argsort(-(matrix @ self.units.T), axis=1, kind="stable")
-        return self.cells[order[:, : min(nprobe, len(self.cells))]]
+        n = min(nprobe, len(self.cells))
+        return self._in_slices(matrix, lambda cosines: np.argsort(-cosines, axis=1, kind="stable")[:, :n])
 
 
 def assign_cells(df: DataFrame, centroids: Centroids, vector: str = "embedding") -> DataFrame:

@@ -29,11 +29,13 @@ from pyspark.sql import types as T
 from ..config import SearchConfig
 from ..session import materialise
 
-_SCORES_AT_ONCE = 4_000_000
+SCORES_AT_ONCE = 4_000_000
 _EMIT_ROWS = 10_000
 _FIRST_LOOK = 1_000
 _MOST_PARTITIONS = 50_000
 _SMALL_HITS = 200_000
+_LARGE_K = 100
+_MERGE_PARTS = 64
 
 
 def matrix_of(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +105,7 @@ class BestK:
                 self._add_rows(asking, rows.take(pa.array(here)), matrix[here], squares[here])
 
     def _add_rows(self, asking: np.ndarray, rows: pa.Table, matrix: np.ndarray, squares: np.ndarray) -> None:
-        step = max(1, _SCORES_AT_ONCE // max(1, len(asking)))
+        step = max(1, SCORES_AT_ONCE // max(1, len(asking)))
         q, qs = self.q.matrix[asking], self.q.squares[asking]
         for at in range(0, len(squares), step):
             dots = q @ matrix[at : at + step].T
@@ -151,8 +153,23 @@ def _hit_schema(queries: DataFrame, query_id: str, collection: DataFrame, keys:
 
 
 def rank(candidates: DataFrame, query_id: str, keys: list[str], k: int) -> DataFrame:
-    """Best ``k`` candidates per query with their rank ``rk`` (1 is best)."""
-    window = Window.partitionBy(query_id).orderBy(F.col("score").desc(), *keys)
+    """Best ``k`` candidates per query with their rank ``rk`` (1 is best).
+
+    Every task hands in up to ``k`` candidates per query. For a large ``k`` that is
+    too much for the one task a query ends in, so they are thinned out in parallel
+    parts of each query first.
+    """
+    best_first = [F.col("score").desc(), *keys]
+    if k > _LARGE_K:
+        part = F.pmod(F.xxhash64(*keys), F.lit(_MERGE_PARTS))
+        window = Window.partitionBy(query_id, "__part").orderBy(*best_first)
+        candidates = (
+            candidates.withColumn("__part", part)
+            .withColumn("rk", F.row_number().over(window))
+            .filter(F.col("rk") <= k)
+            .drop("rk", "__part")
+        )
+    window = Window.partitionBy(query_id).orderBy(*best_first)
     return (
         candidates.withColumn("rk", F.row_number().over(window))
         .filter(F.col("rk") <= k)

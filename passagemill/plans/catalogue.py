@@ -167,17 +167,22 @@ def hashed_embedding(spark, sf):
 
 
 def chunk_embedding(spark, sf):
-    """Vectors of all chunks, summed up per component."""
-    return (
-        chunk_vectors(documents(spark, sf), windows)
-        .select(F.posexplode("embedding").alias("dim", "v"))
-        .groupBy("dim")
-        .agg(
-            F.sum(F.col("v").cast("long")).alias("total"),
-            F.sum((F.col("v") * F.col("v")).cast("long")).alias("energy"),
+    """A digest of each chunk's vector, folded on its row."""
+    start = F.struct(*[F.lit(0).cast("long").alias(n) for n in ("pos", "nonzero", "energy", "weighted")])
+
+    def step(acc, x):
+        v = x.cast("long")
+        return F.struct(
+            (acc["pos"] + 1).alias("pos"),
+            (acc["nonzero"] + (v != 0).cast("long")).alias("nonzero"),
+            (acc["energy"] + v * v).alias("energy"),
+            (acc["weighted"] + v * (acc["pos"] + 1)).alias("weighted"),
         )
-        .select(F.col("dim").cast("long").alias("dim"), "total", "energy")
-    )
+
+    rows = chunk_vectors(documents(spark, sf), windows)
+    return rows.select(
+        F.col("source_file").alias("doc_id"), "chunk_index", F.aggregate("embedding", start, step).alias("d")
+    ).select("doc_id", "chunk_index", "d.nonzero", "d.energy", "d.weighted")
 
 
 def l2_normalize_query(spark, sf):

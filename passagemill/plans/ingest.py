@@ -151,8 +151,12 @@ def append_indexed(
     Chunks whose id is already stored are left out, so a repeated call adds nothing.
     """
     spark = chunks.sparkSession
-    known = store.open_collection(spark, config).select("id")
-    fresh = chunks.withColumn("id", store.chunk_id(*key)).join(known, "id", "left_anti").drop("id")
+    # The new ids are stored, so the planner knows their size and can send them to
+    # the collection instead of shuffling the collection to them.
+    chunks = chunks.withColumn("id", store.chunk_id(*key))
+    new_ids = materialise(chunks.select("id"), "ids")
+    known = store.open_collection(spark, config).select("id").join(new_ids, "id", "left_semi")
+    fresh = chunks.join(known, "id", "left_anti").drop("id")
     rows, _ = collection_rows(fresh, config, embedder, key)
     indexed = materialise(assign_cells(rows, centroids), "append")
     store.append(indexed.select(*store.open_collection(spark, config).columns), config, CELL)

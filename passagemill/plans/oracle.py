@@ -273,8 +273,11 @@ FROM (SELECT (SELECT count(*) FROM documents) AS documents, count(*) AS chunks,
     "hashed_embedding": _with(QUESTIONS, hashed("qv", "questions", "qid", "question"), select="SELECT qid, dim, v FROM qv"),
     "chunk_embedding": _with(
         WINDOWS, hashed("cv", "win", "doc_id, chunk_index", "text"),
-        select=f"""SELECT d.dim, cast(coalesce(sum(v), 0) AS bigint) AS total, cast(coalesce(sum(v * v), 0) AS bigint) AS energy
-FROM (SELECT unnest(range(0, {EMBEDDING_DIM})) AS dim) d LEFT JOIN cv ON cv.dim = d.dim GROUP BY d.dim""",
+        select="""SELECT w.doc_id, w.chunk_index, count(cv.dim) AS nonzero,
+  cast(coalesce(sum(cv.v * cv.v), 0) AS bigint) AS energy,
+  cast(coalesce(sum(cv.v * (cv.dim + 1)), 0) AS bigint) AS weighted
+FROM win w LEFT JOIN cv ON cv.doc_id = w.doc_id AND cv.chunk_index = w.chunk_index
+GROUP BY w.doc_id, w.chunk_index""",
     ),
     "l2_normalize": """SELECT vec_id, pos, round(CASE WHEN norm > 0 THEN x / norm ELSE x END, 6) AS x FROM (
   SELECT vec_id, cast(unnest(embedding) AS double) AS x, generate_subscripts(embedding, 1) - 1 AS pos,

@@ -47,7 +47,7 @@ def data():
     return vectors, queries
 
 
-@pytest.mark.parametrize("k", [1, 5, 1000])
+@pytest.mark.parametrize("k", [1, 5, 1000])  # 1000 takes the two-step ranking
 @pytest.mark.parametrize("path", [{}, BLOCKS])
 def test_exact_search_with_ties(spark, data, k, path):
     vectors, queries = data

@@ -1,4 +1,5 @@
 import json
+import time
 
 from passagemill.plans import ask
 from passagemill.streaming.ingest import ProgressLog, _write_batch, current_rows, ingest_stream, question_stream, text_chunks
@@ -30,6 +31,10 @@ def test_stream_takes_new_files_once(spark, tmp_path):
     run(spark, tmp_path)
     got = sorted((r["source_file"], r["text"]) for r in current_rows(spark, str(tmp_path / "out")).collect())
     assert got == [("1", "a\nb"), ("2", "short"), ("3", "new")]
+    for _ in range(100):  # events arrive a little later
+        if sum(n for _, n, _ in seen.seen) >= 4:
+            break
+        time.sleep(0.1)
     spark.streams.removeListener(seen)
     assert sum(n for _, n, _ in seen.seen) >= 4
 
