@@ -9,6 +9,9 @@ from ..config import CHUNK_TOKENS
 from ..functions.text import not_blank, token_count, words
 
 
+_PAGE = 256
+
+
 def _windows(tokens: Column, cap: int) -> Column:
     """Cut a token array into consecutive slices of ``cap`` tokens."""
     n = F.size(tokens)
@@ -41,8 +44,9 @@ def greedy_chunks(
     ``collapsed`` says that the white space in the units is collapsed already, as
     the built-in units have it, which makes counting cheaper.
 
-    The fold keeps the start positions only, so its state grows by one number per
-    chunk and not per unit.
+    A fold over the token counts finds where chunks start. Spark copies the state of
+    a fold at every step, so the fold runs page by page: a step copies the starts of
+    one page, and only the step from page to page copies all of them.
     """
 
     def pieces(u: Column) -> Column:
@@ -69,30 +73,46 @@ def greedy_chunks(
             u["brk"].alias("brk"), token_count(u["text"], collapsed).alias("n"), u["text"].alias("text")
         ),
     )
-    start_state = F.struct(
-        F.lit(0).cast("long").alias("held"),
-        F.lit(0).alias("at"),
-        F.array().cast("array<int>").alias("starts"),
-    )
+    no_starts = F.array().cast("array<int>")
+
+    def state(held: Column, at: Column, starts: Column) -> Column:
+        return F.struct(held.alias("held"), at.alias("at"), starts.alias("starts"))
 
     def step(acc: Column, p: Column) -> Column:
         fresh = (acc["at"] == 0) | p["brk"] | (acc["held"] + p["n"] > cap)
-        return F.struct(
-            F.when(fresh, p["n"]).otherwise(acc["held"] + p["n"]).alias("held"),
-            (acc["at"] + 1).alias("at"),
-            F.when(fresh, F.concat(acc["starts"], F.array(acc["at"]))).otherwise(acc["starts"]).alias("starts"),
+        return state(
+            F.when(fresh, p["n"]).otherwise(acc["held"] + p["n"]),
+            acc["at"] + 1,
+            F.when(fresh, F.concat(acc["starts"], F.array(acc["at"]))).otherwise(acc["starts"]),
+        )
+
+    def page_step(acc: Column, page: Column) -> Column:
+        done = F.array(F.aggregate(page, state(acc["held"], acc["at"], no_starts), step))
+        return F.element_at(
+            F.transform(done, lambda d: state(d["held"], d["at"], F.concat(acc["starts"], d["starts"]))), 1
         )
 
+    sizes = F.transform("__pieces", lambda p: F.struct(p["brk"].alias("brk"), p["n"].alias("n")))
+    pages = F.transform(
+        F.array(sizes),
+        lambda all_sizes: F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(all_sizes) - 1) / _PAGE).cast("int")),
+            lambda i: F.slice(all_sizes, i * _PAGE + 1, F.lit(_PAGE)),
+        ),
+    )
+    folded = F.aggregate(
+        F.element_at(pages, 1), state(F.lit(0).cast("long"), F.lit(0), no_starts), page_step, lambda acc: acc["starts"]
+    )
+    starts = F.when(F.size("__pieces") > 0, folded).otherwise(no_starts)
+
     def chunk(s: Column, i: Column) -> Column:
         end = F.coalesce(F.try_element_at("__starts", i + 2), F.size("__pieces"))
-        return F.array_join(
-            F.transform(F.slice("__pieces", s + 1, end - s), lambda p: p["text"]), "\n"
-        )
+        return F.array_join(F.transform(F.slice("__pieces", s + 1, end - s), lambda p: p["text"]), "\n")
 
     return (
         df.withColumn("__counted", counted)
         .withColumn("__pieces", F.flatten(F.transform("__counted", pieces)))
-        .withColumn("__starts", F.aggregate("__pieces", start_state, step, lambda acc: acc["starts"]))
+        .withColumn("__starts", starts)
         .withColumn(out, F.transform("__starts", chunk))
         .drop("__counted", "__pieces", "__starts")
     )

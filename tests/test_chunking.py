@@ -69,6 +69,15 @@ def test_exact_cap_and_one_more(spark):
     assert got[1][1] == "w"
 
 
+def test_many_units_against_brute_force(spark):
+    rng = random.Random(1)
+    docs = [
+        [(rng.random() < 0.02, " ".join(["w"] * rng.choice([1, 2, 5, 9, 30]))) for _ in range(n)]
+        for n in (255, 256, 257, 512, 513, 3000)
+    ]
+    assert packed(spark, docs, 20) == [greedy(d, 20) for d in docs]
+
+
 def test_very_long_document(spark):
     text = " ".join(f"w{i}" for i in range(200_000))
     got = packed(spark, [[(False, text)]], 256)[0]
