@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +14,47 @@ from ..functions.text import not_blank, token_count, words
 
 _PAGE = 256
 
+#: Builds a tokenizer: text -> list of (start, end) character positions of its tokens.
+#: It runs once per task.
+MakeTokenizer = Callable[[], Callable[[str], list[tuple[int, int]]]]
+
+_SPAN = pa.struct([("n", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
+
+
+def token_spans(texts: Column, make_tokenizer: MakeTokenizer, cap: int) -> Column:
+    """For each text of an array, the windows of at most ``cap`` tokens it is cut
+    into: ``array<array<struct<n, start, end>>>``. A text without tokens is one
+    window of none."""
+
+    @F.arrow_udf("array<array<struct<n:long,start:int,end:int>>>")
+    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokenize = make_tokenizer()
+
+        def windows(text: str) -> list[dict]:
+            spans = tokenize(text)
+            if not spans:
+                return [{"n": 0, "start": 0, "end": len(text)}]
+            parts = [spans[i : i + cap] for i in range(0, len(spans), cap)]
+            return [{"n": len(p), "start": p[0][0], "end": p[-1][1]} for p in parts]
+
+        for batch in batches:
+            rows = [None if row is None else [windows(t) for t in row] for row in batch.to_pylist()]
+            yield pa.array(rows, pa.list_(pa.list_(_SPAN)))
+
+    return cut(texts)
+
+
+def tokenizer_count(text: Column, make_tokenizer: MakeTokenizer) -> Column:
+    """Number of tokens a tokenizer finds."""
+
+    @F.arrow_udf("long")
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokenize = make_tokenizer()
+        for batch in batches:
+            yield pa.array([None if t is None else len(tokenize(t)) for t in batch.to_pylist()], pa.int64())
+
+    return count(text)
+
 
 def _windows(tokens: Column, cap: int) -> Column:
     """Cut a token array into consecutive slices of ``cap`` tokens."""
@@ -34,13 +78,21 @@ def token_windows(df: DataFrame, text: str, cap: int = CHUNK_TOKENS, out: str =
 
 
 def greedy_chunks(
-    df: DataFrame, units: str = "units", cap: int = CHUNK_TOKENS, out: str = "chunks", collapsed: bool = False
+    df: DataFrame,
+    units: str = "units",
+    cap: int = CHUNK_TOKENS,
+    out: str = "chunks",
+    collapsed: bool = False,
+    make_tokenizer: MakeTokenizer | None = None,
 ) -> DataFrame:
     """Pack consecutive units while their tokens stay within ``cap``.
 
     A unit over the cap is first cut into windows. A chunk never runs across a
     unit whose ``brk`` is set. Texts of a chunk are joined by a newline.
 
+    Tokens are white-space separated words, or what the tokenizer says. Only unit
+    texts go to a tokenizer's process, and only numbers come back.
+
     ``collapsed`` says that the white space in the units is collapsed already, as
     the built-in units have it, which makes counting cheaper.
 
@@ -67,12 +119,35 @@ def greedy_chunks(
         )
         return F.when(u["n"] <= cap, whole).otherwise(cut)
 
-    counted = F.transform(
-        F.filter(F.col(units), lambda u: not_blank(u["text"])),
-        lambda u: F.struct(
-            u["brk"].alias("brk"), token_count(u["text"], collapsed).alias("n"), u["text"].alias("text")
-        ),
-    )
+    def spanned_pieces(u: Column, spans: Column) -> Column:
+        return F.transform(
+            spans,
+            lambda w, i: F.struct(
+                (u["brk"] & (i == 0)).alias("brk"),
+                w["n"].alias("n"),
+                F.when(F.size(spans) == 1, u["text"])
+                .otherwise(F.substr(u["text"], w["start"] + 1, w["end"] - w["start"]))
+                .alias("text"),
+            ),
+        )
+
+    kept = F.filter(F.col(units), lambda u: not_blank(u["text"]))
+    if make_tokenizer is None:
+        counted = F.transform(
+            kept,
+            lambda u: F.struct(
+                u["brk"].alias("brk"), token_count(u["text"], collapsed).alias("n"), u["text"].alias("text")
+            ),
+        )
+        df = df.withColumn("__counted", counted)
+        cut = F.flatten(F.transform("__counted", pieces))
+    else:
+        df = df.withColumn("__counted", kept)
+        df = df.withColumn(
+            "__spans", token_spans(F.transform("__counted", lambda u: u["text"]), make_tokenizer, cap)
+        )
+        cut = F.flatten(F.zip_with("__counted", "__spans", spanned_pieces))
+
     no_starts = F.array().cast("array<int>")
 
     def state(held: Column, at: Column, starts: Column) -> Column:
@@ -110,11 +185,10 @@ def greedy_chunks(
         return F.array_join(F.transform(F.slice("__pieces", s + 1, end - s), lambda p: p["text"]), "\n")
 
     return (
-        df.withColumn("__counted", counted)
-        .withColumn("__pieces", F.flatten(F.transform("__counted", pieces)))
+        df.withColumn("__pieces", cut)
         .withColumn("__starts", starts)
         .withColumn(out, F.transform("__starts", chunk))
-        .drop("__counted", "__pieces", "__starts")
+        .drop("__counted", "__spans", "__pieces", "__starts")
     )
 
 

@@ -10,7 +10,14 @@ from ..functions.status import known_status, stored_error
 from ..functions.text import base_name, cache_name, not_blank, preview, service_name, stem, token_count
 from ..functions.vectors import has_dim, l2_normalize
 from ..operators import reports
-from ..operators.chunking import chunk_count, explode_chunks, greedy_chunks, numbered, token_windows
+from ..operators.chunking import (
+    chunk_count,
+    explode_chunks,
+    greedy_chunks,
+    numbered,
+    token_windows,
+    tokenizer_count,
+)
 from ..operators.embedding import embed, hashed_vectors, vectors_of_reply
 from ..operators.generation import extractive_answer, first_line, generated
 from ..operators.ivf import (
@@ -128,6 +135,23 @@ def token_counts(spark, sf):
     return documents(spark, sf).select("doc_id", token_count(F.col("text")).alias("n_tokens"))
 
 
+def four_letters():
+    """A stand-in for a sub-word tokenizer: pieces of at most four characters."""
+    import re
+
+    return lambda text: [m.span() for m in re.finditer(r"[^ \t\n\x0b\f\r]{1,4}", text)]
+
+
+def tokenizer_counts(spark, sf):
+    return documents(spark, sf).select("doc_id", tokenizer_count(F.col("text"), four_letters).alias("n_tokens"))
+
+
+def tokenizer_chunks(spark, sf):
+    """Packing bounded by a tokenizer's count instead of words."""
+    docs = greedy_chunks(line_units(documents(spark, sf), "text"), make_tokenizer=four_letters)
+    return explode_chunks(docs, ["doc_id"])
+
+
 def token_windows_query(spark, sf):
     return explode_chunks(windows(documents(spark, sf)), ["doc_id"])
 
@@ -529,6 +553,8 @@ QUERIES = {
     "page_units": page_units,
     "page_chunks": page_chunks,
     "token_counts": token_counts,
+    "tokenizer_counts": tokenizer_counts,
+    "tokenizer_chunks": tokenizer_chunks,
     "token_windows": token_windows_query,
     "greedy_chunks": greedy_chunks_query,
     "chunk_index_modes": chunk_index_modes,

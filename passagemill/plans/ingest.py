@@ -18,9 +18,13 @@ from ..sources.jsonl import write_chunks
 LOG_COLUMNS = ("source_file", "status", "page_count", "chunk_count", "error", "duration_s", "actor_host")
 
 
-def chunk_documents(parsed: DataFrame, config: ChunkConfig = ChunkConfig(), collapsed: bool = False) -> DataFrame:
+def chunk_documents(
+    parsed: DataFrame, config: ChunkConfig = ChunkConfig(), collapsed: bool = False, make_tokenizer=None
+) -> DataFrame:
     """Add ``chunks`` and ``chunk_count`` and settle the status of parsed documents."""
-    out = greedy_chunks(parsed, "units", config.max_tokens, collapsed=collapsed).withColumn("__n", chunk_count(F.col("chunks")))
+    out = greedy_chunks(
+        parsed, "units", config.max_tokens, collapsed=collapsed, make_tokenizer=make_tokenizer
+    ).withColumn("__n", chunk_count(F.col("chunks")))
     success = F.col("status") == "success"
     all_blank = success & (F.col("__n") == 0)
     return (
@@ -45,14 +49,17 @@ def run_log(chunked: DataFrame) -> DataFrame:
 
 
 def parse_step(
-    files: DataFrame, make_parser, chunk_path: str, parse: ParseConfig = ParseConfig(), chunk: ChunkConfig = ChunkConfig()
+    files: DataFrame, make_parser, chunk_path: str, parse: ParseConfig = ParseConfig(),
+    chunk: ChunkConfig = ChunkConfig(), make_tokenizer=None,
 ) -> DataFrame:
     """First step: parse, chunk and write the chunk files. Returns the run log.
 
     Parsing is by far the dearest stage, so its result is written once and both
     outputs are read from that table.
     """
-    chunked = materialise(chunk_documents(parse_files(files, make_parser, parse), chunk), "chunked")
+    chunked = materialise(
+        chunk_documents(parse_files(files, make_parser, parse), chunk, make_tokenizer=make_tokenizer), "chunked"
+    )
     log = run_log(chunked)
     check_error_rate(log, parse.max_error_rate)
     write_chunks(chunk_rows(chunked, chunk.index_mode), chunk_path)
@@ -108,13 +115,15 @@ def load_step(
 
 def single_step(
     files: DataFrame, make_parser, config: CollectionConfig = CollectionConfig(), embedder=None,
-    parse: ParseConfig = ParseConfig(), chunk: ChunkConfig = ChunkConfig(),
+    parse: ParseConfig = ParseConfig(), chunk: ChunkConfig = ChunkConfig(), make_tokenizer=None,
 ) -> DataFrame:
     """Files to collection without chunk files between. Returns the run log.
 
     The collection is the same as after the two steps.
     """
-    chunked = materialise(chunk_documents(parse_files(files, make_parser, parse), chunk), "chunked")
+    chunked = materialise(
+        chunk_documents(parse_files(files, make_parser, parse), chunk, make_tokenizer=make_tokenizer), "chunked"
+    )
     log = run_log(chunked)
     check_error_rate(log, parse.max_error_rate)
     load_step(chunk_rows(chunked, chunk.index_mode), config, embedder, allow_empty=True)

@@ -81,14 +81,18 @@ units AS (
          CASE WHEN kind = '' THEN 'text' ELSE kind END AS kind, heading, text
   FROM headed WHERE text <> '')"""
 
-# needs a CTE "units"; yields "greedy (doc, chunk_index, text)"
-GREEDY = rf"""counted AS (
-  SELECT doc, unit_no, brk, text, {words('text')} AS w FROM units),
+def greedy(tokens: str, glue: str) -> str:
+    """Needs a CTE ``units``; yields ``greedy (doc, chunk_index, text)``."""
+
+    def part(i: str) -> str:
+        return f"list_slice(w, {i} * {CAP} + 1, {i} * {CAP} + {CAP})"
+
+    return rf"""counted AS (
+  SELECT doc, unit_no, brk, text, {tokens} AS w FROM units),
 cut AS (
   SELECT doc, unit_no, 0 AS part, brk, len(w) AS n, text FROM counted WHERE len(w) <= {CAP}
   UNION ALL
-  SELECT doc, unit_no, i, brk AND i = 0, len(list_slice(w, i * {CAP} + 1, i * {CAP} + {CAP})),
-         array_to_string(list_slice(w, i * {CAP} + 1, i * {CAP} + {CAP}), ' ')
+  SELECT doc, unit_no, i, brk AND i = 0, len({part('i')}), trim(array_to_string({part('i')}, '{glue}'))
   FROM (SELECT doc, unit_no, brk, w, unnest(range(0, (len(w) - 1) // {CAP} + 1)) AS i
         FROM counted WHERE len(w) > {CAP})),
 numbered AS (
@@ -105,6 +109,11 @@ greedy AS (
   FROM fold f JOIN numbered p ON p.doc = f.doc AND p.pos = f.pos
   GROUP BY f.doc, f.chunk)"""
 
+
+GREEDY = greedy(words("text"), " ")
+# pieces of up to four characters, each with the space behind it
+GREEDY_FOUR = greedy("regexp_extract_all(text, '[^ ]{1,4} ?')", "")
+
 WINDOWS = rf"""win AS (
   SELECT doc_id, source, i AS chunk_index, array_to_string(list_slice(w, i * {CAP} + 1, i * {CAP} + {CAP}), ' ') AS text
   FROM (SELECT doc_id, source, w, unnest(range(0, (len(w) - 1) // {CAP} + 1)) AS i
@@ -248,6 +257,10 @@ ORACLE = {
         PAGE_UNITS, GREEDY, select="SELECT doc AS page_id, chunk_index, text FROM greedy", recursive=True
     ),
     "token_counts": f"SELECT doc_id, len({words('text')}) AS n_tokens FROM documents",
+    "tokenizer_counts": r"SELECT doc_id, len(regexp_extract_all(text, '[^\s]{1,4}')) AS n_tokens FROM documents",
+    "tokenizer_chunks": _with(
+        LINES, DOC_UNITS, GREEDY_FOUR, select="SELECT doc AS doc_id, chunk_index, text FROM greedy", recursive=True
+    ),
     "token_windows": _with(WINDOWS, select="SELECT doc_id, chunk_index, text FROM win"),
     "greedy_chunks": _with(
         LINES, DOC_UNITS, GREEDY, select="SELECT doc AS doc_id, chunk_index, text FROM greedy", recursive=True

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from passagemill.operators.chunking import explode_chunks, greedy_chunks, numbered, token_windows
+from passagemill.operators.chunking import explode_chunks, greedy_chunks, numbered, token_windows, tokenizer_count
 from passagemill.operators.units import explode_units, html_units, line_units
 
 
@@ -119,3 +119,30 @@ def test_html_units_and_sections(spark):
 def test_line_units_skip_blanks(spark):
     df = line_units(spark.createDataFrame([(1, "a  b\n \n \nc")], "d long, text string"), "text")
     assert [r["text"] for r in explode_units(df, ["d"]).orderBy("unit_no").collect()] == ["a b", "c"]
+
+
+def make_subword_tokenizer():
+    from tokenizers import Tokenizer, models, pre_tokenizers, trainers
+
+    tokenizer = Tokenizer(models.BPE())
+    tokenizer.pre_tokenizer = pre_tokenizers.Whitespace()
+    tokenizer.train_from_iterator(["the cat sat on the mat, été"], trainers.BpeTrainer(vocab_size=30, show_progress=False))
+    return lambda text: tokenizer.encode(text).offsets
+
+
+def test_packing_with_a_subword_tokenizer(spark):
+    pytest.importorskip("tokenizers")
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    tokenize = make_subword_tokenizer()
+    text = "the cat sat on the mat, été " * 9
+    rows = [(1, [(False, "p", "", text.strip()), (False, "p", "", "the cat"), (False, "p", "", "!!")])]
+    df = spark.createDataFrame(rows, "doc long, units array<struct<brk:boolean,kind:string,heading:string,text:string>>")
+    chunks = greedy_chunks(df, cap=10, make_tokenizer=make_subword_tokenizer).head()["chunks"]
+    assert all(len(tokenize(c)) <= 10 for c in chunks)
+    assert " ".join(chunks).replace(" ", "").replace("\n", "") == (text + "the cat!!").replace(" ", "")
+    got = df.select(tokenizer_count(F.col("units")[0]["text"], make_subword_tokenizer)).head()[0]
+    assert got == len(tokenize(text))
