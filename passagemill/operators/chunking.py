@@ -77,6 +77,47 @@ def token_windows(df: DataFrame, text: str, cap: int = CHUNK_TOKENS, out: str =
     )
 
 
+# The nested lambdas below read better, and reach the planner faster, as SQL.
+# array(x) around a transform binds x, so that it is computed once.
+
+# units over the cap become windows
+_CUT_WORDS = r"""
+flatten(transform(__counted, u -> IF(u.n <= {cap}, array(u),
+  flatten(transform(array(filter(split(u.text, '\\s+'), w -> w <> '')), ws ->
+    transform(sequence(0, CAST(floor((size(ws) - 1) / {cap}) AS INT)), i ->
+      named_struct(
+        'brk', u.brk AND i = 0,
+        'n', CAST(least({cap}, size(ws) - i * {cap}) AS BIGINT),
+        'text', array_join(slice(ws, i * {cap} + 1, {cap}), ' '))))))))
+"""
+
+# positions in __pieces where chunks start: a fold over the pages, in it one over a page
+_STARTS = """
+IF(size(__pieces) = 0, CAST(array() AS ARRAY<INT>),
+  aggregate(
+    element_at(transform(
+      array(transform(__pieces, p -> named_struct('brk', p.brk, 'n', p.n))),
+      sizes -> transform(
+        sequence(0, CAST(floor((size(sizes) - 1) / {page}) AS INT)),
+        i -> slice(sizes, i * {page} + 1, {page}))), 1),
+    named_struct('held', 0L, 'pos', 0, 'starts', CAST(array() AS ARRAY<INT>)),
+    (acc, page) -> element_at(transform(
+      array(aggregate(page,
+        named_struct('held', acc.held, 'pos', acc.pos, 'starts', CAST(array() AS ARRAY<INT>)),
+        (a, p) -> IF(a.pos = 0 OR p.brk OR a.held + p.n > {cap},
+          named_struct('held', p.n, 'pos', a.pos + 1, 'starts', concat(a.starts, array(a.pos))),
+          named_struct('held', a.held + p.n, 'pos', a.pos + 1, 'starts', a.starts)))),
+      d -> named_struct('held', d.held, 'pos', d.pos, 'starts', concat(acc.starts, d.starts))), 1),
+    acc -> acc.starts))
+"""
+
+_JOIN = r"""
+transform(__starts, (s, i) -> array_join(transform(
+  slice(__pieces, s + 1, coalesce(try_element_at(__starts, i + 2), size(__pieces)) - s),
+  p -> p.text), '\n'))
+"""
+
+
 def greedy_chunks(
     df: DataFrame,
     units: str = "units",
@@ -101,24 +142,6 @@ def greedy_chunks(
     one page, and only the step from page to page copies all of them.
     """
 
-    def pieces(u: Column) -> Column:
-        # F.array(...) binds the token array, so a long unit is split once.
-        whole = F.array(F.struct(u["brk"].alias("brk"), u["n"].alias("n"), u["text"].alias("text")))
-        cut = F.flatten(
-            F.transform(
-                F.array(words(u["text"])),
-                lambda ws: F.transform(
-                    _windows(ws, cap),
-                    lambda w, i: F.struct(
-                        (u["brk"] & (i == 0)).alias("brk"),
-                        F.size(w).cast("long").alias("n"),
-                        F.array_join(w, " ").alias("text"),
-                    ),
-                ),
-            )
-        )
-        return F.when(u["n"] <= cap, whole).otherwise(cut)
-
     def spanned_pieces(u: Column, spans: Column) -> Column:
         return F.transform(
             spans,
@@ -140,7 +163,7 @@ def greedy_chunks(
             ),
         )
         df = df.withColumn("__counted", counted)
-        cut = F.flatten(F.transform("__counted", pieces))
+        cut = F.expr(_CUT_WORDS.format(cap=cap))
     else:
         df = df.withColumn("__counted", kept)
         df = df.withColumn(
@@ -148,46 +171,10 @@ def greedy_chunks(
         )
         cut = F.flatten(F.zip_with("__counted", "__spans", spanned_pieces))
 
-    no_starts = F.array().cast("array<int>")
-
-    def state(held: Column, at: Column, starts: Column) -> Column:
-        return F.struct(held.alias("held"), at.alias("at"), starts.alias("starts"))
-
-    def step(acc: Column, p: Column) -> Column:
-        fresh = (acc["at"] == 0) | p["brk"] | (acc["held"] + p["n"] > cap)
-        return state(
-            F.when(fresh, p["n"]).otherwise(acc["held"] + p["n"]),
-            acc["at"] + 1,
-            F.when(fresh, F.concat(acc["starts"], F.array(acc["at"]))).otherwise(acc["starts"]),
-        )
-
-    def page_step(acc: Column, page: Column) -> Column:
-        done = F.array(F.aggregate(page, state(acc["held"], acc["at"], no_starts), step))
-        return F.element_at(
-            F.transform(done, lambda d: state(d["held"], d["at"], F.concat(acc["starts"], d["starts"]))), 1
-        )
-
-    sizes = F.transform("__pieces", lambda p: F.struct(p["brk"].alias("brk"), p["n"].alias("n")))
-    pages = F.transform(
-        F.array(sizes),
-        lambda all_sizes: F.transform(
-            F.sequence(F.lit(0), F.floor((F.size(all_sizes) - 1) / _PAGE).cast("int")),
-            lambda i: F.slice(all_sizes, i * _PAGE + 1, F.lit(_PAGE)),
-        ),
-    )
-    folded = F.aggregate(
-        F.element_at(pages, 1), state(F.lit(0).cast("long"), F.lit(0), no_starts), page_step, lambda acc: acc["starts"]
-    )
-    starts = F.when(F.size("__pieces") > 0, folded).otherwise(no_starts)
-
-    def chunk(s: Column, i: Column) -> Column:
-        end = F.coalesce(F.try_element_at("__starts", i + 2), F.size("__pieces"))
-        return F.array_join(F.transform(F.slice("__pieces", s + 1, end - s), lambda p: p["text"]), "\n")
-
     return (
         df.withColumn("__pieces", cut)
-        .withColumn("__starts", starts)
-        .withColumn(out, F.transform("__starts", chunk))
+        .withColumn("__starts", F.expr(_STARTS.format(cap=cap, page=_PAGE)))
+        .withColumn(out, F.expr(_JOIN))
         .drop("__counted", "__spans", "__pieces", "__starts")
     )
 
