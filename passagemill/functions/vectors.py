@@ -30,3 +30,8 @@ def l2_normalize(vector: Column) -> Column:
 
 def has_dim(vector: Column, dim: int) -> Column:
     return vector.isNotNull() & (F.size(vector) == dim)
+
+
+def not_zero(vector: Column) -> Column:
+    """True if some component differs from zero; stops at the first one."""
+    return F.exists(vector, lambda x: x != 0)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import BROADCAST_BYTES, NLIST, SearchConfig
-from ..functions.vectors import l2_normalize, squared_norm
+from ..functions.vectors import not_zero
 from ..session import materialise
 from .search import SCORES_AT_ONCE, QueryBlock, _hit_schema, block_search, bounded, fetch_queries, matrix_of, rank, scan_search
 
@@ -28,7 +28,7 @@ def nlist_rule(rows: Column) -> Column:
 
 def seed_centroids(vectors: DataFrame, key: str, nlist: int, vector: str = "embedding") -> DataFrame:
     """Deterministic centroids: the first ``nlist`` vectors by key, numbered from 0."""
-    first = vectors.filter(squared_norm(F.col(vector)) > 0).orderBy(key).limit(nlist)
+    first = vectors.filter(not_zero(F.col(vector))).orderBy(key).limit(nlist)
     return first.agg(F.array_sort(F.collect_list(F.struct(key, vector))).alias("c")).select(
         F.posexplode(F.transform("c", lambda c: c[vector])).alias(CELL, "centroid")
     )
@@ -49,14 +49,16 @@ def train_centroids(
     cut of the cells, never their content: every row is assigned to a cell later.
     """
     from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import Normalizer
     from pyspark.ml.functions import array_to_vector
 
-    usable = vectors.filter(squared_norm(F.col(vector)) > 0)
+    drawn = vectors.select(vector)
     if rows_per_cell is not None:
         fraction = rows_per_cell * nlist / max(1, vectors.count())
         if fraction < 1.0:
-            usable = usable.sample(fraction=fraction, seed=seed)
-    points = usable.select(array_to_vector(l2_normalize(F.col(vector))).alias("features"))
+            drawn = drawn.sample(fraction=fraction, seed=seed)
+    points = drawn.filter(not_zero(F.col(vector))).select(array_to_vector(F.col(vector)).alias("raw"))
+    points = Normalizer(inputCol="raw", outputCol="features").transform(points).select("features")
     points = materialise(points.repartition(points.sparkSession.sparkContext.defaultParallelism), "training")
     model = KMeans(k=max(2, nlist), seed=seed, maxIter=iterations, featuresCol="features").fit(points)
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]

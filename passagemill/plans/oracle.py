@@ -105,7 +105,7 @@ fold AS (
          CASE WHEN p.brk OR f.held + p.n > {CAP} THEN p.n ELSE f.held + p.n END
   FROM fold f JOIN numbered p ON p.doc = f.doc AND p.pos = f.pos + 1),
 greedy AS (
-  SELECT f.doc, f.chunk AS chunk_index, string_agg(p.text, chr(10) ORDER BY p.pos) AS text
+  SELECT f.doc, cast(f.chunk AS bigint) AS chunk_index, string_agg(p.text, chr(10) ORDER BY p.pos) AS text
   FROM fold f JOIN numbered p ON p.doc = f.doc AND p.pos = f.pos
   GROUP BY f.doc, f.chunk)"""
 
@@ -297,7 +297,7 @@ GROUP BY w.doc_id, w.chunk_index""",
          sqrt(list_sum(list_transform(cast(embedding AS double[]), lambda e: e * e))) AS norm
   FROM embeddings)""",
     "dim_validation": "SELECT len(embedding) = 64 AS valid, count(*) AS vectors FROM embeddings GROUP BY 1",
-    "response_reorder": """SELECT vec_id, 0 AS index, round(cast(embedding[1] AS double), 6) AS first,
+    "response_reorder": """SELECT vec_id, cast(0 AS bigint) AS index, round(cast(embedding[1] AS double), 6) AS first,
   round(cast(embedding[len(embedding)] AS double), 6) AS last FROM embeddings
 UNION ALL
 SELECT vec_id, 1, round(cast(embedding[len(embedding)] AS double), 6), round(cast(embedding[1] AS double), 6) FROM embeddings""",
@@ -407,10 +407,10 @@ FROM (SELECT doc_id, source || '/' || lang || '_v0.3' AS m FROM documents)""",
     "incremental_new": "SELECT doc_id, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "retry_failed": _with(
         RUN_LOG,
-        select="SELECT source_file, duration_s, 2 AS attempt FROM run_log WHERE status IN ('error', 'timeout')",
+        select="SELECT source_file, duration_s, cast(2 AS bigint) AS attempt FROM run_log WHERE status IN ('error', 'timeout')",
     ),
     "stream_ingest": _with(
         LINES, DOC_UNITS, GREEDY, recursive=True,
-        select=f"SELECT cast(doc AS varchar) AS source_file, chunk_index, text, {EMBEDDING_DIM} AS dim FROM greedy",
+        select=f"SELECT cast(doc AS varchar) AS source_file, chunk_index, text, cast({EMBEDDING_DIM} AS bigint) AS dim FROM greedy",
     ),
 }

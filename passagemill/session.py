@@ -23,18 +23,24 @@ def local_session(cores: int | str = 8, app: str = "passagemill", memory: str =
     )
 
 
+_local_scratch: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``.
 
     The folder must be shared by all executors. Only a local-mode session may
-    run without it, in which case a temporary folder is made once per session.
+    run without it, in which case one temporary folder serves the whole session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="passagemill-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = context.applicationId
+        if app not in _local_scratch:
+            _local_scratch[app] = tempfile.mkdtemp(prefix="passagemill-")
+        root = _local_scratch[app]
     return f"{root.rstrip('/')}/passagemill/{label}-{uuid.uuid4().hex}"
 
 

@@ -158,3 +158,23 @@ def test_ids_do_not_depend_on_partitioning(spark):
     df = rows_of(spark, 20)
     first = {(r["chunk_index"], r["id"]) for r in df.repartition(3).collect()}
     assert first == {(r["chunk_index"], r["id"]) for r in df.repartition(5, F.rand()).collect()}
+
+
+def test_scratch_folder():
+    from types import SimpleNamespace
+
+    from passagemill.session import scratch_path
+
+    def session(setting, master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: setting),
+            sparkContext=SimpleNamespace(master=master, applicationId="app-1"),
+        )
+
+    shared = session("s3a://bucket/scratch/", "spark://host")
+    assert scratch_path(shared, "x").startswith("s3a://bucket/scratch/passagemill/x-")
+    assert scratch_path(shared, "x") != scratch_path(shared, "x")
+    local = session(None, "local[2]")
+    assert os.path.dirname(scratch_path(local, "a")) == os.path.dirname(scratch_path(local, "b"))
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        scratch_path(session(None, "spark://host"), "x")
