@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import CHUNK_TOKENS, EMBEDDING_DIM, NLIST, CollectionConfig, SearchConfig
+from ..config import NLIST, CollectionConfig, SearchConfig
 from ..functions.status import known_status, stored_error
 from ..functions.text import base_name, cache_name, not_blank, preview, service_name, stem, token_count
 from ..functions.vectors import has_dim, l2_normalize
@@ -19,7 +19,7 @@ from ..operators.chunking import (
     tokenizer_count,
 )
 from ..operators.embedding import embed, hashed_vectors, vectors_of_reply
-from ..operators.generation import extractive_answer, first_line, generated
+from ..operators.generation import extractive_answer, generated
 from ..operators.ivf import (
     CELL,
     Centroids,
@@ -475,7 +475,7 @@ def jsonl_roundtrip(spark, sf):
     )
     path = scratch_path(spark, "chunks")
     write_chunks(rows, path)
-    return read_chunks(spark, path)
+    return read_chunks(spark, path).select("source_file", "chunk_index", "text")
 
 
 def collection_count(spark, sf):

@@ -10,6 +10,7 @@ from ..operators.batchmap import check_error_rate, parse_files
 from ..operators.chunking import chunk_count, explode_chunks, greedy_chunks
 from ..operators.embedding import embed
 from ..operators.ivf import CELL, Centroids, assign_cells
+from ..operators.reports import collection_label
 from ..functions.status import FAILED
 from ..session import materialise
 from ..sources import collection as store
@@ -67,8 +68,7 @@ def parse_step(
 
 
 def collection_rows(
-    chunks: DataFrame, config: CollectionConfig = CollectionConfig(), embedder=None,
-    key: tuple[str, ...] = ("source_file", "chunk_index"), model: str | None = None,
+    chunks: DataFrame, config: CollectionConfig = CollectionConfig(), embedder=None, model: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(rows in the collection schema, rejected chunks with ``problem``).
 
@@ -79,7 +79,7 @@ def collection_rows(
     accepted = judged.filter(F.col("problem").isNull()).drop("problem")
     if model is not None:
         accepted = accepted.withColumn("model", F.lit(model))
-    rows = store.to_collection(embed(accepted, embedder, dim=config.dim), key)
+    rows = store.to_collection(embed(accepted, embedder, dim=config.dim))
     return store.require_dim(rows, config.dim), judged.filter(F.col("problem").isNotNull())
 
 
@@ -95,21 +95,18 @@ def split_by_dim(rows: DataFrame, dim: int) -> tuple[DataFrame, DataFrame]:
 def load_step(
     chunks: DataFrame, config: CollectionConfig = CollectionConfig(), embedder=None,
     centroids: Centroids | None = None, allow_empty: bool = False,
-    key: tuple[str, ...] = ("source_file", "chunk_index"),
 ) -> DataFrame:
     """Second step: embed chunks and replace the collection; over-long chunks go to
     ``<name>__rejected``. Returns ``name:rows`` as one row."""
     spark = chunks.sparkSession
     if not allow_empty and chunks.isEmpty():
         raise FileNotFoundError("no chunks to load")
-    rows, rejected = collection_rows(chunks, config, embedder, key)
+    rows, rejected = collection_rows(chunks, config, embedder)
     if centroids is not None:
         rows = assign_cells(rows, centroids)
     store.create_or_replace(rows, config, CELL if centroids is not None else None)
     rejects = CollectionConfig(f"{config.name}__rejected", config.database)
     store.create_or_replace(rejected, rejects)
-    from ..operators.reports import collection_label
-
     return collection_label(store.open_collection(spark, config), config.name)
 
 
@@ -152,8 +149,7 @@ def to_retry(files: DataFrame, log: DataFrame, attempts: int = 3, key: str = "so
 
 
 def append_indexed(
-    chunks: DataFrame, config: CollectionConfig, centroids: Centroids, embedder=None,
-    key: tuple[str, ...] = ("source_file", "chunk_index"),
+    chunks: DataFrame, config: CollectionConfig, centroids: Centroids, embedder=None
 ) -> None:
     """Add chunks to an indexed collection: existing centroids, no rebuild.
 
@@ -162,11 +158,11 @@ def append_indexed(
     spark = chunks.sparkSession
     # The new ids are stored, so the planner knows their size and can send them to
     # the collection instead of shuffling the collection to them.
-    chunks = chunks.withColumn("id", store.chunk_id(*key))
+    chunks = chunks.withColumn("id", store.chunk_id(chunks))
     new_ids = materialise(chunks.select("id"), "ids")
     known = store.open_collection(spark, config).select("id").join(new_ids, "id", "left_semi")
     fresh = chunks.join(known, "id", "left_anti").drop("id")
-    rows, _ = collection_rows(fresh, config, embedder, key)
+    rows, _ = collection_rows(fresh, config, embedder)
     indexed = materialise(assign_cells(rows, centroids), "append")
     store.append(indexed.select(*store.open_collection(spark, config).columns), config, CELL)
 

@@ -16,15 +16,17 @@ _MOST_WRITERS = 50_000
 COLUMNS = ("id", "source_file", "chunk_index", "text", "embedding")
 
 
-def chunk_id(*key: str) -> Column:
-    return F.xxhash64(*key)
+def chunk_id(chunks: DataFrame) -> Column:
+    """Id of a chunk from the full key of its source, or its name if that is all."""
+    source = "source_key" if "source_key" in chunks.columns else "source_file"
+    return F.xxhash64(F.col(source).cast("string"), F.col("chunk_index").cast("long"))
 
 
-def to_collection(chunks: DataFrame, key: tuple[str, ...] = ("source_file", "chunk_index")) -> DataFrame:
+def to_collection(chunks: DataFrame) -> DataFrame:
     """Bring embedded chunks into the collection schema; extra columns stay behind it."""
-    extra = [c for c in chunks.columns if c not in COLUMNS]
+    extra = [c for c in chunks.columns if c not in (*COLUMNS, "source_key")]
     return chunks.select(
-        chunk_id(*key).alias("id"),
+        chunk_id(chunks).alias("id"),
         "source_file",
         F.col("chunk_index").cast("long"),
         "text",

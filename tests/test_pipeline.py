@@ -88,6 +88,13 @@ def test_two_steps_equal_one_step(spark, files, tmp_path):
     a = sorted(tuple(r) for r in store.open_collection(spark, two).select(*key, "embedding").collect())
     b = sorted(tuple(r) for r in store.open_collection(spark, one).select(*key, "embedding").collect())
     assert a == b and len(a) == 4
+    # files of the same name in two folders stay two sources, with the same ids both ways
+    ids = [{r["id"] for r in store.open_collection(spark, c).select("id").collect()} for c in (one, two)]
+    assert ids[0] == ids[1] and len(ids[0]) == 4
+    asked = spark.createDataFrame([(1, "delta"), (2, "gamma beta")], "qid long, question string")
+    answers = {r["qid"]: r for r in ask.ask(store.open_collection(spark, two), asked, config=SearchConfig(k=4)).collect()}
+    assert all(len(r["sources"]) == 4 for r in answers.values())
+    assert answers[1]["answer"] == "delta" and answers[2]["sources"][0]["text"] == "alpha beta\ngamma"
 
 
 def test_error_limit_stops_the_job(spark, files, tmp_path):
@@ -146,7 +153,7 @@ def test_questions_over_a_stored_collection(spark):
 
 
 def test_questions_without_hits(spark):
-    empty = spark.createDataFrame([], "source_file string, chunk_index long, text string, embedding array<float>")
+    empty = spark.createDataFrame([], "id long, source_file string, chunk_index long, text string, embedding array<float>")
     rows = ask.ask(empty, questions(spark)).collect()
     assert len(rows) == 2
     for r in rows:

@@ -49,9 +49,9 @@ def test_replayed_batch_leaves_the_same_rows(spark, tmp_path):
 def test_questions_as_files(spark, tmp_path):
     drop(tmp_path / "q", "1.json", [{"qid": 1, "question": " red "}, {"qid": 2, "question": "quit"}])
     chunks = spark.createDataFrame([("f", 0, "red"), ("g", 0, "blue")], "source_file string, chunk_index long, text string")
-    from passagemill.operators.embedding import embed
+    from passagemill.plans.ingest import collection_rows
 
-    collection = embed(chunks)
+    collection, _ = collection_rows(chunks)
     question_stream(
         spark, str(tmp_path / "q"), str(tmp_path / "a"), str(tmp_path / "cp"), lambda q: ask.ask(collection, q)
     ).awaitTermination()
