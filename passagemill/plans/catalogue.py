@@ -538,7 +538,7 @@ def stream_ingest(spark, sf):
     base = scratch_path(spark, "stream")
     query = ingest_stream(
         spark, sf, f"{base}/rows", f"{base}/checkpoint", file_format="parquet",
-        options={"pathGlobFilter": "documents.parquet"},
+        options={"pathGlobFilter": "documents.parquet"}, blocks=spark.sparkContext.defaultParallelism,
     )
     query.awaitTermination()
     return current_rows(spark, f"{base}/rows").select(

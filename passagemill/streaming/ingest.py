@@ -42,9 +42,13 @@ def ingest_stream(
     key: str = "doc_id", text: str = "text", file_format: str = "json", files_per_batch: int = 1000,
     collection: CollectionConfig = CollectionConfig(), chunk: ChunkConfig = ChunkConfig(), embedder=None,
     stream_id: str = "ingest", options: dict | None = None,
+    blocks: int = 0,
 ):
     """Start a query that takes all new files of ``source`` into ``target`` and stops.
 
+    ``blocks`` spreads each micro-batch over that many tasks, for files too few or
+    too large to fill the cluster by themselves.
+
     Start it again, with the same checkpoint, to take what has arrived since. Give
     a stream with a new checkpoint a ``stream_id`` of its own.
     """
@@ -55,6 +59,8 @@ def ingest_stream(
         .format(file_format)
         .load(source)
     )
+    if blocks:
+        documents = documents.repartition(blocks)
     chunks = text_chunks(documents, key, text, chunk)
 
     def take(batch: DataFrame, batch_id: int) -> None:
