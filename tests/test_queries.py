@@ -6,6 +6,7 @@ import pytest
 import __spark_entry__ as contract
 from check import compare, oracle_connection
 from conftest import SF, plan_of
+from passagemill.plans import catalogue, oracle
 
 
 @pytest.fixture(scope="module")
@@ -14,10 +15,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(oracle.ORACLE) == set(catalogue.QUERIES)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(catalogue.QUERIES))
 def test_query(spark, con, name):
     verdict, _, _ = compare(spark, con, SF, name)
     assert verdict.startswith("ok"), verdict
