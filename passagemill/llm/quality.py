@@ -41,7 +41,7 @@ REACH = 3.0
 
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Rates, in parts of a million; and the least spread that is assumed of each.
-RATES = {"word_length": 1_000_000, "symbols": 20_000, "dup_lines": 10_000, "repeats": 20_000}
+RATES = {"word_length": 1_000_000, "symbols": 20_000, "dup_lines": 10_000, "repeats": 60_000}
 _TWO_SIDED = ("word_length",)
 
 

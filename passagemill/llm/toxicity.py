@@ -31,7 +31,7 @@ from .common import kept, materialise, schema_of, text_slices, texts_of
 #: Labelled texts of each class in the index.
 MAX_EXAMPLES = 2000
 #: Terms in the vocabulary, the least chi-square and the least number of examples of each.
-MAX_TERMS, MIN_CHI2, MIN_EXAMPLES = 2048, 30.0, 6
+MAX_TERMS, MIN_CHI2, MIN_EXAMPLES = 2048, 24.0, 4
 STEMS = (4, 5, 6)
 BLOCK = 64
 NEIGHBOURS = 15
