@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import sys
-import types
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -91,12 +89,6 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def worker_memory(name: str) -> dict:
-    """A dictionary that lives as long as the Python worker, across its tasks."""
-    home = sys.modules.setdefault("_passagemill_worker", types.ModuleType("_passagemill_worker"))
-    return home.__dict__.setdefault(name, {})
-
-
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch table that nothing reads any more."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -34,14 +34,14 @@ WITH RECURSIVE doc AS (
 src AS (
   SELECT source, source_size, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight
   FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM doc GROUP BY source)),
-level(round, at) AS (
+level(round, height) AS (
   SELECT 0, 0.0::DOUBLE
   UNION ALL
   SELECT l.round + 1, ({TOTAL}::DOUBLE * (SELECT sum(source_size)::DOUBLE FROM src)
-      - (SELECT coalesce(sum(2.0::DOUBLE * source_size), 0.0) FROM src WHERE 2.0::DOUBLE * source_size <= weight * l.at))
-    / (SELECT sum(weight) FROM src WHERE 2.0::DOUBLE * source_size > weight * l.at)
-  FROM level l WHERE l.round < 40 AND (SELECT count(*) FROM src WHERE 2.0::DOUBLE * source_size > weight * l.at) > 0),
-target AS (SELECT source, source_size, least(2.0::DOUBLE * source_size, weight * (SELECT max(at) FROM level)) AS target FROM src),
+      - (SELECT coalesce(sum(2.0::DOUBLE * source_size), 0.0) FROM src WHERE 2.0::DOUBLE * source_size <= weight * l.height))
+    / (SELECT sum(weight) FROM src WHERE 2.0::DOUBLE * source_size > weight * l.height)
+  FROM level l WHERE l.round < 40 AND (SELECT count(*) FROM src WHERE 2.0::DOUBLE * source_size > weight * l.height) > 0),
+target AS (SELECT source, source_size, least(2.0::DOUBLE * source_size, weight * (SELECT max(height) FROM level)) AS target FROM src),
 taken AS (
   SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size = 0 THEN 0.0::DOUBLE ELSE t.target / t.source_size END AS rate,
     CAST(('0x' || substr(md5('{SEED}|' || d.key), 1, 13)) AS BIGINT)::DOUBLE / 4503599627370496.0::DOUBLE AS u

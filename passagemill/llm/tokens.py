@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_path, materialise, running_start, scratch_path, text_slices, worker_memory
+from .common import drop_path, materialise, running_start, scratch_path, text_slices, texts_of
 
 END_ID = 2
 #: Frequencies add up to 2 to this power.
@@ -39,12 +39,22 @@ BLOCK_TOKENS = LANES * STEPS * PARTS
 FRAME_TOKENS = 24 * BLOCK_TOKENS
 _LOW = np.uint64(1 << 32)
 _LOW32 = np.uint64(0xFFFFFFFF)
-#: Different words that a worker remembers with their ids.
-CACHE_WORDS = 600_000
-#: Letters that normalisation leaves alone but for their case, with one mark behind: cut into the same pieces in any company.
+#: Different words that a task remembers with their ids.
+CACHE_WORDS = 400_000
+#: Letters that normalisation leaves alone but for their case, with one mark behind: one or two pieces before merging.
 _SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 
 
+def _byte_letters() -> list[str]:
+    """How byte-level vocabularies write each byte: as itself where that is visible, else by the next letters after 255."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = iter(range(256, 512))
+    return [chr(b) if b in visible else chr(next(hidden)) for b in range(256)]
+
+
+_LETTERS = _byte_letters()
+
+
 # ---- tokens ---------------------------------------------------------------------------
 
 
@@ -52,53 +62,40 @@ class Encoder:
     """Ids of texts by a tokenizers file, remembered by word.
 
     White space never joins pieces and is dropped by this kind of vocabulary, so a
-    text's ids are those of its words one after another. Plain words are
-    encoded many at a time and told apart by the end-of-word pieces.
+    text's ids are those of its words one after another. Normalisation and splitting leave plain
+    words as they are (in lower case), so those go straight to the library's model.
     """
 
-    def __init__(self, content: str, memory: dict):
+    def __init__(self, content: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(content)
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for p, i in vocabulary.items() if p.endswith("</w>")]] = True
-        self.memory = memory
-        self.wide = max(vocabulary.values()) >= 1 << 16
-        self.kind = np.dtype("<u4" if self.wide else "<u2")
-
-    def _plain(self, words: list[str]) -> list[bytes]:
-        out = []
-        for at in range(0, len(words), 400):
-            part = words[at : at + 400]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, self.kind)
-            cut = np.flatnonzero(self.ends[ids]) + 1
-            if len(cut) != len(part):
-                out.extend(np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch(part, add_special_tokens=False))
-                continue
-            raw, cut = ids.tobytes(), (cut * self.kind.itemsize).tolist()
-            out.extend(raw[a:b] for a, b in zip([0, *cut], cut))
-        return out
+        self.model = self.tokenizer.model
+        self.kind = np.dtype(id_type(self.tokenizer))
+        self.memory: dict[bytes, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+
+    def _whole(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
 
     def _learn(self, words: set[bytes]) -> None:
-        memory = self.memory
-        stems, odd = {}, []
+        memory, stems, tokenize = self.memory, self.stems, self.model.tokenize
+        simple, letter, size = _SIMPLE.fullmatch, _LETTERS, self.kind.itemsize
+        for mark in (".", ","):
+            if mark not in stems:
+                stems[mark] = self._whole(mark)
         for w in words:
-            m = _SIMPLE.fullmatch(w.decode())
-            if m:
-                stems.setdefault(m[1].lower(), []).append((w, m[2]))
-            else:
-                odd.append(w)
-        new = [s for s in [*stems, ".", ","] if s.encode() not in memory]
-        marks = [s for s in new if s in ".,"]
-        plain = [s for s in new if s not in ".,"]
-        memory.update(zip([s.encode() for s in plain], self._plain(plain)))
-        for s in [*marks, *[w.decode() for w in odd]]:
-            memory[s.encode()] = np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, self.kind).tobytes()
-        for s, forms in stems.items():
-            ids = memory[s.encode()]
-            for w, mark in forms:
-                memory[w] = ids + memory[mark.encode()] if mark else ids
+            m = simple(w.decode())
+            if not m:
+                memory[w] = self._whole(w.decode())
+                continue
+            stem, mark = m.groups()
+            stem = stem.lower()
+            ids = stems.get(stem)
+            if ids is None:
+                spelled = stem if stem.isascii() else "".join([letter[b] for b in stem.encode()])
+                ids = stems[stem] = b"".join([t.id.to_bytes(size, "little") for t in tokenize(spelled)])
+            memory[w] = ids + stems[mark] if mark else ids
 
     def encode(self, texts: list[bytes], end: int) -> list[bytes]:
         """Ids of each text and ``end``, as little-endian integers."""
@@ -106,15 +103,17 @@ class Encoder:
         memory = self.memory
         if len(memory) > CACHE_WORDS:
             memory.clear()
-        new = {w for words in split for w in words}.difference(memory)
+            self.stems.clear()
+        new = set().union(*split).difference(memory)
         if new:
             self._learn(new)
-        tail = np.array([end], self.kind).tobytes()
+        tail = end.to_bytes(self.kind.itemsize, "little")
         return [b"".join([memory[w] for w in words]) + tail for words in split]
 
 
-def ids_crc32(ids: bytes, kind: np.dtype) -> int:
-    return zlib.crc32(np.frombuffer(ids, kind).astype("<u4").tobytes())
+def id_type(tokenizer) -> str:
+    return "<u4" if tokenizer.get_vocab_size() > 1 << 16 else "<u2"
+
 
 
 def tokenised(docs: DataFrame, tokenizer_file: str, text: str, doc_id: str, end: int) -> tuple[DataFrame, str, str]:
@@ -125,16 +124,15 @@ def tokenised(docs: DataFrame, tokenizer_file: str, text: str, doc_id: str, end:
     shipped = spark.sparkContext.broadcast(content)
     from tokenizers import Tokenizer
 
-    kind = "<u4" if Tokenizer.from_str(content).get_vocab_size() > 1 << 16 else "<u2"
+    kind = id_type(Tokenizer.from_str(content))
 
     def run(batches):
         encoder = None
         for batch in batches:
             if encoder is None:
-                encoder = Encoder(shipped.value, worker_memory(f"ids {zlib.crc32(shipped.value.encode())}"))
-            for part in text_slices(batch, "t"):
-                texts = [b or b"" for b in part.column("t").cast(pa.binary()).to_pylist()]
-                ids = encoder.encode(texts, end)
+                encoder = Encoder(shipped.value)
+            for part in text_slices(batch, "t", 2 << 20):
+                ids = encoder.encode(texts_of(part.column("t")), end)
                 arrays = [part.column("doc_id"), part.column("place"), pa.array(ids, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "place", "ids"])
 
@@ -295,8 +293,8 @@ def write_corpus(
     def count(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column("ids").to_pylist():
-                own = np.bincount(np.frombuffer(ids, kind))
+            for part in text_slices(batch, "ids"):
+                own = np.bincount(np.frombuffer(b"".join(part.column("ids").to_pylist()), kind))
                 if len(own) > len(total):
                     total = np.concatenate((total, np.zeros(len(own) - len(total), np.int64)))
                 total[: len(own)] += own
