@@ -32,8 +32,10 @@ class ChunkConfig:
 
 @dataclass(frozen=True)
 class ParseConfig:
-    workers: int = 4
+    #: Tasks that parse: so many a worker (None: a core of the cluster), or more if there are many files.
+    workers: int | None = None
     blocks_per_worker: int = 10
+    files_per_task: int = 64
     timeout_s: float = FILE_TIMEOUT_S
     max_error_rate: float | None = None
 
@@ -52,6 +54,8 @@ class SearchConfig:
     k: int = TOP_K
     nprobe: int = NPROBE
     broadcast_bytes: int = BROADCAST_BYTES
+    #: Candidates that the tasks of a shipped search may hand in together.
+    candidate_rows: int = 200_000_000
     #: Vectors held in memory per block, and queries that stream past one block,
     #: when the queries are too many to ship to every task.
     block_rows: int = 100_000

@@ -84,7 +84,8 @@ def hashed_vectors(text: Column, dim: int = EMBEDDING_DIM, normalize: bool = Fal
                 parts.append(_to_lists(_unit_rows(matrix) if normalize else matrix))
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float32()))
 
-    return hash_tokens(words(F.lower(F.coalesce(text, F.lit("")))))
+    # a missing text has no vector
+    return F.when(text.isNotNull(), hash_tokens(words(F.lower(F.coalesce(text, F.lit(""))))))
 
 
 # ---- user models ----------------------------------------------------------------
@@ -119,17 +120,21 @@ class EndpointEmbedder:
         self.sub_batch = sub_batch
 
     def load(self) -> Callable[[list[str]], np.ndarray]:
-        post = self.make_client()
+        post, model, size = self.make_client(), self.model, self.sub_batch
 
         def encode(texts: list[str]) -> np.ndarray:
-            rows: list = []
-            for at in range(0, len(texts), self.sub_batch):
-                part = texts[at : at + self.sub_batch]
-                data = sorted(post({"model": self.model, "input": part})["data"], key=lambda d: d["index"])
-                if [d["index"] for d in data] != list(range(len(part))):
-                    raise ValueError(f"asked for {len(part)} vectors, got indexes {[d['index'] for d in data]}")
-                rows.extend(d["embedding"] for d in data)
-            return np.asarray(rows, dtype=np.float64)
+            placed: list = [None] * len(texts)
+            for at in range(0, len(texts), size):
+                asked = texts[at : at + size]
+                for entry in post({"model": model, "input": asked})["data"]:
+                    place = entry["index"]
+                    if not 0 <= place < len(asked) or placed[at + place] is not None:
+                        raise ValueError(f"asked for {len(asked)} vectors, got index {place} beyond them or twice")
+                    placed[at + place] = entry["embedding"]
+            lost = sum(v is None for v in placed)
+            if lost:
+                raise ValueError(f"asked for {len(texts)} vectors, {lost} did not come")
+            return np.asarray(placed, dtype=np.float64)
 
         return encode
 
@@ -165,8 +170,16 @@ def model_vectors(text: Column, embedder, sub_batch: int = 1024) -> Column:
         for texts in batches:
             parts = []
             for at in range(0, len(texts), sub_batch):
-                part = [t if t is not None else "" for t in texts.slice(at, sub_batch).to_pylist()]
-                parts.append(_to_lists(np.asarray(encode(part), dtype=np.float64).reshape(len(part), -1)))
+                asked = texts.slice(at, sub_batch)
+                known = asked.drop_null().to_pylist()
+                if not known:
+                    parts.append(pa.nulls(len(asked), pa.list_(pa.float32())))
+                    continue
+                found = _to_lists(np.asarray(encode(known), dtype=np.float64).reshape(len(known), -1))
+                if len(known) < len(asked):  # a missing text has no vector
+                    valid = np.asarray(asked.is_valid())
+                    found = found.take(pa.array(np.cumsum(valid) - 1, mask=~valid))
+                parts.append(found)
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float32()))
 
     return encode_texts(text)

@@ -7,6 +7,7 @@ Exact search is the default of this package; an index is opt-in. With
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from ..config import BROADCAST_BYTES, NLIST, SearchConfig
 from ..functions.vectors import not_zero
 from ..session import materialise
-from .search import SCORES_AT_ONCE, QueryBlock, _hit_schema, block_search, bounded, fetch_queries, matrix_of, rank, scan_search
+from .search import SCORES_AT_ONCE, QueryBlock, _hit_schema, block_search, bounded, fetch_queries, matrix_of, rank, scan_search, top_k
 
 CELL = "cell_id"
 
@@ -40,13 +41,13 @@ def train_centroids(
     vector: str = "embedding",
     seed: int = 42,
     iterations: int = 10,
-    rows_per_cell: int | None = 1024,
+    rows_per_cell: int | None = None,
 ) -> DataFrame:
     """KMeans on the unit vectors.
 
-    The iterations run over about ``rows_per_cell * nlist`` random rows (all rows
-    for None): centroids hardly move beyond that. Which rows were drawn changes the
-    cut of the cells, never their content: every row is assigned to a cell later.
+    All rows take part unless the caller asks for about ``rows_per_cell * nlist``
+    random ones. Which rows were drawn changes the cut of the cells, never their
+    content: every row is assigned to a cell later.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import Normalizer
@@ -66,18 +67,31 @@ def train_centroids(
 
 
 class Centroids:
-    """Centroids held in memory, as unit vectors ordered by cell."""
+    """Centroids held in memory, as unit vectors ordered by cell.
+
+    Tasks get ``arrays``: broadcast classes would have to be importable there.
+    """
 
     def __init__(self, table: DataFrame, limit_bytes: int = BROADCAST_BYTES):
         found = fetch_queries(table, CELL, "centroid", limit_bytes)
         if found is None:
-            raise ValueError(f"the centroids take more than {limit_bytes} bytes; use fewer cells")
+            raise ValueError(f"the centroids take more than {limit_bytes} bytes; see assign_cells_of")
         found = found.sort_by(CELL)
         matrix, usable = matrix_of(found.column("centroid"))
         self.cells = np.asarray(found.column(CELL))[usable].astype(np.int32)
         norms = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
         self.units = np.divide(matrix, norms, out=matrix.copy(), where=norms > 0)
 
+    @property
+    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.cells, self.units
+
+    @staticmethod
+    def from_arrays(arrays: tuple[np.ndarray, np.ndarray]) -> Centroids:
+        made = object.__new__(Centroids)
+        made.cells, made.units = arrays
+        return made
+
     def _in_slices(self, matrix: np.ndarray, pick) -> np.ndarray:
         """``pick`` on the cosines of a slice of rows, so that memory stays bounded."""
         step = max(1, SCORES_AT_ONCE // max(1, len(self.cells)))
@@ -96,11 +110,11 @@ class Centroids:
 
 def assign_cells(df: DataFrame, centroids: Centroids, vector: str = "embedding") -> DataFrame:
     """Add ``cell_id``; null for a null or zero vector, which no search returns."""
-    shared = df.sparkSession.sparkContext.broadcast(centroids)
+    shared = df.sparkSession.sparkContext.broadcast(centroids.arrays)
 
     @F.arrow_udf("int")
     def nearest_cell(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        c = shared.value
+        c = Centroids.from_arrays(shared.value)
         for vectors in batches:
             matrix, usable = matrix_of(vectors)
             cells = np.zeros(len(vectors), dtype=np.int32)
@@ -114,6 +128,18 @@ def assign_cells(df: DataFrame, centroids: Centroids, vector: str = "embedding")
     return df.withColumn(CELL, nearest_cell(F.col(vector)))
 
 
+def assign_cells_of(df: DataFrame, centroids: DataFrame, key: str, vector: str = "embedding",
+                    config: SearchConfig = SearchConfig()) -> DataFrame:
+    """Add ``cell_id`` from a centroid table of any size: the exact search for one neighbour.
+
+    Used where the centroids are too many for :class:`Centroids`. ``key`` must be unique.
+    """
+    one = replace(config, k=1)
+    unit = centroids.filter(not_zero(F.col("centroid")))
+    found = top_k(unit, df.select(key, vector), [CELL], query_id=key, vector="centroid", query_vector=vector, config=one)
+    return df.join(found.select(key, CELL), key, "left")
+
+
 def probed_top_k(
     indexed: DataFrame,
     queries: DataFrame,
@@ -138,7 +164,7 @@ def probed_top_k(
         block.cells = centroids.probes(block.matrix, config.nprobe)
         wanted = np.unique(block.cells)
         if len(wanted) < len(centroids.cells):
-            indexed = indexed.filter(F.col(CELL).isin([int(c) for c in wanted]))
+            indexed = _in_cells(indexed, [int(c) for c in wanted])
         winners = scan_search(indexed, block, hit_schema, query_id, keys, vector, config.k, CELL)
         return bounded(rank(winners, query_id, keys, config.k), table.num_rows, config.k)
     winners = _probed_blocks(
@@ -147,6 +173,18 @@ def probed_top_k(
     return rank(winners, query_id, keys, config.k)
 
 
+#: Cells up to which a list in a filter prunes the folders; beyond, a join does it row by row.
+_LISTED_CELLS = 10_000
+
+
+def _in_cells(indexed: DataFrame, cells: list[int]) -> DataFrame:
+    """Rows of the given cells, at most one a centroid."""
+    if len(cells) <= _LISTED_CELLS:
+        return indexed.filter(F.col(CELL).isin(cells))
+    wanted = indexed.sparkSession.createDataFrame([(c,) for c in cells], f"{CELL} int")
+    return indexed.join(F.broadcast(wanted), CELL, "left_semi")
+
+
 def _typed_nulls(schema) -> list[Column]:
     return [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
 
@@ -155,12 +193,12 @@ def _probed_blocks(
     indexed, queries, centroids, hit_schema, keys, query_id, vector, query_vector, config
 ) -> DataFrame:
     """Each query meets the blocks of its own cells only."""
-    shared = indexed.sparkSession.sparkContext.broadcast(centroids)
+    shared = indexed.sparkSession.sparkContext.broadcast(centroids.arrays)
     nprobe = config.nprobe
 
     @F.arrow_udf("array<int>")
     def probe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        c = shared.value
+        c = Centroids.from_arrays(shared.value)
         for vectors in batches:
             matrix, usable = matrix_of(vectors)
             found: list = [None] * len(vectors)

@@ -56,10 +56,10 @@ def run_report(log: DataFrame) -> DataFrame:
 
 
 def worker_distribution(log: DataFrame, worker: str = "actor_host") -> DataFrame:
-    """Files and percent per worker. The total is one number, counted beforehand, so
-    that the groups, however many, need not meet in one task."""
-    total = F.lit(log.count())
+    """Files and percent per worker. The total is a scalar from the same grouped rows, so
+    the groups, however many, need not meet in one task and the log is grouped once."""
     files = log.groupBy(worker).agg(F.count("*").alias("files"))
+    total = files.agg(F.sum("files")).scalar()
     return files.withColumn("pct", F.round(F.col("files") / total * 100, 1)).orderBy(worker)
 
 

@@ -2,7 +2,7 @@
 
 Two physical strategies, chosen by the checked size of the query matrix:
 
-* few queries: the matrix is shipped to every task; each task streams its part of
+* few queries (and few candidates: tasks times queries times k): the matrix is shipped to every task; each task streams its part of
   the collection, keeps a running top-k per query and emits only that. The
   collection is neither shuffled nor joined.
 * many queries: the collection is hashed into blocks of bounded size, queries are
@@ -11,7 +11,10 @@ Two physical strategies, chosen by the checked size of the query matrix:
 
 Both end in one ``row_number`` over the per-task winners. Score is the cosine in
 double precision; a zero vector has none and is never ranked. Ties go to the
-smaller key.
+smaller key. The matrix product only selects: its last bit depends on where a row
+lies in its batch, so all rows within MARGIN of the k-th place are scored again, each
+by one sum over its own products, and ranked by that. Both strategies, and any
+partitioning, therefore give the same ranks.
 """
 
 from __future__ import annotations
@@ -30,8 +33,10 @@ from ..config import SearchConfig
 from ..session import materialise
 
 SCORES_AT_ONCE = 4_000_000
+#: Cosines from a matrix product and from a sum of products differ by less.
+MARGIN = 1e-9
+_EXACT_VALUES = 8_000_000
 _EMIT_ROWS = 10_000
-_FIRST_LOOK = 1_000
 _MOST_PARTITIONS = 50_000
 _SMALL_HITS = 200_000
 _LARGE_K = 100
@@ -76,6 +81,16 @@ class QueryBlock:
         return QueryBlock(names.take(pa.array(usable[good])), matrix[good], squares[good], cells)
 
 
+def prepared(batch: pa.RecordBatch | pa.Table, vector: str, keys: list[str], cell: str | None = None) -> tuple:
+    """(keys, matrix, squared norms, cells) of the rows that can be hits."""
+    matrix, usable = matrix_of(batch.column(vector))
+    squares = (matrix * matrix).sum(axis=1)
+    good = np.flatnonzero(squares > 0)
+    rows = pa.table({c: batch.column(c) for c in keys}).take(pa.array(usable[good]))
+    cells = None if cell is None else np.asarray(batch.column(cell))[usable[good]]
+    return rows, matrix[good], squares[good], cells
+
+
 class BestK:
     """Running top-k per query over batches of (key columns, vectors)."""
 
@@ -85,19 +100,17 @@ class BestK:
         self.floor = np.full(len(queries.squares), -np.inf)
 
     def add(self, batch: pa.RecordBatch | pa.Table, vector: str, cell: str | None = None) -> None:
-        matrix, usable = matrix_of(batch.column(vector))
-        if not len(usable) or not len(self.floor):
+        self.add_prepared(prepared(batch, vector, self.keys, cell))
+
+    def add_prepared(self, vectors: tuple) -> None:
+        rows, matrix, squares, cells = vectors
+        if not len(squares) or not len(self.floor):
             return
         if matrix.shape[1] != self.q.matrix.shape[1]:
             raise ValueError(f"query dimension {self.q.matrix.shape[1]}, vector dimension {matrix.shape[1]}")
-        squares = (matrix * matrix).sum(axis=1)
-        good = np.flatnonzero(squares > 0)
-        rows = pa.table({c: batch.column(c) for c in self.keys}).take(pa.array(usable[good]))
-        matrix, squares = matrix[good], squares[good]
-        if cell is None or self.q.cells is None:
+        if cells is None or self.q.cells is None:
             self._add_rows(np.arange(len(self.floor)), rows, matrix, squares)
             return
-        cells = np.asarray(batch.column(cell))[usable[good]]
         for c in np.unique(cells):
             asking = np.flatnonzero((self.q.cells == c).any(axis=1))
             if len(asking):
@@ -116,9 +129,10 @@ class BestK:
                 # ties at that place stay in and are settled by key below.
                 kth = np.partition(scores, scores.shape[1] - self.k, axis=1)[:, scores.shape[1] - self.k]
                 floor = np.maximum(floor, kth)
-            qi, ri = np.nonzero(scores >= floor[:, None])
+            qi, ri = np.nonzero(scores >= floor[:, None] - MARGIN)
             if len(qi):
-                self._merge(asking[qi], scores[qi, ri], rows.take(pa.array(ri + at)))
+                ri = ri + at
+                self._merge(asking[qi], _cosines(q, qs, matrix, squares, qi, ri), rows.take(pa.array(ri)))
 
     def _merge(self, qi: np.ndarray, scores: np.ndarray, rows: pa.Table) -> None:
         new = rows.append_column("__q", pa.array(qi)).append_column("__s", pa.array(scores))
@@ -146,6 +160,13 @@ class BestK:
         yield from out.to_batches(max_chunksize=_EMIT_ROWS)
 
 
+def _cosines(q, qs, matrix, squares, qi, ri) -> np.ndarray:
+    """Cosines of the given pairs, each summed in the same order wherever its rows lie."""
+    step = max(1, _EXACT_VALUES // max(1, matrix.shape[1]))
+    dots = [(q[qi[at : at + step]] * matrix[ri[at : at + step]]).sum(axis=1) for at in range(0, len(qi), step)]
+    return np.concatenate(dots) / np.sqrt(qs[qi] * squares[ri])
+
+
 def _hit_schema(queries: DataFrame, query_id: str, collection: DataFrame, keys: list[str]) -> T.StructType:
     fields = [T.StructField(query_id, queries.schema[query_id].dataType)]
     fields += [T.StructField(c, collection.schema[c].dataType) for c in keys]
@@ -185,13 +206,15 @@ def bounded(hits: DataFrame, queries: int, k: int) -> DataFrame:
 def fetch_queries(queries: DataFrame, query_id: str, vector: str, limit_bytes: int):
     """The query table if its matrix fits in ``limit_bytes``, else None.
 
-    Reads at most one row more than fits, whatever the size of the table.
+    The dimension is asked for, one row of those that have a vector; then at most one
+    row more than fits is read, whatever the size of the table.
     """
-    table = queries.select(query_id, vector).limit(_FIRST_LOOK + 1).toArrow()
-    dims = [n for n in pc.list_value_length(table.column(vector)).to_pylist() if n]
-    most = max(1, limit_bytes // (8 * max(dims, default=1)))
-    if table.num_rows > _FIRST_LOOK and most > _FIRST_LOOK:
-        table = queries.select(query_id, vector).limit(most + 1).toArrow()
+    size = F.size(vector)
+    known = queries.select(size.alias("n")).filter(F.col(vector).isNotNull() & (size > 0)).limit(1).collect()
+    if not known:  # nothing to search for
+        return queries.select(query_id, vector).limit(0).toArrow()
+    most = max(1, limit_bytes // (8 * known[0].n))
+    table = queries.select(query_id, vector).limit(most + 1).toArrow()
     return table if table.num_rows <= most else None
 
 
@@ -209,10 +232,11 @@ def scan_search(
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow_schema = to_arrow_schema(hit_schema)
-    shared = collection.sparkSession.sparkContext.broadcast(block)
+    # plain arrays: a class of ours would have to be importable on the executors
+    shared = collection.sparkSession.sparkContext.broadcast((block.names, block.matrix, block.squares, block.cells))
 
     def best_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = BestK(shared.value, k, keys)
+        best = BestK(QueryBlock(*shared.value), k, keys)
         for batch in batches:
             best.add(batch, vector, cell)
         yield from best.batches(query_id, arrow_schema)
@@ -274,6 +298,9 @@ def block_search(
     def block(part, turn):
         return (F.col("__first") + part * F.col("__turns") + turn).alias("__block")
 
+    # floats travel as floats and are widened in the kernel
+    kinds = {collection.schema[vector].dataType.simpleString(), asked.schema[query_vector].dataType.simpleString()}
+    shipped = kinds.pop() if len(kinds) == 1 else "array<double>"
     null_keys = [F.lit(None).cast(collection.schema[c].dataType).alias(c) for c in keys]
     no_query = F.lit(None).cast(asked.schema[query_id].dataType).alias(query_id)
     left = (
@@ -284,7 +311,7 @@ def block_search(
             F.lit(0).alias("__side"),
             no_query,
             *keys,
-            F.col(vector).cast("array<double>").alias("__v"),
+            F.col(vector).cast(shipped).alias("__v"),
         )
     )
     right = (
@@ -295,7 +322,7 @@ def block_search(
             F.lit(1).alias("__side"),
             query_id,
             *null_keys,
-            F.col(query_vector).cast("array<double>").alias("__v"),
+            F.col(query_vector).cast(shipped).alias("__v"),
         )
     )
     together = (
@@ -308,7 +335,7 @@ def block_search(
     def best_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
         held_block = None
-        vectors: pa.Table | None = None
+        vectors: tuple | None = None
         for batch in batches:
             code = np.asarray(batch.column("__block"))
             side = np.asarray(batch.column("__side"))
@@ -323,14 +350,19 @@ def block_search(
                 if not held:
                     continue
                 if vectors is None:
-                    vectors = pa.concat_tables(held).combine_chunks()
+                    vectors, held = prepared(pa.concat_tables(held).combine_chunks(), "__v", keys), [part.slice(0, 0)]
                 best = BestK(QueryBlock.of(part.column(query_id), part.column("__v")), k, keys)
-                best.add(vectors, "__v")
+                best.add_prepared(vectors)
                 yield from best.batches(query_id, arrow_schema)
 
     return together.mapInArrow(best_of_blocks, hit_schema)
 
 
+def _tasks(collection: DataFrame) -> int:
+    """About as many tasks as the scan of the collection will have: no fewer than its files."""
+    return max(len(collection.inputFiles()), collection.sparkSession.sparkContext.defaultParallelism)
+
+
 def top_k(
     collection: DataFrame,
     queries: DataFrame,
@@ -347,7 +379,7 @@ def top_k(
     """
     hit_schema = _hit_schema(queries, query_id, collection, keys)
     table = fetch_queries(queries, query_id, query_vector, config.broadcast_bytes)
-    if table is not None:
+    if table is not None and table.num_rows * config.k * _tasks(collection) <= config.candidate_rows:
         block = QueryBlock.of(table.column(query_id), table.column(query_vector))
         winners = scan_search(collection, block, hit_schema, query_id, keys, vector, config.k)
         return bounded(rank(winners, query_id, keys, config.k), table.num_rows, config.k)

@@ -33,11 +33,11 @@ from ..operators.ivf import (
 from ..operators.prompting import build_prompts
 from ..operators.search import gather_hits, top_k, top_k_of
 from ..operators.units import explode_units, html_units, line_units
-from ..session import scratch_path, spread
+from ..session import materialise, scratch_path, spread
 from ..sources.collection import query as collection_query
 from ..sources.collection import text_problem
 from ..sources.files import first_files
-from ..sources.jsonl import read_chunks, write_chunks
+from ..sources.jsonl import read_chunk_runs, write_chunk_run
 from . import ask
 
 EXACT = SearchConfig()
@@ -100,9 +100,12 @@ def chunk_vectors(docs: DataFrame, chunker) -> DataFrame:
 
 
 def rag_hits(spark: SparkSession, sf: str, chunker) -> DataFrame:
-    docs = documents(spark, sf)
-    found = ask.retrieve(chunk_vectors(docs, chunker), questions(spark, sf), normalize=False, config=EXACT)
-    return ask.with_text_of_documents(found, docs.withColumnRenamed("doc_id", "source_file"), chunker)
+    """Hits with their texts: chunks are stored once, vectors are searched, texts joined to the winners."""
+    docs = documents(spark, sf).withColumnRenamed("doc_id", "source_file")
+    chunks = materialise(explode_chunks(chunker(docs), ["source_file"]), "chunks")
+    vectors = chunks.select("source_file", "chunk_index", hashed_vectors(F.col("text")).alias("embedding"))
+    found = ask.retrieve(vectors, questions(spark, sf), normalize=False, config=EXACT)
+    return ask.with_text(found, chunks, ask.KEYS, ("text",))
 
 
 def prompts(spark: SparkSession, sf: str) -> DataFrame:
@@ -474,8 +477,8 @@ def jsonl_roundtrip(spark, sf):
         F.col("source").alias("source_key"), F.col("doc_id").cast("string").alias("source_file"), "chunk_index", "text"
     )
     path = scratch_path(spark, "chunks")
-    write_chunks(rows, path)
-    return read_chunks(spark, path).select("source_file", "chunk_index", "text")
+    write_chunk_run(rows, path, "run")
+    return read_chunk_runs(spark, path).select("source_file", "chunk_index", "text")
 
 
 def collection_count(spark, sf):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from ..operators.reports import collection_label
 from ..functions.status import FAILED
 from ..session import materialise
 from ..sources import collection as store
-from ..sources.jsonl import write_chunks
+from ..sources.jsonl import write_chunk_run
 
 LOG_COLUMNS = ("source_file", "status", "page_count", "chunk_count", "error", "duration_s", "actor_host")
 
@@ -51,9 +53,12 @@ def run_log(chunked: DataFrame) -> DataFrame:
 
 def parse_step(
     files: DataFrame, make_parser, chunk_path: str, parse: ParseConfig = ParseConfig(),
-    chunk: ChunkConfig = ChunkConfig(), make_tokenizer=None,
+    chunk: ChunkConfig = ChunkConfig(), make_tokenizer=None, run_id: str | None = None,
 ) -> DataFrame:
-    """First step: parse, chunk and write the chunk files. Returns the run log.
+    """First step: parse, chunk and write the chunk files, a folder a run. Returns the run log.
+
+    ``read_chunk_runs`` takes each source's latest run. Writing a ``run_id`` (by
+    default the time) again replaces it.
 
     Parsing is by far the dearest stage, so its result is written once and both
     outputs are read from that table.
@@ -63,10 +68,15 @@ def parse_step(
     )
     log = run_log(chunked)
     check_error_rate(log, parse.max_error_rate)
-    write_chunks(chunk_rows(chunked, chunk.index_mode), chunk_path)
+    write_chunk_run(chunk_rows(chunked, chunk.index_mode), chunk_path, run_id or _run_id())
     return log
 
 
+def _run_id() -> str:
+    """Sorts by time."""
+    return time.strftime("%Y%m%dT%H%M%S", time.gmtime()) + f"-{time.time_ns() % 1_000_000_000:09d}"
+
+
 def collection_rows(
     chunks: DataFrame, config: CollectionConfig = CollectionConfig(), embedder=None, model: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -124,7 +134,13 @@ def single_step(
     log = run_log(chunked)
     check_error_rate(log, parse.max_error_rate)
     load_step(chunk_rows(chunked, chunk.index_mode), config, embedder, allow_empty=True)
-    return log
+    return with_inserted(log, store.open_collection(files.sparkSession, config))
+
+
+def with_inserted(log: DataFrame, collection: DataFrame) -> DataFrame:
+    """The log with ``chunks_inserted``, what of each source the collection holds."""
+    stored = collection.groupBy("source_key").agg(F.count("*").alias("chunks_inserted"))
+    return log.join(stored, "source_key", "left").withColumn("chunks_inserted", F.coalesce("chunks_inserted", F.lit(0)))
 
 
 # ---- incremental runs --------------------------------------------------------------
@@ -153,18 +169,31 @@ def append_indexed(
 ) -> None:
     """Add chunks to an indexed collection: existing centroids, no rebuild.
 
-    Chunks whose id is already stored are left out, so a repeated call adds nothing.
+    Chunks whose key (source and number) is already stored are left out, so a repeated call
+    adds nothing. Over-long chunks are appended to ``<name>__rejected``, once each.
     """
     spark = chunks.sparkSession
-    # The new ids are stored, so the planner knows their size and can send them to
+    stored = store.open_collection(spark, config)
+    key = [c for c in ("source_key", "source_file") if c in stored.columns and c in chunks.columns][0]
+    # The new keys are stored, so the planner knows their size and can send them to
     # the collection instead of shuffling the collection to them.
-    chunks = chunks.withColumn("id", store.chunk_id(chunks))
-    new_ids = materialise(chunks.select("id"), "ids")
-    known = store.open_collection(spark, config).select("id").join(new_ids, "id", "left_semi")
-    fresh = chunks.join(known, "id", "left_anti").drop("id")
-    rows, _ = collection_rows(fresh, config, embedder)
+    on = [key, "chunk_index"]
+    new_keys = materialise(chunks.select(F.col(key).cast("string").alias(key), F.col("chunk_index").cast("long")).distinct(), "keys")
+
+    def unseen(table: DataFrame) -> DataFrame:
+        known = table.select(*on).join(new_keys, on, "left_semi")
+        return chunks.join(known, on, "left_anti")
+
+    rows, _ = collection_rows(unseen(stored), config, embedder)
     indexed = materialise(assign_cells(rows, centroids), "append")
-    store.append(indexed.select(*store.open_collection(spark, config).columns), config, CELL)
+    store.append(indexed.select(*stored.columns), config, CELL)
+    rejects = CollectionConfig(f"{config.name}__rejected", config.database)
+    if store.exists(spark, rejects):
+        _, rejected = collection_rows(unseen(store.open_collection(spark, rejects)), config, embedder)
+        store.append(rejected, rejects)
+    else:
+        _, rejected = collection_rows(chunks, config, embedder)
+        store.create_or_replace(rejected, rejects)
 
 
 def of_model(collection: DataFrame, model: str) -> DataFrame:

@@ -414,3 +414,50 @@ FROM (SELECT doc_id, source || '/' || lang || '_v0.3' AS m FROM documents)""",
         select=f"SELECT cast(doc AS varchar) AS source_file, chunk_index, text, cast({EMBEDDING_DIM} AS bigint) AS dim FROM greedy",
     ),
 }
+
+
+# ---- whole pipelines and collections ---------------------------------------------------------
+
+_CHUNKS = _with(LINES, DOC_UNITS, GREEDY, select="SELECT doc AS doc_id, chunk_index, text FROM greedy", recursive=True)
+_LETTERS = " || ',' || ".join(f"(length(lower(text)) - length(replace(lower(text), '{c}', '')))" for c in "etaoinsh")
+
+ORACLE |= {
+    "two_step_collection": _CHUNKS,
+    "one_step_collection": _CHUNKS,
+    "append_incremental": _CHUNKS,
+    "stream_two_versions": _with(
+        LINES, DOC_UNITS, GREEDY, recursive=True,
+        select="""SELECT doc AS doc_id, chunk_index, text FROM greedy WHERE doc % 10 >= 2
+UNION ALL SELECT doc_id, 0, 'second version' FROM documents WHERE doc_id % 10 = 0""",
+    ),
+    "pipeline_log": _with(
+        LINES, DOC_UNITS, GREEDY, recursive=True,
+        select="""SELECT d.doc_id, CASE WHEN count(g.chunk_index) > 0 THEN 'success' ELSE 'empty' END AS status,
+  count(g.chunk_index) AS chunk_count, count(g.chunk_index) AS chunks_inserted
+FROM documents d LEFT JOIN greedy g ON g.doc = d.doc_id GROUP BY d.doc_id""",
+    ),
+    "collection_label": _with(
+        LINES, DOC_UNITS, GREEDY, recursive=True, select="SELECT 'labelled:' || count(*) AS label FROM greedy"
+    ),
+    "parse_outcomes": """
+SELECT doc_id,
+  CASE WHEN doc_id = 5 THEN 'timeout' WHEN doc_id % 7 = 1 THEN 'error' WHEN doc_id % 7 = 2 THEN 'empty' ELSE 'success' END AS status,
+  CASE WHEN doc_id = 5 OR doc_id % 7 = 1 THEN 0 ELSE 2 END AS page_count,
+  CASE WHEN doc_id = 5 THEN 'Timed out after 2s' WHEN doc_id % 7 = 1 THEN 'cannot read this file'
+       WHEN doc_id % 7 = 2 THEN 'No chunks produced' ELSE '' END AS error,
+  true AS has_host, doc_id = 5 AS slow
+FROM documents""",
+    "collection_lifecycle": _with(
+        LINES, DOC_UNITS, GREEDY, "n AS (SELECT CAST(count(*) AS VARCHAR) AS n FROM greedy)", recursive=True,
+        select="""SELECT 'exists before' AS fact, 'false' AS value UNION ALL SELECT 'exists', 'true' UNION ALL SELECT 'listed', 'true'
+UNION ALL SELECT 'found in', 'default' UNION ALL SELECT 'rows', n FROM n
+UNION ALL SELECT 'columns', 'id,source_file,chunk_index,text,embedding,source_key'
+UNION ALL SELECT 'loaded rows', n FROM n UNION ALL SELECT 'exists after', 'false'""",
+    ),
+    "ivf_stored_recall": "SELECT 5 * count(*) AS expected, true AS good FROM embeddings",
+    "embedder_modes": f"SELECT item_id, {_LETTERS} AS local, {_LETTERS} AS remote FROM benchmark",
+    "several_models": "SELECT item_id, 'second' AS model FROM benchmark WHERE item_id % 3 >= 1",
+    "generator_per_query": """
+SELECT item_id, model, CASE WHEN model <> 'unknown' THEN model || ': ' || length(text) END AS answer
+FROM (SELECT *, ['small', 'large', 'unknown'][item_id % 3 + 1] AS model FROM benchmark)""",
+}

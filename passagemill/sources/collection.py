@@ -23,8 +23,9 @@ def chunk_id(chunks: DataFrame) -> Column:
 
 
 def to_collection(chunks: DataFrame) -> DataFrame:
-    """Bring embedded chunks into the collection schema; extra columns stay behind it."""
-    extra = [c for c in chunks.columns if c not in (*COLUMNS, "source_key")]
+    """Bring embedded chunks into the collection schema; extra columns, the full key of
+    the source among them, stay behind it."""
+    extra = [c for c in chunks.columns if c not in COLUMNS]
     return chunks.select(
         chunk_id(chunks).alias("id"),
         "source_file",
@@ -104,23 +105,27 @@ def create_or_replace(
 ) -> None:
     """Destructive: an existing collection of this name is dropped.
 
-    All rows are computed and written aside first, so a failure in parsing or
-    embedding leaves the old collection untouched. A plain table is then renamed;
-    a partitioned one is laid out from the side table.
+    All rows are computed and written aside first, in the final layout, so a failure in
+    parsing, embedding or layout leaves the old collection untouched. Only then is
+    the old table dropped; a plain table is renamed, a partitioned one copied.
     """
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{config.database}`")
-    side = f"`{config.database}`.`{config.name}__new`"
-    spark.sql(f"DROP TABLE IF EXISTS {side}")
+    side, laid = (f"`{config.database}`.`{config.name}__{x}`" for x in ("new", "laid"))
+    for name in (side, laid):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     df.write.format("parquet").saveAsTable(side)
-    spark.sql(f"DROP TABLE IF EXISTS {full_name(config)}")
     if partition_by is None:
+        spark.sql(f"DROP TABLE IF EXISTS {full_name(config)}")
         spark.sql(f"ALTER TABLE {side} RENAME TO {full_name(config)}")
         return
-    even_files(spark.table(side), partition_by, rows_per_file).write.format("parquet").partitionBy(
-        partition_by
-    ).saveAsTable(full_name(config))
+    table = even_files(spark.table(side), partition_by, rows_per_file)
+    table.write.format("parquet").partitionBy(partition_by).saveAsTable(laid)
     spark.sql(f"DROP TABLE {side}")
+    spark.sql(f"DROP TABLE IF EXISTS {full_name(config)}")
+    # a rename would leave the catalog's partitions at their old place
+    spark.table(laid).write.format("parquet").partitionBy(partition_by).saveAsTable(full_name(config))
+    spark.sql(f"DROP TABLE {laid}")
 
 
 def append(

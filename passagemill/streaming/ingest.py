@@ -2,11 +2,14 @@
 
 Chunking and embedding work on one row, so the stream needs no state. Each
 micro-batch replaces its own ``batch_id`` partition; a batch that runs twice
-leaves the same rows.
+leaves the same rows. Beside the rows there are tables of rejected chunks and of the
+documents' status.
 """
 
 from __future__ import annotations
 
+from collections import deque
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
@@ -16,6 +19,7 @@ from ..config import ChunkConfig, CollectionConfig
 from ..operators.batchmap import native_documents
 from ..operators.units import line_units
 from ..plans.ingest import chunk_documents, chunk_rows, collection_rows
+from ..session import materialise
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -58,28 +62,58 @@ def ingest_stream(
         .options(**(options or {}))
         .format(file_format)
         .load(source)
+        .withColumn("__version", F.col("_metadata.file_modification_time"))
     )
     if blocks:
         documents = documents.repartition(blocks)
-    chunks = text_chunks(documents, key, text, chunk)
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        rows, _ = collection_rows(batch, collection, embedder)
+        parsed = native_documents(line_units(latest_versions(batch, key), text), key, key, ["__version"])
+        chunked = materialise(
+            chunk_documents(parsed, chunk, collapsed=True).withColumnRenamed("__version", "version"), "batch"
+        )
+        rows = chunk_rows(chunked, chunk.index_mode).join(chunked.select("source_key", "version"), "source_key")
+        rows, rejected = collection_rows(rows, collection, embedder)
         _write_batch(rows, batch_id, stream_id, target)
+        _write_batch(rejected, batch_id, stream_id, rejects_of(target))
+        log = chunked.select("source_key", "source_file", "status", "chunk_count", "error", "version")
+        _write_batch(log, batch_id, stream_id, log_of(target))
 
     return (
-        chunks.writeStream.foreachBatch(take)
+        documents.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def rejects_of(target: str) -> str:
+    return f"{target.rstrip('/')}__rejected"
+
+
+def log_of(target: str) -> str:
+    return f"{target.rstrip('/')}__log"
+
+
+def latest_versions(batch: DataFrame, key: str, version: str = "__version") -> DataFrame:
+    """One row per document: of the latest file, and of equal times that with the largest content hash."""
+    others = [c for c in batch.columns if c != key]
+    newest = F.max(F.struct(version, F.xxhash64(*others).alias("__hash"), *[c for c in others if c != version]))
+    return batch.groupBy(key).agg(newest.alias("__r")).select(key, *[F.col(f"__r.{c}").alias(c) for c in others])
+
+
 def current_rows(spark: SparkSession, target: str) -> DataFrame:
-    """The streamed collection; of a document that came twice, the latest version."""
+    """The streamed collection; of a document that came more than once, its latest version.
+
+    Versions are ordered by the time of their file, then by stream and batch. The log has an
+    entry for each, also for one without chunks, which so replaces what came before.
+    """
+    entry = ["stream_id", "batch_id", "source_file"]
+    log = spark.read.option("basePath", log_of(target)).parquet(log_of(target))
+    latest = log.groupBy("source_file").agg(F.max(F.struct("version", "batch_id", "stream_id")).alias("v"))
+    latest = latest.select("source_file", "v.stream_id", "v.batch_id")
     rows = spark.read.option("basePath", target).parquet(target)
-    latest = rows.groupBy("source_file").agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(latest, ["source_file", "batch_id"], "left_semi")
+    return rows.join(latest, entry, "left_semi")
 
 
 def question_stream(
@@ -104,10 +138,10 @@ def question_stream(
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps (batch id, input rows, rows per second) of each finished batch."""
+    """Keeps (batch id, input rows, rows per second) of the last finished batches."""
 
-    def __init__(self):
-        self.seen: list[tuple[int, int, float]] = []
+    def __init__(self, keep: int = 1000):
+        self.seen: deque[tuple[int, int, float]] = deque(maxlen=keep)
 
     def onQueryStarted(self, event):
         pass

@@ -18,7 +18,7 @@ from passagemill.plans.ingest import (
 )
 from passagemill.sources import collection as store
 from passagemill.sources.files import list_files, with_source_names
-from passagemill.sources.jsonl import read_chunks
+from passagemill.sources.jsonl import read_chunk_runs
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -82,7 +82,7 @@ def test_two_steps_equal_one_step(spark, files, tmp_path):
     two, one = CollectionConfig("two_steps", "pipes"), CollectionConfig("one_step", "pipes")
     for _ in range(2):  # repeating a run changes nothing
         log = parse_step(files, make_parser, path, PARSE)
-        assert load_step(read_chunks(spark, path), two).head()[0] == "two_steps:4"
+        assert load_step(read_chunk_runs(spark, path), two).head()[0] == "two_steps:4"
     assert log.count() == len(FILES)
     single_step(files, make_parser, one, parse=PARSE)
     a = sorted(tuple(r) for r in store.open_collection(spark, two).select(*key, "embedding").collect())

@@ -6,7 +6,9 @@ import pytest
 import __spark_entry__ as contract
 from check import compare, oracle_connection
 from conftest import SF, plan_of
-from passagemill.plans import catalogue, oracle
+from passagemill.plans import catalogue, lifecycle, oracle
+
+OWN = catalogue.QUERIES | lifecycle.QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,10 +17,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(oracle.ORACLE) == set(catalogue.QUERIES)
+    assert set(oracle.ORACLE) == set(OWN)
 
 
-@pytest.mark.parametrize("name", list(catalogue.QUERIES))
+@pytest.mark.parametrize("name", list(OWN))
 def test_query(spark, con, name):
     verdict, _, _ = compare(spark, con, SF, name)
     assert verdict.startswith("ok"), verdict
@@ -32,9 +34,9 @@ def test_entry(spark):
 def test_flagship_plan(spark):
     plan = plan_of(contract.entry(spark))
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
-    # documents are searched once, and read once more for the winners' texts
-    assert plan.count("MapInArrow") == 1
-    assert plan.count("ReadSchema: struct<doc_id:bigint,text:string>") == 2
+    # chunks are stored once; the search reads them once, and the winners' texts are joined
+    assert plan.count("MapInArrow") == 1 and "aggregate(" not in plan
+    assert plan.count("ReadSchema: struct<source_file:bigint,chunk_index:bigint,text:string>") == 2
 
 
 def test_chunking_needs_no_shuffle(spark):

@@ -125,7 +125,7 @@ def test_trained_index_and_recall(spark, sf):
 
 def test_too_large_centroids_are_refused(spark, sf):
     v = spark.read.parquet(f"{sf}/embeddings.parquet")
-    with pytest.raises(ValueError, match="fewer cells"):
+    with pytest.raises(ValueError, match="assign_cells_of"):
         Centroids(seed_centroids(v, "vec_id", 50), limit_bytes=1000)
 
 
