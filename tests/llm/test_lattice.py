@@ -1,0 +1,84 @@
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from llm_rows import odd  # noqa: F401
+
+from passagemill.llm import lattice
+from passagemill.llm.common import id_remainder
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def paths(s, table):
+    if not s:
+        return 1.0
+    out = 0.0
+    for j in range(1, len(s) + 1):
+        if s[:j] in table:
+            out += table[s[:j]] * paths(s[j:], table)
+    if s[0] not in table:
+        out += math.prod(table[f"<0x{b:02X}>"] for b in s[0].encode()) * paths(s[1:], table)
+    return out
+
+
+def test_forward_is_the_sum_over_segmentations():
+    pieces = lattice.vocabulary(PATH)
+    assert abs(sum(w for _, w in pieces) - 1) < 1e-9
+    names, logs = [p for p, _ in pieces], [math.log(w) for _, w in pieces]
+    root, raw = lattice.tree(names, logs)
+    table = dict(pieces[:-1])
+    for w in ("▁the", "▁thethe", "▁naïve漢𐍈", "▁ontion", "▁͸x"):
+        assert math.isclose(lattice.forward(w, root, raw, logs), math.log(paths(w, table)), rel_tol=1e-9)
+        counts = np.zeros(len(names))
+        lattice.expect(w, 2.0, root, raw, logs, counts)
+        # every path covers the whole word
+        covered = sum(c * (len(n) if not n.startswith("<0x") else 0) for n, c in zip(names, counts))
+        spelled = sum(c != "▁" and c not in table for c in w)
+        assert math.isclose(covered, 2.0 * (len(w) - spelled), rel_tol=1e-9)
+    assert lattice.forward("▁" + "ab" * 5000, root, raw, logs) < -1000
+
+
+@pytest.mark.parametrize("most_bytes", [10 << 20, 200, 0])
+def test_base(spark, sf, most_bytes):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 60")
+    held = id_remainder("doc_id", 5) == 1
+    got = lattice.lattice_scores(docs, PATH, ~held, keep=["doc_id"], most_bytes=most_bytes).collect()
+    words = {r.doc_id: [w.decode() for w in r.text.encode().lower().split()] for r in docs.collect()}
+    own = [d for d in words if zlib.crc32(str(d).encode()) % 5 != 1]
+    c = Counter(w for d in own for w in words[d])
+    ends, n = len(own), sum(c.values()) + len(own)
+    v = len(c) + 1
+    floor = math.log10(n + 0.5 * (v + 1))
+    assert len(got) == len(words)
+    for r in got:
+        w = words[r.doc_id]
+        base = sum(math.log10(c[x] + 0.5) for x in w) + math.log10(ends + 0.5) - (len(w) + 1) * floor
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w) + 1, 1 + sum(c[x] > 0 for x in w), n)
+        assert math.isclose(r.base_score, base, rel_tol=1e-9) and r.score < 0
+    if most_bytes == 200:
+        more = lattice.lattice_scores(docs, PATH, ~held, keep=["doc_id"]).collect()
+        assert {r.doc_id: round(r.score, 6) for r in more} == {r.doc_id: round(r.score, 6) for r in got}
+
+
+def test_likelier_words_score_higher(spark):
+    rows = [(i, "the cat sat on the mat") for i in range(20)] + [(100, "qzx jqk vvw xqz kkj zzq")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.score for r in lattice.lattice_scores(docs, PATH, F.lit(True)).collect()}
+    assert got[0] > got[100]
+
+
+def test_awkward_rows(spark, odd):
+    rows = lattice.lattice_scores(odd("score"), PATH, F.lit(True))
+    found = rows.collect()
+    assert len(found) == 12 and rows.columns.count("score") == 1
+    assert {r.n_tokens for r in found if not (r.text or "").strip()} == {1}
+    assert all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in found)
+    none = lattice.lattice_scores(odd("n_known"), PATH, F.lit(False)).collect()
+    assert {r.n_known for r in none} == {0} and {r.train_tokens for r in none} == {0}
+    assert lattice.lattice_scores(odd("score", rows=[]), PATH, F.lit(True)).count() == 0

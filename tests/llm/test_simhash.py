@@ -1,0 +1,110 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from llm_rows import odd  # noqa: F401
+
+from passagemill.llm import simhash
+from passagemill.llm.components import components
+
+
+def brute_print(text, n=3):
+    w = (text or "").encode().lower().split()
+    if not w:
+        return 0
+    shingles = [b" ".join(w[i : i + n]) for i in range(max(1, len(w) - n + 1))]
+    h = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def groups(prints, bits=2):
+    """Smallest position of each component, all pairs compared."""
+    p = np.array(prints, np.uint64)
+    label = list(range(len(p)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i in range(len(p)):
+        x = p[i + 1 :] ^ p[i]
+        near = np.unpackbits(x.view(np.uint8).reshape(-1, 8), axis=1).sum(1) <= bits
+        for j in (np.flatnonzero(near) + i + 1).tolist():
+            a, b = sorted((root(i), root(j)))
+            label[b] = a
+    return [root(i) for i in range(len(p))]
+
+
+def test_against_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    ids = sorted(texts)
+    prints = [brute_print(texts[i]) for i in ids]
+    want = {i: (f"{p:016x}", ids[g]) for i, p, g in zip(ids, prints, groups(prints))}
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.near_duplicates(docs).collect()}
+    assert got == want and any(i != c for i, (_, c) in got.items())
+
+
+@pytest.mark.parametrize("bits,cell", [(2, 64), (2, 2), (1, 64), (3, 64), (0, 64)])
+def test_links(spark, bits, cell):
+    """Random fingerprints with clouds of close ones; small and large cells find the same components."""
+    rng = random.Random(5)
+    prints = {rng.getrandbits(64) for _ in range(150)}
+    for p in list(prints)[:6]:
+        for _ in range(60):
+            q = p
+            for _ in range(rng.randrange(1, 5)):
+                q ^= 1 << rng.randrange(64)
+            prints.add(q)
+    prints = sorted(prints)
+    signed = [simhash._signed(p) for p in prints]
+    edges = simhash.links(spark.createDataFrame([(p,) for p in signed], "fp bigint"), "fp", bits, cell)
+    assert all(bin((r.src ^ r.dst) & (2**64 - 1)).count("1") <= bits for r in edges.collect())
+    found = {r.node: r.component for r in components(edges).collect()}
+    want = groups(prints, bits)
+    mine = [found.get(s, s) for s in signed]
+    pairs = {}
+    for w, m in zip(want, mine):
+        assert pairs.setdefault(w, m) == m
+    assert len(set(pairs.values())) == len(pairs)
+
+
+def test_manhattan_is_a_lower_bound(spark):
+    rng = random.Random(6)
+    rows = []
+    for _ in range(200):
+        a = rng.getrandbits(64)
+        rows.append((simhash._signed(a), simhash._signed(a ^ rng.getrandbits(64) & rng.getrandbits(64) & rng.getrandbits(64))))
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(rows, "a bigint, b bigint")
+    l1 = simhash.manhattan(simhash.segment_counts(F.col("a")), simhash.segment_counts(F.col("b")))
+    for r in df.select("a", "b", l1.alias("l1")).collect():
+        count = lambda x: [bin(x >> 2 * i & 3).count("1") for i in range(32)]
+        want = sum(abs(x - y) for x, y in zip(count(r.a), count(r.b)))
+        assert r.l1 == want <= bin((r.a ^ r.b) & (2**64 - 1)).count("1")
+
+
+def test_long_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (1000, 1000)], "src bigint, dst bigint")
+    found = {r.node: r.component for r in components(edges).collect()}
+    assert found == {i: 0 for i in range(301)} | {1000: 1000, 1001: 1000}
+    assert components(edges.limit(0)).count() == 0
+
+
+def test_awkward_rows(spark, odd):
+    docs = odd("fp")
+    got = simhash.near_duplicates(docs).collect()
+    assert len(got) == 12
+    assert {(r.fingerprint, r.component_id) for r in got if r.doc_id in (1, 2, 3)} == {("0" * 16, 1)}
+    assert {r.component_id for r in got if r.doc_id is None} == {None}
+    by = {r.doc_id: r.text for r in docs.collect()}
+    assert all(r.fingerprint == f"{brute_print(by[r.doc_id]):016x}" for r in got)
+    stay = simhash.deduplicate(docs)
+    assert stay.columns == docs.columns
+    rows = stay.collect()
+    assert sorted(str(r.doc_id) for r in rows) == sorted({str(c) for c in {r.component_id for r in got}})
+    assert simhash.near_duplicates(odd("x", rows=[])).count() == 0 and simhash.deduplicate(odd("y", rows=[])).count() == 0
