@@ -100,15 +100,15 @@ IF(size(__pieces) = 0, CAST(array() AS ARRAY<INT>),
       sizes -> transform(
         sequence(0, CAST(floor((size(sizes) - 1) / {page}) AS INT)),
         i -> slice(sizes, i * {page} + 1, {page}))), 1),
-    named_struct('held', 0L, 'pos', 0, 'starts', CAST(array() AS ARRAY<INT>)),
+    named_struct('held', 0L, 'pos', 0, 'starts', CAST(array() AS ARRAY<ARRAY<INT>>)),
     (acc, page) -> element_at(transform(
       array(aggregate(page,
         named_struct('held', acc.held, 'pos', acc.pos, 'starts', CAST(array() AS ARRAY<INT>)),
         (a, p) -> IF(a.pos = 0 OR p.brk OR a.held + p.n > {cap},
           named_struct('held', p.n, 'pos', a.pos + 1, 'starts', concat(a.starts, array(a.pos))),
           named_struct('held', a.held + p.n, 'pos', a.pos + 1, 'starts', a.starts)))),
-      d -> named_struct('held', d.held, 'pos', d.pos, 'starts', concat(acc.starts, d.starts))), 1),
-    acc -> acc.starts))
+      d -> named_struct('held', d.held, 'pos', d.pos, 'starts', concat(acc.starts, array(d.starts)))), 1),
+    acc -> flatten(acc.starts)))
 """
 
 _JOIN = r"""
@@ -139,7 +139,7 @@ def greedy_chunks(
 
     A fold over the token counts finds where chunks start. Spark copies the state of
     a fold at every step, so the fold runs page by page: a step copies the starts of
-    one page, and only the step from page to page copies all of them.
+    one page, and the step from page to page one reference a page. They are put together once, at the end.
     """
 
     def spanned_pieces(u: Column, spans: Column) -> Column:

@@ -9,6 +9,8 @@ A unit is ``struct<brk boolean, kind string, heading string, text string>``;
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,17 +24,8 @@ BLOCK_TAGS = "p|li|tr|pre|blockquote|caption|dt|dd"
 OTHER_BLOCKS = (
     "div|nav|ul|ol|dl|table|thead|tbody|article|section|header|footer|main|aside|form|figure|head|body|html"
 )
-ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),  # last, so that "&amp;lt;" becomes "&lt;"
-)
+#: Where a reference isn't read as its character.
+READ_AS = {"nbsp;": " "}
 # --------------------------------------------------------------------------------
 
 # Markers that cannot occur in text: section start, end of tag name, unit start.
@@ -59,10 +52,39 @@ def html_markers() -> list[tuple[str, str]]:
     ]
 
 
+_NAMES = {k: v for k, v in html5.items() if k.endswith(";")} | READ_AS
+
+
+def decode_references(text: Column) -> Column:
+    """Character references by name (the public HTML table) and by number, in one pass.
+
+    What isn't a reference stays as it is; numbers that aren't characters become U+FFFD.
+    """
+    # two constants, not thousands of literals in each copy of the expression
+    names = [F.split(F.lit(UNIT_START.join(x)), UNIT_START) for x in (_NAMES, _NAMES.values())]
+
+    def piece(p: Column) -> Column:
+        name = F.regexp_extract(p, "^[A-Za-z][A-Za-z0-9]*;", 0)
+        at = F.array_position(names[0], name)
+        number = F.regexp_extract(p, "^#(?:[xX][0-9a-fA-F]{1,7}|[0-9]{1,8});", 0)
+        digits = F.regexp_extract(number, "[0-9a-fA-F]+", 0)
+        is_hex = F.lower(F.substring(number, 2, 1)) == "x"
+        code = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10)).cast("long")
+        bad = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(~bad, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+        return (
+            F.when(at > 0, F.concat(F.try_element_at(names[1], at.cast("int")), F.substr(p, F.length(name) + 1)))
+            .when(F.length(number) > 0, F.concat(char, F.substr(p, F.length(number) + 1)))
+            .otherwise(F.concat(F.lit("&"), p))
+        )
+
+    parts = F.split(text, "&")
+    rest = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), piece)
+    return F.when(F.contains(text, F.lit("&")), F.concat(F.element_at(parts, 1), F.array_join(rest, ""))).otherwise(text)
+
+
 def _clean(text: Column) -> Column:
-    for ref, char in ENTITIES:
-        text = F.replace(text, F.lit(ref), F.lit(char))
-    return collapse(text)
+    return collapse(decode_references(text))
 
 
 def line_units(df: DataFrame, text: str, out: str = "units") -> DataFrame:

@@ -12,7 +12,6 @@ from ..operators.prompting import (
     SYSTEM_SENTENCES,
 )
 from ..operators.reports import THRESHOLDS
-from ..operators.units import ENTITIES, NAME_END, SECTION, UNIT_START, html_markers
 
 CAP = CHUNK_TOKENS
 
@@ -44,16 +43,39 @@ DOC_UNITS = rf"""units AS (
   FROM lines WHERE regexp_matches(line, '\S'))"""
 
 
+# Written on its own, and not taken from the operator: marks for the start of a
+# section, of a unit, and the end of a tag's name; then the steps from markup to marks.
+SECTION, NAME_END, UNIT_START = "\x01", "\x02", "\x03"
+_OPENERS = "p|li|tr|pre|blockquote|caption|dt|dd"
+_BOXES = "title|h1|h2|h3|h4|h5|h6|" + _OPENERS + (
+    "|div|nav|ul|ol|dl|table|thead|tbody|article|section|header|footer|main|aside|form|figure|head|body|html"
+)
+_HTML_STEPS = [
+    (f"[{SECTION}{NAME_END}{UNIT_START}]", ""),
+    (r"(?s)<!--.*?-->", ""),
+    (r"(?is)<script\b.*?</script\s*>", ""),
+    (r"(?is)<style\b.*?</style\s*>", ""),
+    (r"(?i)<(title|h[1-6])(?:\s[^>]*)?>", f"{SECTION}\\1{NAME_END}"),
+    (rf"(?i)<({_OPENERS})(?:\s[^>]*)?>", f"{UNIT_START}\\1{NAME_END}"),
+    (rf"(?i)</?(?:{_BOXES})(?:\s[^>]*)?>", f"{UNIT_START}{NAME_END}"),
+    (r"(?i)<br\s*/?>", " "),
+    (r"(?i)</?t[dh](?:\s[^>]*)?>", " "),
+    (r"<[a-zA-Z/!][^>]*(?:>|$)", ""),
+]
+# the references that the given pages hold, and the common ones beside; the ampersand's comes last
+_REFERENCES = {"lt": "<", "gt": ">", "quot": '"', "#39": "'", "apos": "'", "nbsp": " ", "copy": "©", "middot": "·", "amp": "&"}
+
+
 def _marked_html() -> str:
     x = "html"
-    for pattern, replacement in html_markers():
-        x = f"regexp_replace({x}, {lit(pattern)}, {lit(replacement.replace('{1}', chr(92) + '1'))}, 'g')"
+    for pattern, replacement in _HTML_STEPS:
+        x = f"regexp_replace({x}, {lit(pattern)}, {lit(replacement)}, 'g')"
     return f"{lit(NAME_END)} || {x}"
 
 
 def _clean(x: str) -> str:
-    for ref, char in ENTITIES:
-        x = f"replace({x}, {lit(ref)}, {lit(char)})"
+    for name, char in _REFERENCES.items():
+        x = f"replace({x}, {lit('&' + name + ';')}, {lit(char)})"
     return collapse(x)
 
 

@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 
 from passagemill.config import CollectionConfig, ParseConfig, SearchConfig
 from passagemill.operators.batchmap import parse_tasks
+from passagemill.operators.chunking import greedy_chunks
 from passagemill.operators.embedding import EndpointEmbedder, LocalEmbedder, embed
 from passagemill.operators.generation import replies
 from passagemill.operators.ivf import Centroids, assign_cells, assign_cells_of, seed_centroids, train_centroids
 from passagemill.operators.search import top_k
+from passagemill.operators.units import explode_units, html_units, line_units
 from passagemill.plans import ask, ingest
 from passagemill.sources import collection as store
 from passagemill.sources.files import list_files
@@ -214,3 +216,34 @@ def test_from_any_folder(tmp_path):
     done = subprocess.run([sys.executable, "-c", program], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
     assert done.returncode == 0, done.stderr[-3000:]
     assert all(int(line.split()[1]) > 0 for line in done.stdout.splitlines()) and len(done.stdout.splitlines()) == 6
+
+
+PAGE = """<html><head><title>A &mdash; B</title><style>p {x}</style></head><body><!-- no -->
+<h2>Caf&eacute; &#8217;s</h2><p>one&nbsp;&amp;lt; &#x27;two&#x27; &unknown; & &#0; &#xD800;</p><ul><li>x&lt;y<li>z</ul>loose
+<table><tr><td>a</td><td>b</td></tr></table><script>var p = "<p>no</p>";</script></body></html>"""
+
+
+def test_page_units_by_hand(spark):
+    df = spark.createDataFrame([(1, PAGE), (2, "no markup"), (3, "")], "page_id long, html string")
+    got = [(r.page_id, r.kind, r.heading, r.text) for r in explode_units(html_units(df, "html"), ["page_id"]).orderBy("page_id", "unit_no").collect()]
+    cafe = "Café ’s"
+    assert got == [
+        (1, "title", "A — B", "A — B"),
+        (1, "h2", cafe, cafe),
+        (1, "p", cafe, "one &lt; 'two' &unknown; & \ufffd \ufffd"),
+        (1, "li", cafe, "x<y"),
+        (1, "li", cafe, "z"),
+        (1, "text", cafe, "loose"),
+        (1, "tr", cafe, "a b"),
+        (2, "text", "", "no markup"),
+    ]
+
+
+def test_long_documents_pack_in_linear_time(spark):
+    spent = []
+    for n in (100_000, 400_000):
+        df = spark.range(1).select(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: i.cast("string")), "\n").alias("text"))
+        began = time.time()
+        assert greedy_chunks(line_units(df, "text"), cap=1, collapsed=True).select(F.size("chunks")).head()[0] == n
+        spent.append(time.time() - began)
+    assert spent[1] < 12 * spent[0] + 5
