@@ -31,9 +31,11 @@ from .common import kept, materialise, schema_of, text_slices, texts_of
 #: Labelled texts of each class in the index.
 MAX_EXAMPLES = 2000
 #: Terms in the vocabulary, the least chi-square and the least number of examples of each.
-MAX_TERMS, MIN_CHI2, MIN_EXAMPLES = 2048, 24.0, 4
+MAX_TERMS, MIN_CHI2, MIN_EXAMPLES = 1024, 24.0, 4
 STEMS = (4, 5, 6)
 BLOCK = 64
+#: Words that a task remembers with their terms.
+CACHE_WORDS = 120_000
 NEIGHBOURS = 15
 SEED = 3
 _STRIP = b".,;:!?\"'()[]"
@@ -51,7 +53,7 @@ def terms_of(word: bytes) -> list[bytes]:
 
 def _term_counts(text: bytes, vocabulary: dict, cache: dict) -> dict[int, int]:
     """How often each term of the vocabulary occurs."""
-    if len(cache) > 500_000:
+    if len(cache) > CACHE_WORDS:
         cache.clear()
     found: dict[int, int] = {}
     for w, n in Counter(text.lower().split()).items():
@@ -112,7 +114,7 @@ def document_frequencies(docs: DataFrame, text: str, terms: list[bytes]) -> tupl
         vocabulary, cache = shipped.value, {}
         df, n = np.zeros(len(vocabulary) + 1, np.int64), 0
         for batch in batches:
-            for part in text_slices(batch, "t"):
+            for part in text_slices(batch, "t", 1 << 20):
                 for t in texts_of(part.column("t")):
                     n += 1
                     for i in _term_counts(t, vocabulary, cache):
@@ -141,10 +143,10 @@ def build_index(vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int) -> t
     for b in range(most.shape[1]):
         part = vectors[b * BLOCK : (b + 1) * BLOCK]
         terms = np.unique(np.concatenate([t for t, _ in part]))
-        weights = np.zeros((len(terms), len(part)))
+        weights = np.zeros((len(terms), len(part)), np.float32)
         for j, (t, w) in enumerate(part):
             weights[np.searchsorted(terms, t), j] = w
-        most[terms, b] = weights.max(1)
+        most[terms, b] = weights.max(1)  # of the weights as they are stored, so that it is a bound
         blocks.append((b * BLOCK, terms, weights))
     return blocks, most
 
@@ -175,7 +177,7 @@ def nearest(index: tuple, queries: list[tuple[np.ndarray, np.ndarray]], k: int)
         for b in np.unique(block).tolist():
             rows = active[block == b]
             first, terms, weights = blocks[b]
-            found = np.round(dense[np.ix_(rows, terms)] @ weights, 12)
+            found = np.round(dense[np.ix_(rows, terms)] @ weights.astype(np.float64), 12)
             ids = np.broadcast_to(np.arange(first, first + weights.shape[1]), found.shape)
             ids = np.where(found > 0, ids, -1)
             found = np.where(found > 0, found, -1.0)
@@ -300,7 +302,7 @@ def toxicity(docs: DataFrame, model: dict, text: str = "text", keep: Sequence[st
         known = shipped.value
         vocabulary, cache = {t: i for i, t in enumerate(known["terms"])}, {}
         for batch in batches:
-            for part in text_slices(batch, text):
+            for part in text_slices(batch, text, 1 << 20):
                 s, cos, who = score(known, texts_of(part.column(text)), vocabulary, cache)
                 arrays = [*kept(part, keep), pa.array(s), pa.array((s >= 0.5).astype(np.int32))]
                 if evidence:

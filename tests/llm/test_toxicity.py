@@ -20,7 +20,7 @@ def test_search_is_exact():
     examples, queries = some(500), some(80)
     examples[10] = examples[11] = examples[300]  # ties
     dense = lambda v: np.array([np.bincount(a, b, 50) for a, b in v])
-    want = np.round(dense(queries) @ dense(examples).T, 12)
+    want = np.round(dense(queries) @ dense(examples).astype(np.float32).astype(float).T, 12)
     cos, who = t.nearest(t.build_index(examples, 50), queries, 7)
     for i in range(len(queries)):
         order = np.lexsort((np.arange(500), -want[i]))[:7]
