@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Terms are words and their first letters (short stems). The vocabulary holds terms that go with
-the label in a bounded sample of labelled texts (chi-square); document frequencies
+the label in a bounded sample of labelled texts (log-likelihood ratio); document frequencies
 are counted over all documents. The sample's vectors form an inverted index in blocks
 of examples, with the greatest weight of each term in each block. A document's blocks
 are visited in order of their bounds and only while a bound reaches the k-th best cosine, so
@@ -30,9 +30,10 @@ from .common import kept, materialise, schema_of, text_slices, texts_of
 
 #: Labelled texts of each class in the index.
 MAX_EXAMPLES = 2000
-#: Terms in the vocabulary, the least chi-square and the least number of examples of each.
-MAX_TERMS, MIN_CHI2, MIN_EXAMPLES = 1024, 24.0, 4
-STEMS = (4, 5, 6)
+#: Terms in the vocabulary, the least log-likelihood ratio of each, and the least share of toxic
+#: texts among those that have it, were there as many toxic ones as others.
+MAX_TERMS, MIN_RATIO, MIN_SHARE = 1024, 22.0, 0.92
+STEMS = (4, 5, 6, 7, 8)
 BLOCK = 64
 #: Words that a task remembers with their terms.
 CACHE_WORDS = 120_000
@@ -80,7 +81,7 @@ def examples(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label:
 
 
 def choose_terms(found: DataFrame, max_terms: int = MAX_TERMS) -> list[bytes]:
-    """Terms that go with the label, by chi-square over the examples."""
+    """Terms that go with the label, by the log-likelihood ratio over the examples."""
 
     def run(batches):
         for batch in batches:
@@ -98,11 +99,17 @@ def choose_terms(found: DataFrame, max_terms: int = MAX_TERMS) -> list[bytes]:
     if not ones or not zeros:
         return []
     n = found.select("y", "t").mapInArrow(run, "y int, term binary").groupBy("term").agg(F.sum("y").alias("a"), F.count("*").alias("n"))
-    n = n.where(F.col("n") >= MIN_EXAMPLES).select("term", F.col("a").cast("double").alias("a"), (F.col("n") - F.col("a")).cast("double").alias("b"))
-    gap = F.col("a") * zeros - F.col("b") * ones
-    spread = (F.col("a") + F.col("b")) * (F.lit(everything) - F.col("a") - F.col("b")) * ones * zeros
-    chi2 = F.coalesce(F.try_divide(gap * gap * everything, spread), F.lit(0.0))
-    best = n.withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "term").limit(max_terms)
+    n = n.where("n > 2").select("term", F.col("a").cast("double").alias("a"), (F.col("n") - F.col("a")).cast("double").alias("b"))
+
+    def x(v: Column) -> Column:
+        return F.when(v > 0, v * F.log(v)).otherwise(0.0)
+
+    a, b, whole = F.col("a"), F.col("b"), F.lit(everything)
+    inside = x(a) + x(b) + x(ones - a) + x(zeros - b) - x(a + b) - x(whole - a - b)
+    ratio = 2 * (inside - x(F.lit(ones)) - x(F.lit(zeros)) + x(whole))
+    share = (a / ones) / (a / ones + b / zeros)
+    best = n.withColumn("ratio", ratio).where((F.col("ratio") >= MIN_RATIO) & (share >= MIN_SHARE))
+    best = best.orderBy(F.desc("ratio"), "term").limit(max_terms)
     return sorted(bytes(r.term) for r in best.collect())
 
 
