@@ -40,21 +40,22 @@ _LETTER = regex.compile(r"\p{L}")
 
 def sample(docs: DataFrame, text: str, lang: str, doc_id: str, chosen: Column, per_language: int = TRAIN_TEXTS) -> list[tuple[str, list[bytes]]]:
     """(language, windows) of at most ``per_language`` texts of each language, by smallest hash."""
-    rows = docs.where(chosen & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    keys = rows.select(F.col(lang).alias("lang"), F.xxhash64(F.lit(SEED), F.col(doc_id)).alias("h"))
-    # a smallest hashes per language, without a language's rows in one task: a bound from its count, then the rank of few
-    sizes = keys.groupBy("lang").agg(F.count("*").alias("n"))
+    # by id and place, so that rows of one id, however many, aren't drawn together
+    drawn = F.pmod(F.xxhash64(F.lit(SEED), F.col(doc_id), F.monotonically_increasing_id()), F.lit(1 << 30)) / float(1 << 30)
+    known = docs.select(F.col(lang).alias("lang"), F.col(text).alias("t"), chosen.alias("chosen"), drawn.alias("u"))
+    rows = known.where("chosen and lang is not null and t is not null")
+    # the smallest hashes per language, without a language's rows in one task: a bound from its count, then the rank of few
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
     sizes = sizes.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
     share = F.least(F.lit(1.0), F.lit(1.5 * per_language + 50) / F.col("n"))
     bound = F.broadcast(sizes.select(F.col("lang").alias("__lang"), share.alias("share")))
-    u = F.pmod(F.xxhash64(F.lit(SEED), F.col(doc_id)), F.lit(1 << 30)) / float(1 << 30)
-    few = rows.join(bound, F.col(lang) == F.col("__lang")).where(u < F.col("share"))
+    few = rows.join(bound, F.col("lang") == F.col("__lang")).where(F.col("u") < F.col("share"))
     # windows are cut here: a very long text brings no more than a short one
-    size = F.octet_length(F.col(text))
-    body = F.col(text).cast("binary")
+    size = F.octet_length(F.col("t"))
+    body = F.col("t").cast("binary")
     starts = [F.least(F.greatest(F.floor((size - WINDOW) * k / max(1, TRAIN_WINDOWS - 1)), F.lit(0)), size).cast("int") for k in range(TRAIN_WINDOWS)]
     cut = F.array(*[F.substring(body, s + 1, F.lit(WINDOW)) for s in starts])
-    found = few.select(F.col(lang).alias("lang"), u.alias("u"), cut.alias("cut")).sort("lang", "u").collect()
+    found = few.select("lang", "u", cut.alias("cut")).sort("lang", "u").collect()
     out, many = [], {}
     for r in found:
         many[r.lang] = many.get(r.lang, 0) + 1

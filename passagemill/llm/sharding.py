@@ -60,11 +60,11 @@ def shard(
     # one row a bucket, at most MOST_BUCKETS of 24 bytes
     counts = rows.groupBy("bucket").agg(F.count("*").alias("n"))
     starts = counts.select(F.col("bucket").alias("__bucket"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
-    n = F.lit(rows.count())
+    n = rows.count()
     joined = rows.join(F.broadcast(starts), F.col("bucket") == F.col("__bucket"))
     place = F.col("__start") + F.col("pos")
-    joined = joined.withColumn("shard", F.floor(place * shards / n).cast("int"))
-    first = F.expr(f"(shard * bigint({rows.count()}) + {shards - 1}) div {shards}")
+    joined = joined.withColumn("shard", F.expr(f"((__start + pos) * {shards}) div {max(1, n)}").cast("int"))
+    first = F.expr(f"(shard * bigint({n}) + {shards - 1}) div {shards}")
     return joined.withColumn("slot", (place - first).cast("long")).drop("bucket", "pos", "__bucket", "__start")
 
 
