@@ -36,11 +36,11 @@ BITS = 18
 #: Interleaved coders, steps between checkpoints, checkpoints in a block, tokens after which a frame ends.
 LANES, STEPS, PARTS = 32, 512, 4
 BLOCK_TOKENS = LANES * STEPS * PARTS
-FRAME_TOKENS = 24 * BLOCK_TOKENS
+FRAME_TOKENS = 16 * BLOCK_TOKENS
 _LOW = np.uint64(1 << 32)
 _LOW32 = np.uint64(0xFFFFFFFF)
 #: Different words that a task remembers with their ids.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 #: Letters that normalisation leaves alone but for their case, with one mark behind: one or two pieces before merging.
 _SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 
