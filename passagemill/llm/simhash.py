@@ -38,6 +38,8 @@ SEED = 42
 SEGMENT_BITS = 2
 #: Fingerprints in a cell up to which its pairs are looked at one by one.
 CELL_PAIRS = 64
+#: Rows of a fingerprint beyond which it counts as hot, and how many hot ones there can be.
+HOT_COPIES, HOT_SHARE = 500, 100_000
 
 
 def with_fingerprints(
@@ -140,18 +142,28 @@ def links(prints: DataFrame, fp: str = "fp", max_bits: int = MAX_BITS, cell_pair
 def classes(
     fingerprints: DataFrame, member: Column, fp: str = "fp", max_bits: int = MAX_BITS, cell_pairs: int = CELL_PAIRS
 ) -> DataFrame:
-    """(fp, best): the smallest ``member`` of each fingerprint's component.
+    """(fp, best, n): the smallest ``member`` of each fingerprint's component, and the rows of the fingerprint.
 
     ``fingerprints`` must be a written table, since it is read more than once.
     """
-    prints = materialise(fingerprints.groupBy(fp).agg(F.min(member).alias("best")), "prints")
+    prints = materialise(fingerprints.groupBy(fp).agg(F.min(member).alias("best"), F.count("*").alias("n")), "prints")
     edges = materialise(links(prints.select(fp), fp, max_bits, cell_pairs), "links")
     labels = components(edges)
     joined = prints.join(labels.select(F.col("node").alias(fp), "component"), fp, "left")
     joined = joined.withColumn("component", F.coalesce("component", fp))
     best = joined.groupBy("component").agg(F.min("best").alias("best"))
     linked = labels.join(best, "component").select(F.col("node").alias("__fp"), F.col("best").alias("__best"))
-    return prints.join(linked, F.col(fp) == F.col("__fp"), "left").select(fp, F.coalesce("__best", "best").alias("best"))
+    return prints.join(linked, F.col(fp) == F.col("__fp"), "left").select(fp, F.coalesce("__best", "best").alias("best"), "n")
+
+
+def join_classes(rows: DataFrame, found: DataFrame, fp: str = "fp") -> DataFrame:
+    """Each row with its class. Fingerprints of very many rows, few by the rule that
+    defines them (at most HOT_SHARE), are joined by broadcast, the others by fingerprint."""
+    found = materialise(found, "classes")
+    total = found.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("n") > max(HOT_COPIES, total // HOT_SHARE)
+    usual = rows.join(found.where(~hot).drop("n"), fp)
+    return usual.unionByName(rows.join(F.broadcast(found.where(hot).drop("n")), fp))
 
 
 def near_duplicates(
@@ -160,8 +172,8 @@ def near_duplicates(
     """Per row of ``docs``: doc_id, fingerprint (16 hexadecimal digits) and component_id."""
     rows = materialise(with_fingerprints(docs, text, [doc_id], words), "fingerprints")
     found = classes(rows, F.struct(F.col(doc_id).isNull().alias("missing"), F.col(doc_id).alias("id")), max_bits=max_bits)
-    found = found.select("fp", F.col("best.id").alias("component_id"))
-    return rows.join(found, "fp").select(F.col(doc_id), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    found = join_classes(rows, found.select("fp", F.col("best.id").alias("component_id"), "n"))
+    return found.select(F.col(doc_id), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
