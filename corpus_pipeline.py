@@ -10,7 +10,7 @@ import os
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -27,8 +27,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the labelled neighbours call toxic go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels, id_remainder("id", 5) != 0)
-    scored = toxicity.toxicity(_free(docs, "score", "predicted"), model, keep=docs.columns, evidence=False)
-    return scored.where("predicted = 0").select(*docs.columns)
+    own, back = _spared(docs, "score", "predicted")
+    scored = toxicity.toxicity(own, model, evidence=False)
+    return scored.where("predicted = 0").select(*back)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,25 +39,26 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    found = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.where(~F.col("contaminated")).select(*docs.columns)
+    own, back = _spared(docs, "n_words", "n_hit", "items", "hit_spans", "contaminated")
+    found = decontaminate.decontaminate(own, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.where(~F.col("contaminated")).select(*back)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's rate says."""
-    return mixing.emit(mixing.mix(docs)).select(*docs.columns)
+    own, back = _spared(docs, "size", "source_size", "target", "copies", "taken")
+    return mixing.emit(mixing.mix(own)).select(*back)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix in random order, dealt over shards: with shard and slot."""
+    """The mix in random order, dealt over shards: with shard and slot, in place of columns of that name."""
     return sharding.shard(docs)
 
 
-def _free(docs: DataFrame, *names: str) -> DataFrame:
-    clash = [c for c in docs.columns if c.lower() in names]
-    if clash:
-        raise ValueError(f"columns of documents expected, not {clash}")
-    return docs
+def _spared(docs: DataFrame, *results: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with columns named like an operator's results out of its way, and the columns as they were."""
+    names = {c: f"__own_{i}" for i, c in enumerate(docs.columns) if c.lower() in results}
+    return docs.withColumnsRenamed(names), [F.col(names.get(c, c)).alias(c) for c in docs.columns]
 
 
 STAGES = [

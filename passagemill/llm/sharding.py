@@ -32,10 +32,10 @@ SEED = 11
 
 
 def shuffled(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """Written table of ``docs`` with bucket and pos, its place in the shuffled bucket."""
+    """Written table of ``docs`` with __bucket and __pos, its place in the shuffled bucket."""
     volume = docs.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + 64)).first()[0] or 0
     buckets = int(min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-volume // bucket_bytes))))
-    columns = [c for c in docs.columns if c.lower() not in ("bucket", "pos")]
+    columns = docs.columns
     row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])
     place = F.monotonically_increasing_id()
     scattered = docs.select(place.alias("place"), F.pmod(F.xxhash64(F.lit(seed), F.col(doc_id), place), F.lit(buckets)).cast("int").alias("bucket"), row.alias("row"))
@@ -43,7 +43,7 @@ def shuffled(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", seed:
     # in the order of buckets, so that the generator of a task meets them in the same order each time
     drawn = grouped.sortWithinPartitions("bucket").select("bucket", F.shuffle("rows", F.lit(seed)).alias("rows"))
     out = drawn.select("bucket", F.posexplode("rows").alias("pos", "r"))
-    return materialise(out.select("bucket", F.col("pos").cast("long"), *[F.col(f"r.row.c{i}").alias(c) for i, c in enumerate(columns)]), "buckets")
+    return materialise(out.select(F.col("bucket").alias("__bucket"), F.col("pos").cast("long").alias("__pos"), *[F.col(f"r.row.c{i}").alias(c) for i, c in enumerate(columns)]), "buckets")
 
 
 def shard(
@@ -56,16 +56,16 @@ def shard(
 ) -> DataFrame:
     """``docs`` with shard (counts at most one apart) and slot (0, 1, ... in each shard)."""
     rows = shuffled(docs.select(*[c for c in docs.columns if c.lower() not in ("shard", "slot")]), text, doc_id, seed, bucket_bytes)
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     # one row a bucket, at most MOST_BUCKETS of 24 bytes
-    counts = rows.groupBy("bucket").agg(F.count("*").alias("n"))
-    starts = counts.select(F.col("bucket").alias("__bucket"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
+    counts = rows.groupBy(F.col("__bucket").alias("__b")).agg(F.count("*").alias("n"))
+    starts = counts.select("__b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
     n = rows.count()
-    joined = rows.join(F.broadcast(starts), F.col("bucket") == F.col("__bucket"))
-    place = F.col("__start") + F.col("pos")
-    joined = joined.withColumn("shard", F.expr(f"((__start + pos) * {shards}) div {max(1, n)}").cast("int"))
+    joined = rows.join(F.broadcast(starts), F.col("__bucket") == F.col("__b"))
+    place = F.col("__start") + F.col("__pos")
+    joined = joined.withColumn("shard", F.expr(f"((__start + __pos) * {shards}) div {max(1, n)}").cast("int"))
     first = F.expr(f"(shard * bigint({n}) + {shards - 1}) div {shards}")
-    return joined.withColumn("slot", (place - first).cast("long")).drop("bucket", "pos", "__bucket", "__start")
+    return joined.withColumn("slot", (place - first).cast("long")).drop("__bucket", "__pos", "__b", "__start")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

@@ -296,7 +296,7 @@ def score(model: dict, texts: list[bytes], vocabulary: dict, cache: dict) -> tup
 
 def toxicity(docs: DataFrame, model: dict, text: str = "text", keep: Sequence[str] | None = None, evidence: bool = True) -> DataFrame:
     """``docs`` (or its columns ``keep``) with score, predicted and, as evidence, the neighbours (id, toxic, cosine)."""
-    results = ("score", "predicted", "neighbours")
+    results = ("score", "predicted", *["neighbours"] * evidence)
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in results]
     source = docs.select(*keep) if text in keep else docs.select(*keep, text)
     shipped = docs.sparkSession.sparkContext.broadcast(model)

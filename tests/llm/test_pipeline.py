@@ -1,5 +1,7 @@
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as p
 from test_decontaminate import brute
 from test_simhash import brute_print, groups
@@ -47,6 +49,23 @@ def test_run(spark):
     assert rows.columns == [*COLUMNS, "shard", "slot"] and rows.count() > 100
 
 
+CLASH = (
+    "score predicted neighbours fp fingerprint component_id n_words n_hit items hit_spans contaminated size source_size "
+    "target copies taken bucket pos place row id t h best n"
+).split()
+
+
+def test_clashing_columns_come_through(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    for i, c in enumerate(CLASH):
+        docs = docs.withColumn(c, F.col("doc_id") * 100 + i)
+    docs.write.parquet(str(tmp_path / "clash"))
+    docs = spark.read.parquet(str(tmp_path / "clash"))
+    for _, stage in p.STAGES:
+        rows = stage(spark, docs, SF).collect()
+        assert rows and all(r[c] == r.doc_id * 100 + i for r in rows for i, c in enumerate(CLASH))
+
+
 def test_awkward_rows(spark, odd):
     docs = odd("n_chars").drop("other").select(*COLUMNS)
     for _, stage in p.STAGES:
