@@ -181,22 +181,18 @@ def quality(
     own = materialise(sketches(rates, keys), "sketches")
     wide = own.groupBy(keys[0], "rate", "bin").agg(F.sum("n").alias("n"))
     everything = wide.groupBy("rate", "bin").agg(F.sum("n").alias("n")).withColumn("__one", F.lit(1))
-    levels = [
-        _flat(thresholds(own, keys, reach), keys),
-        _flat(thresholds(wide, keys[:1], reach), keys[:1]),
-        _flat(thresholds(everything, ["__one"], reach), ["__one"]),
-    ]
+    levels = [_flat(thresholds(own, keys, reach), keys), _flat(thresholds(wide, keys[:1], reach), keys[:1])]
+    widest = _flat(thresholds(everything, ["__one"], reach), ["__one"]).first()  # one row
     sides = [f"{s}_{r}" for r in RATES for s in ("least", "most")]
     groups = rows.groupBy(*keys).agg(F.count("*").alias("__rows"))
-    for i, (level, on) in enumerate(zip(levels, (list(keys), [keys[0]], []))):
+    for i, (level, on) in enumerate(zip(levels, (list(keys), [keys[0]]))):
         right = level.select(*[F.col(k).alias(f"__{i}_{k}") for k in on], F.struct("n_group", *sides).alias(f"level{i}"))
-        if on:
-            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{i}_{k}")) for k in on])
-            groups = groups.join(right, same, "left")
-        else:  # one row
-            groups = groups.join(F.broadcast(right), how="left")
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{i}_{k}")) for k in on])
+        groups = groups.join(right, same, "left")
+    of_all = [F.lit(widest["n_group"] if widest else None).cast("bigint").alias("n_group")]
+    of_all += [F.lit(widest[s] if widest else None).cast("double").alias(s) for s in sides]
     enough = lambda i: F.when(F.col(f"level{i}.n_group") >= min_group, F.col(f"level{i}"))
-    groups = groups.select(*keys, F.coalesce(enough(0), enough(1), F.col("level2")).alias("limits"))
+    groups = groups.select(*keys, F.coalesce(enough(0), enough(1), F.struct(*of_all)).alias("limits"))
     groups = materialise(groups, "limits")
     joined = join_groups(rates, groups, keys, groups.count(), F.xxhash64(*[F.col(f) for f in FEATURES], *[F.col(c) for c in columns]))
     beyond = [
