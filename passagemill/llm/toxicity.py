@@ -1,11 +1,11 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words and their first letters (short stems). The vocabulary holds terms that go with
-the label in a bounded sample of labelled texts (log-likelihood ratio); document frequencies
-are counted over all documents. The sample's vectors form an inverted index in blocks
-of examples, with the greatest weight of each term in each block. A document's blocks
-are visited in order of their bounds and only while a bound reaches the k-th best cosine, so
-the result is exact. The neighbours vote with weights that grow as the distance falls;
+Terms are words and their first letters (short stems). The vocabulary holds every term of a bounded
+sample of labelled texts; document frequencies are counted over all documents. The sample's
+vectors form an inverted index: rare terms as lists of examples, frequent ones as blocks of
+examples with the greatest weight of each term in each block. A document's lists are added up
+first; of the blocks only those are added whose bound reaches the k-th best sum so far, so the result is
+exact. The neighbours vote with weights that grow as the distance falls;
 a monotone curve, fitted to votes of the examples about each other, turns votes into
 probabilities at the label rate of all labelled rows.
 
@@ -30,11 +30,12 @@ from .common import kept, materialise, schema_of, text_slices, texts_of
 
 #: Labelled texts of each class in the index.
 MAX_EXAMPLES = 2000
-#: Terms in the vocabulary, the least log-likelihood ratio of each, and the least share of toxic
-#: texts among those that have it, were there as many toxic ones as others.
-MAX_TERMS, MIN_RATIO, MIN_SHARE = 1024, 22.0, 0.92
 STEMS = (4, 5, 6, 7, 8)
 BLOCK = 64
+#: Terms that this share of the examples has are held in blocks, at most so many; all others as lists.
+HEAD_SHARE, HEAD_TERMS = 0.1, 1024
+#: Documents that are scored at a time.
+QUERIES = 64
 #: Words that a task remembers with their terms.
 CACHE_WORDS = 120_000
 NEIGHBOURS = 15
@@ -80,82 +81,75 @@ def examples(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label:
     return materialise(rows, "examples"), share
 
 
-def choose_terms(found: DataFrame, max_terms: int = MAX_TERMS) -> list[bytes]:
-    """Terms that go with the label, by the log-likelihood ratio over the examples."""
+def all_terms(found: DataFrame) -> list[bytes]:
+    """Every term of the examples, in order."""
 
     def run(batches):
         for batch in batches:
             for part in text_slices(batch, "t"):
-                ys, terms = [], []
-                for y, t in zip(part.column("y").to_pylist(), texts_of(part.column("t"))):
-                    own = {x for w in set(t.lower().split()) for x in terms_of(w)}
-                    ys.extend([y] * len(own))
-                    terms.extend(own)
-                yield pa.RecordBatch.from_arrays([pa.array(ys, pa.int32()), pa.array(terms, pa.binary())], ["y", "term"])
-
-    totals = found.agg(F.sum("y"), F.count("*")).first()
-    ones, everything = float(totals[0] or 0), float(totals[1])
-    zeros = everything - ones
-    if not ones or not zeros:
-        return []
-    n = found.select("y", "t").mapInArrow(run, "y int, term binary").groupBy("term").agg(F.sum("y").alias("a"), F.count("*").alias("n"))
-    n = n.where("n > 2").select("term", F.col("a").cast("double").alias("a"), (F.col("n") - F.col("a")).cast("double").alias("b"))
-
-    def x(v: Column) -> Column:
-        return F.when(v > 0, v * F.log(v)).otherwise(0.0)
+                own = {x for t in texts_of(part.column("t")) for w in set(t.lower().split()) for x in terms_of(w)}
+                yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.binary())], ["term"])
 
-    a, b, whole = F.col("a"), F.col("b"), F.lit(everything)
-    inside = x(a) + x(b) + x(ones - a) + x(zeros - b) - x(a + b) - x(whole - a - b)
-    ratio = 2 * (inside - x(F.lit(ones)) - x(F.lit(zeros)) + x(whole))
-    share = (a / ones) / (a / ones + b / zeros)
-    best = n.withColumn("ratio", ratio).where((F.col("ratio") >= MIN_RATIO) & (share >= MIN_SHARE))
-    best = best.orderBy(F.desc("ratio"), "term").limit(max_terms)
-    return sorted(bytes(r.term) for r in best.collect())
+    return sorted(found.select("t").mapInArrow(run, "term binary").distinct().toArrow().column("term").to_pylist())
 
 
 def document_frequencies(docs: DataFrame, text: str, terms: list[bytes]) -> tuple[np.ndarray, int]:
     """Documents with each term, and all documents: over the whole table."""
-    shipped = docs.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
+    shipped = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches):
-        vocabulary, cache = shipped.value, {}
+        vocabulary, cache = {t: i for i, t in enumerate(shipped.value)}, {}
         df, n = np.zeros(len(vocabulary) + 1, np.int64), 0
         for batch in batches:
             for part in text_slices(batch, "t", 1 << 20):
                 for t in texts_of(part.column("t")):
                     n += 1
-                    for i in _term_counts(t, vocabulary, cache):
-                        df[i] += 1
+                    df[list(_term_counts(t, vocabulary, cache))] += 1
         df[-1] = n
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(df))), pa.array(df)], ["term", "n"])
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(df[some])], ["term", "n"])
 
-    rows = docs.select(F.col(text).alias("t")).mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select(F.col(text).alias("t")).mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(len(terms) + 1, np.int64)
-    for r in rows:
-        df[r.term] = r.n
+    df[rows.column("term").to_numpy()] = rows.column("n").to_numpy()
     return df[:-1], int(df[-1])
 
 
 def vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Terms in order and their unit-length weights."""
-    at = np.array(sorted(counts), np.int64)
-    w = (1 + np.log(np.array([counts[i] for i in at.tolist()], float))) * idf[at]
+    at = np.fromiter(counts, np.int64, len(counts))
+    n = np.fromiter(counts.values(), float, len(counts))
+    order = np.argsort(at)
+    at = at[order]
+    w = (1 + np.log(n[order])) * idf[at]
     norm = np.sqrt((w * w).sum())
     return (at, w / norm) if norm > 0 else (at[:0], w[:0])
 
 
 def build_index(vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int) -> tuple:
-    """Blocks of (first example, terms, weights by term) and the terms' greatest weights by block."""
-    blocks, most = [], np.zeros((n_terms, -(-len(vectors) // BLOCK)))
-    for b in range(most.shape[1]):
-        part = vectors[b * BLOCK : (b + 1) * BLOCK]
-        terms = np.unique(np.concatenate([t for t, _ in part]))
-        weights = np.zeros((len(terms), len(part)), np.float32)
-        for j, (t, w) in enumerate(part):
-            weights[np.searchsorted(terms, t), j] = w
-        most[terms, b] = weights.max(1)  # of the weights as they are stored, so that it is a bound
-        blocks.append((b * BLOCK, terms, weights))
-    return blocks, most
+    """Lists of (example, weight) by term, and blocks of the frequent terms with their greatest weights.
+
+    (number of examples, where each term's list starts, its examples, their weights, each term's
+    row in the blocks or -1, blocks of terms by examples, greatest weights of terms by blocks)
+    """
+    n = len(vectors)
+    terms = np.concatenate([np.zeros(0, np.int64), *[t for t, _ in vectors]])
+    weights = np.concatenate([np.zeros(0), *[w for _, w in vectors]]).astype(np.float32)
+    who = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t, _ in vectors])
+    share = np.bincount(terms, minlength=n_terms)
+    often = np.argsort(-share, kind="stable")[:HEAD_TERMS]
+    often = np.sort(often[share[often] > HEAD_SHARE * n])
+    row = np.full(n_terms, -1, np.int32)
+    row[often] = np.arange(len(often))
+    inside = row[terms] >= 0
+    head = np.zeros((len(often), n), np.float32)
+    head[row[terms[inside]], who[inside]] = weights[inside]
+    blocks = [np.ascontiguousarray(head[:, b : b + BLOCK]) for b in range(0, n, BLOCK)]
+    most = np.array([b.max(1) for b in blocks], np.float64).T.reshape(len(often), len(blocks))  # of the weights as they are stored, so that it is a bound
+    order = np.flatnonzero(~inside)
+    order = order[np.argsort(terms[order], kind="stable")]
+    starts = np.searchsorted(terms[order], np.arange(n_terms + 1))
+    return n, starts, who[order], weights[order], row, blocks, most
 
 
 def nearest(index: tuple, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -163,38 +157,46 @@ def nearest(index: tuple, queries: list[tuple[np.ndarray, np.ndarray]], k: int)
 
     Cosines are rounded to 12 digits before they are ranked, so ties don't depend on batches.
     """
-    blocks, most = index
-    n = len(queries)
-    cos, who = np.full((n, k), -1.0), np.full((n, k), -1, np.int64)
-    if not n or not blocks:
-        return cos, who
-    dense = np.zeros((n, most.shape[0]))
-    for i, (t, w) in enumerate(queries):
-        dense[i, t] = w
-    bound = dense @ most + 1e-9
-    order = np.argsort(-bound, axis=1, kind="stable")
-    active = np.arange(n)
-    for r in range(len(blocks)):
-        block = order[active, r]
-        limit = bound[active, block]
-        go = (limit > 2e-9) & (limit >= cos[active, k - 1])
-        active, block = active[go], block[go]
-        if not len(active):
-            break
-        for b in np.unique(block).tolist():
-            rows = active[block == b]
-            first, terms, weights = blocks[b]
-            found = np.round(dense[np.ix_(rows, terms)] @ weights.astype(np.float64), 12)
-            ids = np.broadcast_to(np.arange(first, first + weights.shape[1]), found.shape)
-            ids = np.where(found > 0, ids, -1)
-            found = np.where(found > 0, found, -1.0)
-            all_cos = np.concatenate([cos[rows], found], 1)
-            all_who = np.concatenate([who[rows], ids], 1)
-            top = np.lexsort((all_who, -all_cos), axis=1)[:, :k]
-            cos[rows], who[rows] = np.take_along_axis(all_cos, top, 1), np.take_along_axis(all_who, top, 1)
+    cos, who = np.full((len(queries), k), -1.0), np.full((len(queries), k), -1, np.int64)
+    if index[0]:
+        for at in range(0, len(queries), QUERIES):
+            part = slice(at, at + QUERIES)
+            _nearest(index, queries[part], k, cos[part], who[part])
     return cos, who
 
 
+def _nearest(index: tuple, queries: list[tuple[np.ndarray, np.ndarray]], k: int, cos: np.ndarray, who: np.ndarray) -> None:
+    n, starts, lists, weights, row, blocks, most = index
+    m = len(queries)
+    q = np.repeat(np.arange(m), [len(t) for t, _ in queries])
+    t, w = np.concatenate([t for t, _ in queries]), np.concatenate([w for _, w in queries])
+    dense = np.zeros((m, most.shape[0]))
+    inside = row[t] >= 0
+    dense[q[inside], row[t[inside]]] = w[inside]
+    # all lists: the places of each one after another
+    sizes = starts[t + 1] - starts[t]
+    ends = np.cumsum(sizes)
+    place = np.repeat(starts[t] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+    found = np.bincount(np.repeat(q * n, sizes) + lists[place], np.repeat(w, sizes) * weights[place], m * n).reshape(m, n).astype(float, copy=False)
+    # weights aren't negative: the k-th best sum so far is a bound from below, a block's greatest sum and weights one from above
+    least = np.partition(found, n - k, 1)[:, n - k] if n > k else np.zeros(m)
+    width = range(0, n, BLOCK)
+    above = np.maximum.reduceat(found, np.array(width), axis=1) + dense @ most + 1e-9
+    go = above >= least[:, None]
+    for b, first in enumerate(width):
+        rows = np.flatnonzero(go[:, b])
+        if len(rows):
+            found[rows, first : first + BLOCK] += dense[rows] @ blocks[b]
+        found[~go[:, b], first : first + BLOCK] = -1.0
+    found = np.round(found, 12)
+    few = min(k, n)
+    bound = np.partition(found, n - few, 1)[:, n - few]
+    for i in range(m):
+        ids = np.flatnonzero(found[i] >= max(bound[i], 1e-12))
+        ids = ids[np.lexsort((ids, -found[i, ids]))][:k]
+        cos[i, : len(ids)], who[i, : len(ids)] = found[i, ids], ids
+
+
 def votes(cos: np.ndarray, who: np.ndarray, y: np.ndarray, weight: np.ndarray, prior: float) -> np.ndarray:
     """Share of toxic among the neighbours, weighted by closeness and drawn to ``prior``."""
     there = who >= 0
@@ -222,40 +224,44 @@ def train(
     doc_id: str = "doc_id",
     label: str = "toxic",
     max_examples: int = MAX_EXAMPLES,
-    max_terms: int = MAX_TERMS,
     k: int = NEIGHBOURS,
 ) -> dict:
     """Index, labels and calibration, as plain arrays of bounded size. ``chosen``: over column ``id``, the labels to learn from."""
     found, share = examples(docs, labels, text, doc_id, label, chosen, max_examples)
     model = {"terms": [], "k": k, "blank": float(share or 0.0), "prior": float(share or 0.0)}
-    terms = choose_terms(found, max_terms)
+    if found.select("y").distinct().count() < 2:
+        return model
+    terms = all_terms(found)
     if not terms:
         return model
     df, n = document_frequencies(docs, text, terms)
     idf = np.log((1 + n) / (1 + df)) + 1
-    vocabulary = {t: i for i, t in enumerate(terms)}
-    shipped = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shipped = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches):
+        vocabulary = {t: i for i, t in enumerate(shipped.value)}
         for batch in batches:
             for part in text_slices(batch, "t"):
-                counts = [_term_counts(t, shipped.value, {}) for t in texts_of(part.column("t"))]
+                counts = [_term_counts(t, vocabulary, {}) for t in texts_of(part.column("t"))]
                 arrays = [part.column("id").cast(pa.string()), part.column("y")]
-                arrays.append(pa.array([list(c) for c in counts], pa.list_(pa.int64())))
-                arrays.append(pa.array([list(c.values()) for c in counts], pa.list_(pa.int64())))
+                arrays.append(pa.array([list(c) for c in counts], pa.list_(pa.int32())))
+                arrays.append(pa.array([list(c.values()) for c in counts], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(arrays, ["id", "y", "terms", "counts"])
 
-    rows = found.mapInArrow(run, "id string, y int, terms array<bigint>, counts array<bigint>").collect()
-    rows = [(r.id, r.y, vector(dict(zip(r.terms, r.counts)), idf)) for r in rows]
+    rows = []
+    for batch in found.mapInArrow(run, "id string, y int, terms array<int>, counts array<int>").toArrow().to_batches():
+        for i, label_of, at, counts in zip(*[batch.column(c) for c in ("id", "y", "terms", "counts")]):
+            rows.append((i.as_py(), label_of.as_py(), vector(dict(zip(at.values.to_numpy().tolist(), counts.values.to_numpy().tolist())), idf)))
     ones = sum(y for _, y, _ in rows)
     weight_of = (1 - share) / max(1, len(rows) - ones), share / max(1, ones)
     blank = [(y, weight_of[y]) for _, y, (t, _) in rows if not len(t)]
     full = [r for r in rows if len(r[2][0])]
-    # examples with the same strongest term stand together, which keeps the blocks' bounds low
-    full.sort(key=lambda r: (int(r[2][0][np.argmax(r[2][1])]), r[0]))
+    # examples with the same strongest frequent term stand together, which keeps the blocks' bounds low
+    common = np.bincount(np.concatenate([np.zeros(0, np.int64), *[r[2][0] for r in full]]), minlength=len(terms)) > HEAD_SHARE * len(full)
+    full.sort(key=lambda r: (int(r[2][0][np.argmax(r[2][1] * common[r[2][0]])]), r[0]))
     y = np.array([r[1] for r in full] or [0])
     weight = np.array([weight_of[a] for a in y.tolist()]) * len(rows)
-    index = build_index([r[2] for r in full], len(terms)) if full else ([], np.zeros((len(terms), 0)))
+    index = build_index([r[2] for r in full], len(terms))
     # votes of the others about each example
     cos, who = nearest(index, [r[2] for r in full], k + 1)
     own = who == np.arange(len(full))[:, None]

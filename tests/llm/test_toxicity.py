@@ -28,6 +28,37 @@ def test_search_is_exact():
         assert [w for w, c in zip(who[i], cos[i]) if c > cos[i][-1]] == [w for w in order if want[i][w] > want[i][order[-1]]]
 
 
+def test_search_is_exact_over_rare_and_frequent_terms():
+    rng = np.random.default_rng(4)
+
+    def some(n):
+        out = []
+        for _ in range(n):
+            terms = np.unique(np.concatenate((rng.choice(20, 6, replace=False), rng.integers(20, 4000, 30))))
+            w = rng.random(len(terms))
+            out.append((terms, w / np.sqrt((w * w).sum())))
+        return out
+
+    examples, queries = some(300), [*some(90), (np.array([25]), np.ones(1)), (np.zeros(0, np.int64), np.zeros(0))]
+    index = t.build_index(examples, 4000)
+    assert 0 < len(index[5][0]) < 50 and len(index[2]) > 5000
+    dense = lambda v: np.array([np.bincount(a, b, 4000) for a, b in v])
+    want = np.round(dense(queries) @ dense(examples).astype(np.float32).astype(float).T, 12)
+    cos, who = t.nearest(index, queries, 7)
+    for i in range(len(queries)):
+        order = [j for j in np.lexsort((np.arange(300), -want[i]))[:7] if want[i][j] > 0]
+        assert np.allclose(cos[i][: len(order)], want[i][order], atol=1e-11) and (who[i][len(order) :] == -1).all()
+
+
+def test_every_term_of_the_examples_counts(spark):
+    """A term of one example, or of clean ones, makes neighbours as well."""
+    rows = [(1, "alpha beta onlyonce"), (2, "gamma delta"), (3, "epsilon zeta"), (4, "onlyonce"), (5, "zeta"), (6, "omega")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id bigint, toxic int")
+    found = {r.doc_id: [n.id for n in r.neighbours] for r in t.toxicity(docs, t.train(docs, labels, F.lit(True))).collect()}
+    assert found[4] == ["1"] and found[5] == ["3"] and found[6] == []
+
+
 def test_monotone_curve():
     x, y = t.monotone(np.array([1.0, 2, 3, 4]), np.array([0.0, 1, 0, 1]), np.ones(4))
     assert y.tolist() == [0.0, 0.5, 1.0] and (np.diff(x) > 0).all()
