@@ -1,6 +1,7 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words and their first letters (short stems). The vocabulary holds every term of a bounded
+Terms are runs of letters and digits, their first letters (short stems) and, over the whole of long runs and of
+runs in scripts without spaces, all n-grams. The vocabulary holds every term of a bounded
 sample of labelled texts; document frequencies are counted over all documents. The sample's
 vectors form an inverted index: rare terms as lists of examples, frequent ones as blocks of
 examples with the greatest weight of each term in each block. A document's lists are added up
@@ -19,10 +20,11 @@ through; a result column takes the place of one of its name.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,17 +42,35 @@ QUERIES = 64
 CACHE_WORDS = 120_000
 NEIGHBOURS = 15
 SEED = 3
-_STRIP = b".,;:!?\"'()[]"
+#: Runs of more letters than this, and runs in a script without spaces, bring their n-grams as well.
+LONG_RUN = 24
+GRAMS, SPACELESS_GRAMS = STEMS, (1, 2, 3, 4)
+#: ASCII letters and digits in lower case, all other ASCII as a space; bytes of other characters stay.
+_TABLE = bytes(c | 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 or c > 127 else 32 for c in range(256))
+_RUN = regex.compile(r"[\p{L}\p{M}\p{N}]+")
+_SPACELESS = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
 
 
-def terms_of(word: bytes) -> list[bytes]:
-    """A word and its stems; stems end in ``*``."""
-    w = word.strip(_STRIP)
-    if not w:
-        return []
-    # whole characters: letters beyond ASCII take several bytes
-    s = w.decode("utf-8", "ignore")
-    return [w[:64], *[s[:n].encode() + b"*" for n in STEMS if len(s) > n]]
+def words_of(text: bytes) -> list[bytes]:
+    """Pieces between ASCII characters that are neither letters nor digits, in lower case."""
+    return text.translate(_TABLE).split()
+
+
+def terms_of(word: bytes) -> Iterator[bytes]:
+    """Runs of letters, marks and digits, their stems, which end in ``*``, and the n-grams over the whole of long runs.
+
+    N-grams are terms like words, so that a word is found inside a run without spaces.
+    """
+    for s in [word.decode()] if word.isascii() else _RUN.findall(word.decode("utf-8", "ignore").lower()):
+        yield s.encode()
+        for n in STEMS:
+            if len(s) > n:
+                yield s[:n].encode() + b"*"
+        grams = () if word.isascii() and len(s) <= LONG_RUN else SPACELESS_GRAMS if _SPACELESS.search(s) else GRAMS if len(s) > LONG_RUN else ()
+        for n in grams:
+            if len(s) > n:
+                for i in range(len(s) - n + 1):
+                    yield s[i : i + n].encode()
 
 
 def _term_counts(text: bytes, vocabulary: dict, cache: dict) -> dict[int, int]:
@@ -58,12 +78,12 @@ def _term_counts(text: bytes, vocabulary: dict, cache: dict) -> dict[int, int]:
     if len(cache) > CACHE_WORDS:
         cache.clear()
     found: dict[int, int] = {}
-    for w, n in Counter(text.lower().split()).items():
+    for w, n in Counter(words_of(text)).items():
         at = cache.get(w)
         if at is None:
-            at = tuple(vocabulary[t] for t in terms_of(w) if t in vocabulary)
-            if len(w) <= 64:
-                cache[w] = at
+            at = (vocabulary[t] for t in terms_of(w) if t in vocabulary)
+            if len(w) <= 64:  # of longer ones, the terms aren't held
+                at = cache[w] = tuple(at)
         for t in at:
             found[t] = found.get(t, 0) + n
     return found
@@ -87,7 +107,7 @@ def all_terms(found: DataFrame) -> list[bytes]:
     def run(batches):
         for batch in batches:
             for part in text_slices(batch, "t"):
-                own = {x for t in texts_of(part.column("t")) for w in set(t.lower().split()) for x in terms_of(w)}
+                own = {x for t in texts_of(part.column("t")) for w in set(words_of(t)) for x in terms_of(w)}
                 yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.binary())], ["term"])
 
     return sorted(found.select("t").mapInArrow(run, "term binary").distinct().toArrow().column("term").to_pylist())

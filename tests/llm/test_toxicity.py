@@ -59,6 +59,16 @@ def test_every_term_of_the_examples_counts(spark):
     assert found[4] == ["1"] and found[5] == ["3"] and found[6] == []
 
 
+def test_whole_runs_bring_terms(spark):
+    """Words behind punctuation without a space, in scripts without spaces and far inside long runs."""
+    rows = [(1, "alpha slurry"), (2, "gamma delta"), (3, "他是一个大笨蛋。"), (4, "喂你这个笨蛋啊"), (5, "x/slurry"), (6, "x,slurry"), (7, "é—slurry")]
+    rows += [(8, "q" * 90 + "slurry" + "q" * 90), (9, "あ" * 40 + "笨蛋"), (10, "q" * 80)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id bigint, toxic int")
+    found = {r.doc_id: [n.id for n in r.neighbours] for r in t.toxicity(docs, t.train(docs, labels, F.lit(True))).collect()}
+    assert all(found[i] == ["1"] for i in (5, 6, 7, 8)) and found[4] == found[9] == ["3"] and found[10] == []
+
+
 def test_monotone_curve():
     x, y = t.monotone(np.array([1.0, 2, 3, 4]), np.array([0.0, 1, 0, 1]), np.ones(4))
     assert y.tolist() == [0.0, 0.5, 1.0] and (np.diff(x) > 0).all()
