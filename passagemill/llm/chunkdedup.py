@@ -7,7 +7,9 @@ Chunks are deduplicated by a 128-bit digest: the first in order of document and
 Neighbouring chunks that occur in an earlier document make up a run; runs of at least
 MIN_BYTES are reported, shorter ones (single common words or phrases) are let stand.
 
-Null and empty texts have no chunks. Repeated rows and ids: rows with the same id are one
+Null and empty texts have no chunks. ``repeated_passages`` reports every occurrence but the first in
+order of id, row and place, also inside one text and among rows with the same id or none.
+``substring_duplicates`` compares documents only: rows with the same id are one
 document, whose own repeats aren't reported. A null id comes after all others. An
 empty table gives no rows. Other columns don't matter. Texts of any length are
 cut whole; a text without a cut is one chunk.
@@ -136,6 +138,42 @@ def substring_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc
     return runs.where(F.col("end") - F.col("start") >= min_bytes).drop("run")
 
 
+def repeated_places(rows: DataFrame) -> DataFrame:
+    """Chunks of ``rows`` but the first of each digest in order of id, row and place, with ``first_id`` and ``first_row`` of that one."""
+    first = F.min(F.struct(_late(F.col("id")).alias("id"), "row", "at")).alias("f")
+    by = rows.groupBy("hi", "lo").agg(F.count("*").alias("n"), first).where("n > 1")
+    by = by.select("hi", "lo", "n", F.col("f.id").alias("first_id"), F.col("f.row").alias("first_row"), F.col("f.at").alias("first_at"))
+    by = materialise(by, "repeated")
+    total = by.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("n") > max(HOT_COPIES, total // HOT_SHARE)
+    usual = rows.join(by.where(~hot).drop("n"), ["hi", "lo"])
+    often = rows.join(F.broadcast(by.where(hot).drop("n")), ["hi", "lo"])
+    return usual.unionByName(often).where((F.col("row") != F.col("first_row")) | (F.col("at") != F.col("first_at")))
+
+
+def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_bytes: int = MIN_BYTES) -> DataFrame:
+    """Like ``substring_duplicates``, but of every row: repeats inside a text and among rows with one id or none count too.
+
+    ``first_doc_ids`` and ``first_rows``: the documents that hold the run's chunks first (a null
+    id isn't listed); ``within``: one of these is the run's own row.
+    """
+    found = repeated_places(chunks(docs, text, doc_id))
+    by = Window.partitionBy("row").orderBy("at")
+    breaks = F.coalesce(F.col("at") != F.lag(F.col("at") + F.col("size")).over(by), F.lit(True))
+    runs = found.withColumn("new", breaks.cast("int")).withColumn("run", F.sum("new").over(by))
+    known = F.when(F.col("first_id") != _late(F.lit(None).cast("long")), F.col("first_id"))
+    runs = runs.groupBy("row", "run").agg(
+        F.first("id").alias("doc_id"),
+        F.min("at").cast("long").alias("start"),
+        F.max(F.col("at") + F.col("size")).cast("long").alias("end"),
+        F.count("*").alias("n_chunks"),
+        F.sort_array(F.collect_set(known)).alias("first_doc_ids"),
+        F.sort_array(F.collect_set("first_row")).alias("first_rows"),
+        F.max(F.col("first_row") == F.col("row")).alias("within"),
+    )
+    return runs.where(F.col("end") - F.col("start") >= min_bytes).drop("run")
+
+
 def without_duplicates(docs: DataFrame, runs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the bytes of ``runs`` (of the same stored table) cut out of their texts."""
     cuts_of = runs.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cuts"))

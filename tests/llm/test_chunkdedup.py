@@ -96,3 +96,37 @@ def test_awkward_rows(spark, odd):
     # rows with one id are one document; the two without an id are told apart by nothing
     assert {r.doc_id for r in runs} <= {8, 9, 6, 5, 4}
     assert c.substring_duplicates(odd("row", rows=[])).count() == 0
+
+
+def test_repeats_in_one_text_and_among_rows_of_one_id(spark, tmp_path):
+    rng = random.Random(8)
+    passage, other = _words(rng, 80), _words(rng, 80)
+    rows = [(1, f"{passage} {_words(rng, 40)} {passage} {_words(rng, 30)} {passage}")]
+    rows += [(2, _words(rng, 60)), (3, f"{_words(rng, 9)} {other}"), (3, f"{_words(rng, 7)} {other}"), (None, f"{_words(rng, 5)} {other}"), (None, other)]
+    path = str(tmp_path / "d")
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(path)
+    docs = spark.read.parquet(path)
+    runs = c.repeated_passages(docs)
+    found = runs.collect()
+    assert sorted((r.doc_id or 0, r.within) for r in found) == [(0, False), (0, False), (1, True), (1, True), (3, False)]
+    assert all(r.first_doc_ids == ([1] if r.doc_id == 1 else [3]) and len(r.first_rows) == 1 for r in found)
+    left = [r.text for r in c.without_duplicates(docs, runs).collect()]
+    assert sum(t.count(passage) for t in left) == 1 and sum(t.count(other) for t in left) == 1
+
+
+def test_every_occurrence_but_the_first(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = sorted((r.doc_id, r.text.encode()) for r in docs.collect())
+    seen, want = set(), set()
+    for d, t in rows:
+        edges = [0, *[x for x in rolled(t) if c.MEMORY <= x < len(t) and t[x] & 0xC0 != 0x80], len(t)]
+        runs = []
+        for a, b in zip(edges, edges[1:]):
+            if t[a:b] in seen:
+                if runs and runs[-1][1] == a:
+                    runs[-1][1] = b
+                else:
+                    runs.append([a, b])
+            seen.add(t[a:b])
+        want.update((d, a, b) for a, b in runs if b - a >= c.MIN_BYTES)
+    assert want and {(r.doc_id, r.start, r.end) for r in c.repeated_passages(docs).collect()} == want
