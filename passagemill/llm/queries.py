@@ -60,7 +60,7 @@ def op7_token_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return chunkdedup.repeated_passages(documents(spark, sf, "doc_id", "text"))
+    return chunkdedup.whole_passages(documents(spark, sf, "doc_id", "text"))
 
 
 def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:

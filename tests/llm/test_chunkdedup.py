@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from llm_rows import odd  # noqa: F401
 
@@ -130,3 +131,39 @@ def test_every_occurrence_but_the_first(spark, sf):
             seen.add(t[a:b])
         want.update((d, a, b) for a, b in runs if b - a >= c.MIN_BYTES)
     assert want and {(r.doc_id, r.start, r.end) for r in c.repeated_passages(docs).collect()} == want
+
+
+def test_passages_are_followed_to_their_ends(spark, tmp_path):
+    """Every passage of 51 words is found in each later copy, from its first byte to its last."""
+    rng = random.Random(11)
+    passages = [_words(rng, 51) for _ in range(300)] + ["é" * 150 + str(i) for i in range(3)]
+    rows = [(2 * i + j, f"{_words(rng, 30)} {j}{p}{j} {_words(rng, 30)}") for i, p in enumerate(passages) for j in (0, 1)]
+    path = str(tmp_path / "d")
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(path)
+    docs, texts = spark.read.parquet(path), dict(rows)
+    found = {}
+    for r in c.whole_passages(docs).collect():
+        found.setdefault(r.doc_id, []).append(texts[r.doc_id].encode()[r.start : r.end].decode())
+    for i, p in enumerate(passages[:300]):
+        assert any(p in x for x in found.get(2 * i + 1, [])), i
+    assert all(2 * i + 1 in found for i in range(300, 303))  # of one letter: found, at whichever shift
+    short = {r.doc_id for r in c.repeated_passages(docs).collect()}
+    assert any(2 * i + 1 not in short for i in range(300))  # what the runs of chunks alone don't reach
+
+
+def test_grown_runs_hold_the_runs_of_chunks(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    grown = {}
+    for r in c.whole_passages(docs).collect():
+        grown.setdefault(r.row, []).append((r.start, r.end))
+    texts = {r.row: r.t for r in docs.select(F.monotonically_increasing_id().alias("row"), F.col("text").cast("binary").alias("t")).collect()}
+    for r in c.repeated_passages(docs).collect():
+        assert any(a <= r.start and r.end <= b for a, b in grown[r.row])
+    for row, spans in grown.items():
+        spans.sort()
+        assert all(b < a for (_, b), (a, _) in zip(spans, spans[1:])) and all(texts[row][a:b].decode() for a, b in spans)
+
+
+def test_no_chunk_is_longer_than_the_bound(spark, odd):
+    assert c.chunks(odd("size"), longest=c.MAX_CHUNK).agg(F.max("size")).first()[0] <= c.MAX_CHUNK
+    assert c.whole_passages(odd("end", rows=[])).count() == 0
