@@ -35,7 +35,7 @@ MEMORY = 16
 #: Least length of a reported run.
 MIN_BYTES = 100
 #: Longest chunk where passages are followed to their ends.
-MAX_CHUNK = 80
+MAX_CHUNK = 160
 #: Copies of a chunk beyond which it counts as hot, and the share of all chunks that a hot one has at least.
 HOT_COPIES, HOT_SHARE = 10_000, 50_000
 SEED = 19
