@@ -21,15 +21,17 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import kept, schema_of, text_slices
+from .common import kept, materialise, schema_of, text_slices
 
 #: Bytes in a window.
 WINDOW = 256
 #: Labelled texts that the network is trained on, per language, and windows of each.
 TRAIN_TEXTS = 400
 TRAIN_WINDOWS = 3
-MAX_LANGUAGES = 200
+#: Labelled texts in the whole sample; with many languages each brings fewer, one at least.
+SAMPLE_TEXTS = 80_000
 WIDTHS = (2, 3, 4)
 EMBED, FILTERS, EPOCHS, RATE, SEED = 6, 12, 6, 4e-3, 5
 UNKNOWN = "und"
@@ -39,17 +41,19 @@ _LETTER = regex.compile(r"\p{L}")
 
 
 def sample(docs: DataFrame, text: str, lang: str, doc_id: str, chosen: Column, per_language: int = TRAIN_TEXTS) -> list[tuple[str, list[bytes]]]:
-    """(language, windows) of at most ``per_language`` texts of each language, by smallest hash."""
+    """(language, windows) of at most ``per_language`` texts of every language, by smallest hash; fewer if there would be over SAMPLE_TEXTS."""
     # by id and place, so that rows of one id, however many, aren't drawn together
     drawn = F.pmod(F.xxhash64(F.lit(SEED), F.col(doc_id), F.monotonically_increasing_id()), F.lit(1 << 30)) / float(1 << 30)
     known = docs.select(F.col(lang).alias("lang"), F.col(text).alias("t"), chosen.alias("chosen"), drawn.alias("u"))
     rows = known.where("chosen and lang is not null and t is not null")
     # the smallest hashes per language, without a language's rows in one task: a bound from its count, then the rank of few
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    sizes = sizes.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    sizes = materialise(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    per_language = min(per_language, max(1, SAMPLE_TEXTS // max(1, sizes.count())))
     share = F.least(F.lit(1.0), F.lit(1.5 * per_language + 50) / F.col("n"))
     bound = F.broadcast(sizes.select(F.col("lang").alias("__lang"), share.alias("share")))
     few = rows.join(bound, F.col("lang") == F.col("__lang")).where(F.col("u") < F.col("share"))
+    # a language's few are ranked where they lie, so that the driver takes no more than the sample
+    few = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("u"))).where(F.col("rank") <= per_language)
     # windows are cut here: a very long text brings no more than a short one
     size = F.octet_length(F.col("t"))
     body = F.col("t").cast("binary")

@@ -63,3 +63,13 @@ def test_awkward_rows(spark, odd):
     none = langid.train(langid.sample(empty, "text", "lang", "doc_id", F.lit(True)))
     assert langid.identify(empty, none).count() == 0
     assert {r.lang_pred for r in langid.identify(docs, none).collect()} == {"und"}
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    rows = [(3 * i + j, f"text {j} of language {i}", f"l{i:03}") for i in range(230) for j in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = [x for x, _ in langid.sample(docs, "text", "lang", "doc_id", F.lit(True))]
+    assert len(found) == 690 and len(set(found)) == 230
+    monkeypatch.setattr(langid, "SAMPLE_TEXTS", 460)
+    found = [x for x, _ in langid.sample(docs, "text", "lang", "doc_id", F.lit(True))]
+    assert len(found) == 460 and len(set(found)) == 230
