@@ -49,4 +49,10 @@ taken AS (
 SELECT doc_id, size, source_size, target, CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM taken
 """
 
-ORACLE = {"op1_decontamination": _OP1, "op6_mixing": _OP6}
+_OP12 = """
+WITH doc AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+same AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM doc GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM doc JOIN same USING (t)
+"""
+
+ORACLE = {"op1_decontamination": _OP1, "op6_mixing": _OP6, "op12_exact_dedup": _OP12}

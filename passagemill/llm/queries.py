@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunkdedup, decontaminate, langid, lattice, mixing, quality, sharding, simhash, tokens, toxicity
+from . import chunkdedup, decontaminate, exactdedup, langid, lattice, mixing, quality, sharding, simhash, tokens, toxicity
 from .common import documents, id_remainder, scratch_path
 
 
@@ -74,6 +74,12 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf, "doc_id", "text"))
 
 
+def op12_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf, "doc_id", "text")
+    docs = docs.withColumn("text_sha256", F.sha2(exactdedup.normal("text").cast("binary"), 256))
+    return exactdedup.exact_duplicates(docs, keep=["doc_id", "text_sha256"])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -87,5 +93,6 @@ QUERIES = {
         op8_substring_dedup,
         op9_language_id,
         op10_simhash,
+        op12_exact_dedup,
     )
 }
