@@ -55,4 +55,52 @@ same AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM doc GROUP
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM doc JOIN same USING (t)
 """
 
-ORACLE = {"op1_decontamination": _OP1, "op6_mixing": _OP6, "op12_exact_dedup": _OP12}
+
+def _level(name: str, leaves: str) -> str:
+    """Nodes (lvl, t, i, n, digest) of every level over ``leaves`` (t, i, n, digest)."""
+    return f"""
+{name}(lvl, t, i, n, digest) AS (
+  SELECT 0, t, i, n, digest FROM {leaves}
+  UNION ALL
+  SELECT max(lvl) + 1, t, i // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY i)) FROM {name} WHERE n > 1 GROUP BY t, i // 16, n)"""
+
+
+_OP11 = f"""
+WITH RECURSIVE raw AS (
+  SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+    list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))) AS crc
+  FROM documents),
+parts AS (
+  SELECT doc_id, source, text, low, xor(crc, 4294967295) AS crc,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head
+  FROM raw),
+doc AS (
+  SELECT doc_id, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS digest,
+    CASE WHEN crc % 5 = 0 THEN sha256(head || coalesce(strlen(low) || ':' || low, '-')) END AS tampered,
+    dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS t, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS i,
+    count(*) OVER (PARTITION BY source) AS n
+  FROM parts),
+{_level("lower_nodes", "doc")},
+heads AS (SELECT 0 AS t, t AS i, count(*) OVER () AS n, digest FROM lower_nodes WHERE n = 1),
+{_level("upper_nodes", "heads")},
+node AS (SELECT 0 AS upper, * FROM lower_nodes WHERE n > 1 UNION ALL SELECT 1, * FROM upper_nodes WHERE n > 1),
+place AS (SELECT doc_id, 0 AS upper, t, i FROM doc UNION ALL SELECT doc_id, 1, 0, t FROM doc),
+step AS (
+  SELECT p.doc_id, p.upper, s.lvl,
+    coalesce(string_agg(s.digest, '' ORDER BY s.i) FILTER (s.i < p.i // (16 ** s.lvl)::BIGINT), '') AS left_part,
+    coalesce(string_agg(s.digest, '' ORDER BY s.i) FILTER (s.i > p.i // (16 ** s.lvl)::BIGINT), '') AS right_part
+  FROM place p JOIN node s ON s.upper = p.upper AND s.t = p.t AND s.i // 16 = p.i // (16 ** (s.lvl + 1))::BIGINT GROUP BY p.doc_id, p.upper, p.i, s.lvl),
+proof AS (
+  SELECT doc_id, list(left_part || '|' || right_part ORDER BY upper, lvl) AS steps, string_agg(left_part || right_part, '' ORDER BY upper, lvl) AS beside
+  FROM step GROUP BY doc_id),
+folded AS (
+  SELECT d.doc_id, d.digest AS leaf, s.digest AS subroot, r.digest AS root, sha256(coalesce(p.beside, '')) AS proof_sha256,
+    list_reduce(list_prepend(coalesce(d.tampered, d.digest), coalesce(p.steps, [])),
+      lambda a, b: sha256(split_part(b, '|', 1) || a || split_part(b, '|', 2))) AS folded_root
+  FROM doc d JOIN lower_nodes s ON s.n = 1 AND s.t = d.t JOIN upper_nodes r ON r.n = 1 LEFT JOIN proof p USING (doc_id))
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
+ORACLE = {"op1_decontamination": _OP1, "op6_mixing": _OP6, "op11_merkle_manifest": _OP11, "op12_exact_dedup": _OP12}

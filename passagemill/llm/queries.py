@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunkdedup, decontaminate, exactdedup, langid, lattice, mixing, quality, sharding, simhash, tokens, toxicity
-from .common import documents, id_remainder, scratch_path
+from . import chunkdedup, decontaminate, exactdedup, langid, lattice, merkle, mixing, quality, sharding, simhash, tokens, toxicity
+from .common import ascii_lower, documents, id_remainder, scratch_path
 
 
 def _public(name: str) -> str:
@@ -74,6 +74,19 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf, "doc_id", "text"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf, "doc_id", "source", "lang", "n_chars", "text")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = merkle.leaf(*[F.col(c) if c != "text" else ascii_lower(F.col(c)) for c in fields])
+    docs = docs.withColumn("tampered", F.when(id_remainder("doc_id", 5) == 0, lowered))
+    proofs = merkle.prove(merkle.manifest(docs, fields, keep=["doc_id", "tampered"]))
+    folded = proofs.withColumn("folded_root", merkle.fold(F.coalesce("tampered", "leaf"), F.col("steps")))
+    proof = F.sha2(merkle.siblings(F.col("steps")).cast("binary"), 256)
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+
 def op12_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf, "doc_id", "text")
     docs = docs.withColumn("text_sha256", F.sha2(exactdedup.normal("text").cast("binary"), 256))
@@ -93,6 +106,7 @@ QUERIES = {
         op8_substring_dedup,
         op9_language_id,
         op10_simhash,
+        op11_merkle_manifest,
         op12_exact_dedup,
     )
 }
