@@ -103,4 +103,21 @@ folded AS (
 SELECT *, folded_root = root AS verified FROM folded
 """
 
-ORACLE = {"op1_decontamination": _OP1, "op6_mixing": _OP6, "op11_merkle_manifest": _OP11, "op12_exact_dedup": _OP12}
+_OP13 = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+size AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM doc WHERE len(w) > 0),
+post AS (SELECT doc_id, n, t, count(*)::BIGINT AS tf FROM (SELECT doc_id, len(w)::BIGINT AS n, unnest(w) AS t FROM doc) GROUP BY ALL),
+term AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM post, size GROUP BY t, n_docs),
+item AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM item JOIN term USING (t) JOIN post USING (t), size GROUP BY item_id, doc_id),
+placed AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 20
+"""
+
+ORACLE = {"op1_decontamination": _OP1, "op6_mixing": _OP6, "op11_merkle_manifest": _OP11, "op12_exact_dedup": _OP12, "op13_lexical_search": _OP13}

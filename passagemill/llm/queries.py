@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunkdedup, decontaminate, exactdedup, langid, lattice, merkle, mixing, quality, sharding, simhash, tokens, toxicity
+from . import chunkdedup, decontaminate, exactdedup, langid, lattice, lexical, merkle, mixing, quality, sharding, simhash, tokens, toxicity
 from .common import ascii_lower, documents, id_remainder, scratch_path
 
 
@@ -93,6 +93,10 @@ def op12_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exactdedup.exact_duplicates(docs, keep=["doc_id", "text_sha256"])
 
 
+def op13_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical.search(documents(spark, sf, "doc_id", "text"), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -108,5 +112,6 @@ QUERIES = {
         op10_simhash,
         op11_merkle_manifest,
         op12_exact_dedup,
+        op13_lexical_search,
     )
 }
