@@ -5,7 +5,9 @@ repeated windows). Per language and source, a mergeable quantile sketch of each
 whose bounds grow by a fixed ratio, so that a quantile is known to one bin and two
 sketches merge by adding counts. A rate's thresholds lie a multiple of the
 spread (median to upper or lower decile) beyond the deciles of its group; a document beyond any of
-them is rejected. Groups with too few documents are merged into their language's
+them is rejected. Most documents have no symbols and repeats at all, so that the spread can be 0: it is at
+least one more of them in a document of the group's median length, which the group's sketch of lengths
+gives. No threshold is a constant. Groups with too few documents are merged into their language's
 sketch, and those into the sketch of all.
 
 Null texts are empty: they have no words and fail the base rules. Null language and null
@@ -35,14 +37,21 @@ MAX_REPEAT_PERCENT = 30
 #: A sketch of fewer documents is merged into the next wider one.
 MIN_GROUP = 100
 #: Bins of the sketch grow by this ratio.
-RATIO = 1.05
+RATIO = 1.01
 #: How many spreads beyond the decile a threshold lies.
 REACH = 3.0
 
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-#: Rates, in parts of a million; and the least spread that is assumed of each.
-RATES = {"word_length": 1_000_000, "symbols": 20_000, "dup_lines": 10_000, "repeats": 60_000}
+#: Rates, in parts of a million words: what is counted, and how many words one more of them adds (two windows, for repeats).
+RATES = {
+    "word_length": ("word_chars", 0),
+    "symbols": ("n_symbols", 1),
+    "dup_lines": ("n_dup_lines", 1),
+    "repeats": ("n_repeat_words", 2 * WINDOW_WORDS),
+}
 _TWO_SIDED = ("word_length",)
+#: Sketched beside the rates.
+_LENGTH = "n_words"
 
 
 def features(docs: DataFrame, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
@@ -121,8 +130,15 @@ def base_failed() -> Column:
 
 def rate(name: str) -> Column:
     """A rate in parts of a million, as a whole number."""
-    over = {"word_length": "word_chars", "symbols": "n_symbols", "dup_lines": "n_dup_lines", "repeats": "n_repeat_words"}[name]
-    return F.coalesce(F.try_divide(F.col(over) * 1_000_000, F.col("n_words")).cast("long"), F.lit(0))
+    return F.coalesce(F.try_divide(F.col(RATES[name][0]) * 1_000_000, F.col("n_words")).cast("long"), F.lit(0))
+
+
+def _rate_column(name: str) -> str:
+    return f"__rate_{name}"
+
+
+def with_rates(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({_rate_column(r): rate(r) for r in RATES})
 
 
 def _bin(value: Column) -> Column:
@@ -135,10 +151,11 @@ def _value(bin_: Column, above: bool) -> Column:
 
 
 def sketches(rates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Counts by group, rate and bin, of documents that pass the base rules: the mergeable sketch."""
-    pairs = F.array(*[F.struct(F.lit(r).alias("rate"), _bin(F.col(r)).alias("bin")) for r in RATES])
-    rows = rates.where("not base_failed").select(*keys, F.explode(pairs).alias("x"))
-    return rows.groupBy(*keys, "x.rate", "x.bin").agg(F.count("*").alias("n"))
+    """Counts by group, rate (and length) and bin, of documents that pass the base rules: the mergeable sketch."""
+    values = {r: F.col(_rate_column(r)) for r in RATES} | {_LENGTH: F.col(_LENGTH)}
+    pairs = F.array(*[F.struct(F.lit(r).alias("rate"), _bin(c).alias("bin")) for r, c in values.items()])
+    rows = rates.where("not base_failed").select(*keys, F.explode(pairs).alias("__x"))
+    return rows.groupBy(*keys, F.col("__x.rate").alias("rate"), F.col("__x.bin").alias("bin")).agg(F.count("*").alias("n"))
 
 
 def thresholds(sketch: DataFrame, keys: Sequence[str], reach: float = REACH) -> DataFrame:
@@ -147,14 +164,18 @@ def thresholds(sketch: DataFrame, keys: Sequence[str], reach: float = REACH) ->
     rows = sketch.withColumn("below", F.sum("n").over(by.orderBy("bin"))).withColumn("all", F.sum("n").over(by))
     at = lambda q: F.min(F.when(F.col("below") >= q * F.col("all"), F.col("bin")))
     rows = rows.groupBy(*keys, "rate").agg(F.max("all").alias("n"), at(0.1).alias("q10"), at(0.5).alias("q50"), at(0.9).alias("q90"))
-    least = reduce(lambda c, r: c.when(F.col("rate") == r, float(RATES[r])), RATES, F.when(F.lit(False), 0.0))
-    low, mid, high = _value(F.col("q10"), False), _value(F.col("q50"), True), _value(F.col("q90"), True)
+    length = F.max(F.when(F.col("rate") == _LENGTH, _value(F.col("q50"), True))).over(Window.partitionBy(*keys))
+    rows = rows.withColumn("length", length).where(F.col("rate") != _LENGTH)
+    one_more = reduce(lambda c, r: c.when(F.col("rate") == r, RATES[r][1] * 1_000_000 / F.col("length")), RATES, F.when(F.lit(False), 0.0))
+    # from the lower bound of one bin to the upper of another: a spread is never below what the sketch can tell
+    low, high = _value(F.col("q10"), False), _value(F.col("q90"), True)
+    down, up = _value(F.col("q50"), True) - low, high - _value(F.col("q50"), False)
     return rows.select(
         *keys,
         "rate",
         "n",
-        F.when(F.col("rate").isin(*_TWO_SIDED), low - reach * F.greatest(mid - low, least)).otherwise(0.0).alias("least"),
-        (high + reach * F.greatest(high - mid, least)).alias("most"),
+        F.when(F.col("rate").isin(*_TWO_SIDED), low - reach * F.greatest(down, one_more)).otherwise(0.0).alias("least"),
+        (high + reach * F.greatest(up, one_more)).alias("most"),
     )
 
 
@@ -175,30 +196,39 @@ def quality(
     """``docs`` (or its columns ``keep``) with FEATURES, base_failed, kept and reasons (the rates beyond a threshold)."""
     results = (*FEATURES, "base_failed", "kept", "reasons")
     columns = [c for c in (docs.columns if keep is None else keep) if c.lower() not in results]
-    needed = list(dict.fromkeys([*columns, *keys]))
-    rows = materialise(features(docs, text, needed).withColumn("base_failed", base_failed()), "features")
-    rates = rows.withColumns({r: rate(r) for r in RATES})
-    own = materialise(sketches(rates, keys), "sketches")
-    wide = own.groupBy(keys[0], "rate", "bin").agg(F.sum("n").alias("n"))
+    # the caller's columns under names of their own, so that none is taken for one of the operator's
+    own = {c: f"__own_{i}" for i, c in enumerate(dict.fromkeys([*columns, *keys, text]))}
+    source = docs.select(*[F.col(c).alias(n) for c, n in own.items()])
+    on = [own[k] for k in keys]
+    needed = [own[c] for c in dict.fromkeys([*columns, *keys])]
+    rows = materialise(features(source, own[text], needed).withColumn("base_failed", base_failed()), "features")
+    rates = with_rates(rows)
+    sketch = materialise(sketches(rates, on), "sketches")
+    wide = sketch.groupBy(on[0], "rate", "bin").agg(F.sum("n").alias("n"))
     everything = wide.groupBy("rate", "bin").agg(F.sum("n").alias("n")).withColumn("__one", F.lit(1))
-    levels = [_flat(thresholds(own, keys, reach), keys), _flat(thresholds(wide, keys[:1], reach), keys[:1])]
+    levels = [_flat(thresholds(sketch, on, reach), on), _flat(thresholds(wide, on[:1], reach), on[:1])]
     widest = _flat(thresholds(everything, ["__one"], reach), ["__one"]).first()  # one row
     sides = [f"{s}_{r}" for r in RATES for s in ("least", "most")]
-    groups = rows.groupBy(*keys).agg(F.count("*").alias("__rows"))
-    for i, (level, on) in enumerate(zip(levels, (list(keys), [keys[0]]))):
-        right = level.select(*[F.col(k).alias(f"__{i}_{k}") for k in on], F.struct("n_group", *sides).alias(f"level{i}"))
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{i}_{k}")) for k in on])
+    groups = rows.groupBy(*on).agg(F.count("*").alias("__rows"))
+    for i, (level, by) in enumerate(zip(levels, (on, on[:1]))):
+        right = level.select(*[F.col(k).alias(f"__{i}_{k}") for k in by], F.struct("n_group", *sides).alias(f"level{i}"))
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{i}_{k}")) for k in by])
         groups = groups.join(right, same, "left")
     of_all = [F.lit(widest["n_group"] if widest else None).cast("bigint").alias("n_group")]
     of_all += [F.lit(widest[s] if widest else None).cast("double").alias(s) for s in sides]
     enough = lambda i: F.when(F.col(f"level{i}.n_group") >= min_group, F.col(f"level{i}"))
-    groups = groups.select(*keys, F.coalesce(enough(0), enough(1), F.struct(*of_all)).alias("limits"))
+    groups = groups.select(*on, F.coalesce(enough(0), enough(1), F.struct(*of_all)).alias("__limits"))
     groups = materialise(groups, "limits")
-    joined = join_groups(rates, groups, keys, groups.count(), F.xxhash64(*[F.col(f) for f in FEATURES], *[F.col(c) for c in columns]))
-    beyond = [
-        F.when((F.col(r) < F.col(f"limits.least_{r}")) | (F.col(r) > F.col(f"limits.most_{r}")), F.lit(r)) for r in RATES
-    ]
+    joined = join_groups(rates, groups, on, groups.count(), F.xxhash64(*[F.col(f) for f in FEATURES], *needed))
+    beyond = []
+    for r in RATES:
+        value = F.col(_rate_column(r))
+        beyond.append(F.when((value < F.col(f"__limits.least_{r}")) | (value > F.col(f"__limits.most_{r}")), F.lit(r)))
     reasons = F.filter(F.array(*beyond), lambda x: x.isNotNull())
     return joined.select(
-        *columns, *FEATURES, "base_failed", (~F.col("base_failed") & (F.size(reasons) == 0)).alias("kept"), reasons.alias("reasons")
+        *[F.col(own[c]).alias(c) for c in columns],
+        *FEATURES,
+        "base_failed",
+        (~F.col("base_failed") & (F.size(reasons) == 0)).alias("kept"),
+        reasons.alias("reasons"),
     )
