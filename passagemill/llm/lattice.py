@@ -27,8 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import materialise, text_slices, texts_of
+from .common import kept, materialise, text_slices, texts_of
 
 #: Bytes of frequent words (and 24 a word) that are shipped to every task.
 SHIPPED_BYTES = 10 << 20
@@ -249,6 +250,12 @@ def lattice_scores(
     scored = materialise(scored_words(words, names, logs), "scored-words")
     shipped = docs.sparkSession.sparkContext.broadcast((frequent(scored, most_bytes), ends, logs[-1] / _LN10))
 
+    # the kept columns travel with the row number of the one scan that gives it, so no other scan has to agree with it
+    spared = [f"__own_{i}" for i in range(len(keep))]
+    kinds_of = [docs.schema[c].dataType for c in keep]
+    fields = [("__rid", "long"), ("__word", "string"), ("__n", "long"), ("__known", "long"), ("__base", "double"), ("__logp", "double")]
+    columns = [*spared, *[f for f, _ in fields]]
+
     def run(batches):
         known, ends, end_logp = shipped.value
         log10 = {}
@@ -277,34 +284,35 @@ def lattice_scores(
                     sums.append((row, n, sure, base, logp))
                 own = [pa.array(x) for x in zip(*sums)]
                 own = [own[0], pa.nulls(len(sums), pa.string()), *[a.cast(t) for a, t in zip(own[1:], (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]]
-                columns = ["__rid", "word", "n", "known", "base", "logp"]
-                yield pa.RecordBatch.from_arrays(own, columns)
+                yield pa.RecordBatch.from_arrays([*kept(part, spared), *own], columns)
                 if rid:
-                    none = pa.nulls(len(rid), pa.float64())
+                    none = [pa.nulls(len(rid), part.column(c).type) for c in spared]
                     rest = [pa.array(rid, pa.int64()), pa.array(word, pa.binary()).cast(pa.string()), pa.array(times, pa.int64())]
-                    yield pa.RecordBatch.from_arrays([*rest, pa.nulls(len(rid), pa.int64()), none, none], columns)
-
-    place = F.monotonically_increasing_id().alias("__rid")
-    source = docs.select(place, F.col(text).alias("__t"))
-    parts = materialise(source.mapInArrow(run, "__rid bigint, word string, n bigint, known bigint, base double, logp double"), "parts")
-    rare = parts.where("word is not null").select("__rid", "word", F.col("n").alias("m"))
-    rare = rare.join(scored.select("word", "c", F.col("logp").alias("lp")), "word")
-    rare = rare.select(
-        "__rid",
-        F.lit(0).cast("long").alias("n"),
-        F.when(F.col("c") > 0, F.col("m")).otherwise(0).alias("known"),
-        (F.col("m") * F.log10(F.col("c") + 0.5)).alias("base"),
-        (F.col("m") * F.col("lp")).alias("logp"),
+                    blank = pa.nulls(len(rid), pa.float64())
+                    yield pa.RecordBatch.from_arrays([*none, *rest, pa.nulls(len(rid), pa.int64()), blank, blank], columns)
+
+    own_columns = [F.col(c).alias(n) for c, n in zip(keep, spared)]
+    source = docs.select(*own_columns, F.monotonically_increasing_id().alias("__rid"), F.col(text).alias("__t"))
+    schema = T.StructType([T.StructField(n, k) for n, k in zip(spared, kinds_of)])
+    for name, kind in fields:
+        schema = schema.add(name, kind)
+    parts = materialise(source.mapInArrow(run, schema), "parts")
+    rare = parts.where("__word is not null").select("__rid", "__word", F.col("__n").alias("__m"))
+    rare = rare.join(scored.select(F.col("word").alias("__word"), "c", "logp"), "__word")
+    rare = rare.groupBy("__rid").agg(
+        F.sum(F.when(F.col("c") > 0, F.col("__m")).otherwise(0)).alias("known"),
+        F.sum(F.col("__m") * F.log10(F.col("c") + 0.5)).alias("base"),
+        F.sum(F.col("__m") * F.col("logp")).alias("logp"),
     )
-    sums = parts.where("word is null").drop("word").unionByName(rare)
-    sums = sums.groupBy("__rid").agg(*[F.sum(c).alias(c) for c in ("n", "known", "base", "logp")])
-    rows = docs.select(place, *keep).join(sums, "__rid")
+    rare = rare.select(F.col("__rid").alias("__rare"), *[F.col(c).alias(f"__more_{c}") for c in ("known", "base", "logp")])
+    rows = parts.where("__word is null").join(rare, F.col("__rid") == F.col("__rare"), "left")
+    both = {c: F.col(f"__{c}") + F.coalesce(f"__more_{c}", F.lit(0)) for c in ("known", "base", "logp")}
     floor = math.log10(total + 0.5 * (kinds + 1))
     return rows.select(
-        *keep,
-        F.col("n").alias("n_tokens"),
-        F.col("known").alias("n_known"),
+        *[F.col(n).alias(c) for c, n in zip(keep, spared)],
+        F.col("__n").alias("n_tokens"),
+        both["known"].alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") - F.col("n") * floor).alias("base_score"),
-        F.col("logp").alias("score"),
+        (both["base"] - F.col("__n") * floor).alias("base_score"),
+        both["logp"].alias("score"),
     )

@@ -82,3 +82,38 @@ def test_awkward_rows(spark, odd):
     none = lattice.lattice_scores(odd("n_known"), PATH, F.lit(False)).collect()
     assert {r.n_known for r in none} == {0} and {r.train_tokens for r in none} == {0}
     assert lattice.lattice_scores(odd("score", rows=[]), PATH, F.lit(True)).count() == 0
+
+
+def test_input_whose_rows_move_between_scans(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").where("doc_id < 60")
+    scores = lambda df: {r.doc_id: (r.n_tokens, round(r.score, 6)) for r in lattice.lattice_scores(df, PATH, F.lit(True), keep=["doc_id"], most_bytes=500).collect()}
+    want = scores(docs)
+    assert scores(docs.repartition(5)) == want
+    assert scores(docs.join(docs.select("doc_id"), "doc_id").repartition(3, "text")) == want
+
+
+def test_extra_columns_keep_their_values(odd):
+    for name in ("word", "n", "c", "logp", "known"):
+        found = lattice.lattice_scores(odd(name), PATH, F.lit(True), most_bytes=0).collect()
+        assert len(found) == 12 and {r[name] for r in found} == {7}
+
+
+def test_score_of_a_document_is_the_sum_over_its_paths(spark, sf):
+    """The registered score: log10 of the product over words of the sum over segmentations, under the learned weights."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 30").select("doc_id", "text")
+    words = Counter(w.decode() for r in docs.collect() for w in r.text.encode().lower().split())
+    pieces = lattice.vocabulary(PATH)
+    rows = docs.sparkSession.createDataFrame([(w, n, n) for w, n in words.items()], "word string, n bigint, c bigint")
+    logs = lattice.learn(rows, docs.count(), pieces)
+    table = {p: math.exp(x) for (p, _), x in zip(pieces, logs)}
+    short = [r for r in docs.collect() if max(map(len, r.text.split()), default=0) <= 14]
+    got = {r.doc_id: r.score for r in lattice.lattice_scores(docs, PATH, F.lit(True), keep=["doc_id"]).collect()}
+    assert short
+    sums = {}
+    for r in short:
+        want = math.log10(table["</s>"])
+        for w in r.text.encode().lower().split():
+            if w not in sums:
+                sums[w] = math.log10(paths("\u2581" + w.decode(), table))
+            want += sums[w]
+        assert math.isclose(got[r.doc_id], want, rel_tol=1e-9)
