@@ -12,13 +12,15 @@ passage's ends before its length is tested.
 Null and empty texts have no chunks. ``repeated_passages`` reports every occurrence but the first in
 order of id, row and place, also inside one text and among rows with the same id or none.
 ``substring_duplicates`` compares documents only: rows with the same id are one
-document, whose own repeats aren't reported. A null id comes after all others. An
+document, whose own repeats aren't reported. Ids must be whole numbers, or texts of such; a null id comes after all others. An
 empty table gives no rows. Other columns don't matter. Texts of any length are
 cut whole; a text without a cut is one chunk.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -80,6 +82,17 @@ def _bounded(data: np.ndarray, h: np.ndarray, edges: np.ndarray, usable, longest
     return np.unique(steps)
 
 
+def numbered(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: Sequence[str] = ()) -> DataFrame:
+    """Id, text and the columns ``keep`` as a stored table with ``__row``, the number of each row; ``docs`` itself if it has that.
+
+    Numbers are given in one scan and written, so that they mean the same rows wherever they are used.
+    """
+    if "__row" in docs.columns:
+        return docs
+    columns = dict.fromkeys([doc_id, text, *keep])
+    return materialise(docs.select(*columns, F.monotonically_increasing_id().alias("__row")), "numbered")
+
+
 def chunks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", longest: int | None = None) -> DataFrame:
     """(row, id, at, size, hi, lo): chunks with their place in the text, in bytes, and their digest.
 
@@ -91,7 +104,7 @@ def chunks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", longest:
             for part in text_slices(batch, "t", 2 << 20):
                 yield _chunked(part, longest)
 
-    source = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t"))
+    source = numbered(docs, text, doc_id).select(F.col("__row").alias("row"), F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t"))
     return source.mapInArrow(run, "row bigint, id bigint, at int, size int, hi bigint, lo bigint" + ", before int, after int" * bool(longest))
 
 
@@ -228,6 +241,7 @@ def whole_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     A cut of CUT_BITS inside both copies, MEMORY bytes from their start, is the same in both, so a passage ends before the next
     such cut and starts less than MEMORY bytes before the previous one: only runs that can come to ``min_bytes`` in that way are compared.
     """
+    docs = numbered(docs, text, doc_id)
     found = repeated_places(chunks(docs, text, doc_id, MAX_CHUNK))
     longest = F.max(F.struct("size", (-F.col("at")).alias("from"), "first_row", "first_at")).alias("c")
     runs = _runs(found, longest, F.min_by("before", "at").alias("before"), F.max_by("after", "at").alias("after"))
@@ -244,7 +258,7 @@ def whole_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     )
     runs = runs.withColumn("f_least", F.greatest(F.col("f_at") - (F.col("at") - F.col("least")), F.lit(0)))
     runs = materialise(runs.withColumn("f_most", F.col("f_at") + F.col("most") - F.col("at")), "runs")
-    texts = docs.select(F.monotonically_increasing_id().alias("__row"), F.col(text).cast("binary").alias("__body"))
+    texts = docs.select("__row", F.col(text).cast("binary").alias("__body"))
 
     def piece(start: str, end: str) -> Column:
         return F.substring("__body", (F.col(start) + 1).cast("int"), (F.col(end) - F.col(start)).cast("int"))
@@ -311,13 +325,14 @@ def _grown(batches):
 
 
 def without_duplicates(docs: DataFrame, runs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the bytes of ``runs`` (of the same stored table) cut out of their texts."""
+    """``docs``, from ``numbered``, with the bytes of their ``runs`` cut out of the texts."""
+    if "__row" not in docs.columns:
+        raise ValueError("give the rows their numbers with numbered() first, and find the runs among those rows")
     cuts_of = runs.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cuts"))
-    marked = docs.withColumn("__row", F.monotonically_increasing_id())
-    joined = marked.join(cuts_of.withColumnRenamed("row", "__r"), F.col("__row") == F.col("__r"), "left")
+    joined = docs.join(cuts_of.withColumnRenamed("row", "__r"), F.col("__row") == F.col("__r"), "left")
     body = F.col(text).cast("binary")
     start = F.concat(F.array(F.lit(0).cast("long")), F.transform("__cuts", lambda c: c["end"]))
     end = F.concat(F.transform("__cuts", lambda c: c["start"]), F.array(F.octet_length(text).cast("long")))
     pieces = F.zip_with(start, end, lambda a, b: F.substring(body, (a + 1).cast("int"), (b - a).cast("int")).cast("string"))
     rest = F.when(F.col("__cuts").isNull(), F.col(text)).otherwise(F.array_join(pieces, ""))
-    return joined.withColumn("__text", rest).select(*[F.col("__text").alias(c) if c == text else F.col(c) for c in docs.columns])
+    return joined.withColumn("__text", rest).select(*[F.col("__text").alias(c) if c == text else F.col(c) for c in docs.columns if c != "__row"])

@@ -1,11 +1,14 @@
 import random
 
+import pytest
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from llm_rows import odd  # noqa: F401
 
 from passagemill.llm import chunkdedup as c
+from passagemill.llm.queries import op8_substring_dedup
 
 
 def rolled(data: bytes) -> list[int]:
@@ -47,7 +50,7 @@ def test_planted_passages(spark, tmp_path):
     rows, planted, passages = _planted()
     path = str(tmp_path / "d")
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(path)
-    docs, texts = spark.read.parquet(path), dict(rows)
+    docs, texts = c.numbered(spark.read.parquet(path)), dict(rows)
     runs = c.substring_duplicates(docs).collect()
     first = {}
     for d, p in planted.items():
@@ -106,7 +109,7 @@ def test_repeats_in_one_text_and_among_rows_of_one_id(spark, tmp_path):
     rows += [(2, _words(rng, 60)), (3, f"{_words(rng, 9)} {other}"), (3, f"{_words(rng, 7)} {other}"), (None, f"{_words(rng, 5)} {other}"), (None, other)]
     path = str(tmp_path / "d")
     spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(path)
-    docs = spark.read.parquet(path)
+    docs = c.numbered(spark.read.parquet(path))
     runs = c.repeated_passages(docs)
     found = runs.collect()
     assert sorted((r.doc_id or 0, r.within) for r in found) == [(0, False), (0, False), (1, True), (1, True), (3, False)]
@@ -152,11 +155,11 @@ def test_passages_are_followed_to_their_ends(spark, tmp_path):
 
 
 def test_grown_runs_hold_the_runs_of_chunks(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    docs = c.numbered(spark.read.parquet(f"{sf}/documents.parquet"))
     grown = {}
     for r in c.whole_passages(docs).collect():
         grown.setdefault(r.row, []).append((r.start, r.end))
-    texts = {r.row: r.t for r in docs.select(F.monotonically_increasing_id().alias("row"), F.col("text").cast("binary").alias("t")).collect()}
+    texts = {r.row: r.t for r in docs.select(F.col("__row").alias("row"), F.col("text").cast("binary").alias("t")).collect()}
     for r in c.repeated_passages(docs).collect():
         assert any(a <= r.start and r.end <= b for a, b in grown[r.row])
     for row, spans in grown.items():
@@ -167,3 +170,45 @@ def test_grown_runs_hold_the_runs_of_chunks(spark, sf):
 def test_no_chunk_is_longer_than_the_bound(spark, odd):
     assert c.chunks(odd("size"), longest=c.MAX_CHUNK).agg(F.max("size")).first()[0] <= c.MAX_CHUNK
     assert c.whole_passages(odd("end", rows=[])).count() == 0
+
+
+def test_input_whose_rows_move_between_scans(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    spans = lambda df: {(r.doc_id, r.start, r.end) for r in c.whole_passages(df).collect()}
+    want = spans(docs)
+    assert want and spans(docs.repartition(5)) == want
+    assert spans(docs.join(docs.select("doc_id").where("doc_id >= 0"), "doc_id")) == want
+    with pytest.raises(ValueError):
+        c.without_duplicates(docs, c.repeated_passages(docs))
+
+
+def brute_whole(rows, min_bytes):
+    """Bytes that stand, in a row of at least ``min_bytes``, in an earlier text too: by comparing all places of that length."""
+    seen, out = set(), {}
+    for d, t in rows:
+        own = set()
+        windows = [t[i : i + min_bytes] for i in range(len(t) - min_bytes + 1)]
+        for i, w in enumerate(windows):
+            if w in seen:
+                own.update(range(i, i + min_bytes))
+        seen.update(windows)
+        out[d] = own
+    return out
+
+
+def test_registered_result_against_brute_force(spark, sf):
+    """What is reported does repeat, and nearly all that repeats over 300 bytes and more is reported."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = sorted((r.doc_id, r.text.encode()) for r in docs.collect())
+    found = {}
+    for r in op8_substring_dedup(spark, sf).collect():
+        found.setdefault(r.doc_id, set()).update(range(r.start, r.end))
+    near = brute_whole(rows, c.MIN_BYTES // 4)
+    # repeats of one text are told from each other by place; brute force counts those of other texts
+    within = {d: t for d, t in rows}
+    for d, places in found.items():
+        alone = places - near[d]
+        assert len(alone) <= len(places) * 0.2 or any(within[d].count(within[d][i : i + 25]) > 1 for i in sorted(alone)[:1])
+    far = brute_whole(rows, 300)
+    missed = sum(len(p - found.get(d, set())) for d, p in far.items())
+    assert sum(map(len, far.values())) > 10_000 and missed <= 0.01 * sum(map(len, far.values()))
