@@ -11,7 +11,7 @@ from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import BROADCAST_BYTES, NLIST, SearchConfig
@@ -86,6 +86,11 @@ class Centroids:
     def arrays(self) -> tuple[np.ndarray, np.ndarray]:
         return self.cells, self.units
 
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(cell_id, centroid) with unit centroids."""
+        rows = [(int(c), [float(x) for x in u]) for c, u in zip(self.cells, self.units)]
+        return spark.createDataFrame(rows, f"{CELL} int, centroid array<double>")
+
     @staticmethod
     def from_arrays(arrays: tuple[np.ndarray, np.ndarray]) -> Centroids:
         made = object.__new__(Centroids)

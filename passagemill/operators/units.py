@@ -83,7 +83,7 @@ def decode_references(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), F.concat(F.element_at(parts, 1), F.array_join(rest, ""))).otherwise(text)
 
 
-def _clean(text: Column) -> Column:
+def clean_text(text: Column) -> Column:
     return collapse(decode_references(text))
 
 
@@ -119,7 +119,7 @@ def html_units(df: DataFrame, html: str, out: str = "units") -> DataFrame:
         name = F.lower(F.element_at(parts, 1))
         return F.struct(
             F.when(name == "", "text").otherwise(name).alias("kind"),
-            _clean(F.try_element_at(parts, F.lit(2))).alias("text"),
+            clean_text(F.try_element_at(parts, F.lit(2))).alias("text"),
         )
 
     sections = F.transform(

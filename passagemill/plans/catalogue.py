@@ -10,6 +10,7 @@ from ..functions.status import known_status, stored_error
 from ..functions.text import base_name, cache_name, not_blank, preview, service_name, stem, token_count
 from ..functions.vectors import has_dim, l2_normalize
 from ..operators import reports
+from ..operators.cells import lloyd_centroids, probes_for_recall
 from ..operators.chunking import (
     chunk_count,
     explode_chunks,
@@ -27,7 +28,6 @@ from ..operators.ivf import (
     nlist_rule,
     probed_top_k,
     recall,
-    seed_centroids,
     train_centroids,
 )
 from ..operators.prompting import build_prompts
@@ -283,41 +283,48 @@ def nlist_query(spark, sf):
     return _table(spark, sf, "embeddings").agg(nlist_rule(F.count("*")).alias("nlist"))
 
 
-def _seeded(spark, sf):
-    vectors = _vectors(spark, sf)
-    nlist = vectors.agg(nlist_rule(F.count("*")).alias("n")).head()["n"]
-    centroids = Centroids(seed_centroids(vectors, "vec_id", nlist))
-    return vectors, centroids
+#: Share of the exact hits that a probed search is to find, and about how many queries measure it.
+TARGET_RECALL = 0.92
+MEASURED_QUERIES = 1000
+_trained_cells: dict[tuple[str, str], tuple] = {}
 
 
-PROBES = SearchConfig(nprobe=4)
+def _trained(spark, sf):
+    """Vectors with their cell, centroids, and the number of cells to probe: trained once a session and table."""
+    made = (spark.sparkContext.applicationId, sf)
+    if made not in _trained_cells:
+        vectors = _vectors(spark, sf)
+        rows = vectors.count()
+        nlist = vectors.agg(nlist_rule(F.count("*")).alias("n")).head()["n"]
+        centroids = Centroids(lloyd_centroids(vectors, "vec_id", nlist))
+        indexed = materialise(assign_cells(vectors, centroids), "cells")
+        asked = _self_queries(spark, sf).where(F.col("qid") % max(1, rows // MEASURED_QUERIES) == 0)
+        _trained_cells[made] = indexed, centroids, probes_for_recall(indexed, centroids, asked, ["vec_id"], TARGET_RECALL)
+    return _trained_cells[made]
 
 
 def ivf_assign(spark, sf):
-    vectors, centroids = _seeded(spark, sf)
-    return assign_cells(vectors, centroids).select("vec_id", F.col(CELL).cast("long").alias(CELL))
+    indexed, _, _ = _trained(spark, sf)
+    return indexed.select("vec_id", F.col(CELL).cast("long").alias(CELL))
 
 
 def ivf_topk(spark, sf):
-    vectors, centroids = _seeded(spark, sf)
-    hits = probed_top_k(assign_cells(vectors, centroids), _self_queries(spark, sf), centroids, ["vec_id"], config=PROBES)
-    return _rounded(hits)
+    indexed, centroids, nprobe = _trained(spark, sf)
+    return _rounded(probed_top_k(indexed, _self_queries(spark, sf), centroids, ["vec_id"], config=SearchConfig(nprobe=nprobe)))
 
 
 def ivf_blocks(spark, sf):
     """Probed search on the path for query tables too large to ship."""
-    vectors, centroids = _seeded(spark, sf)
-    config = SearchConfig(nprobe=4, broadcast_bytes=0, block_rows=20, block_queries=50)
-    return _rounded(
-        probed_top_k(assign_cells(vectors, centroids), _self_queries(spark, sf), centroids, ["vec_id"], config=config)
-    )
+    indexed, centroids, nprobe = _trained(spark, sf)
+    config = SearchConfig(nprobe=nprobe, broadcast_bytes=0, block_rows=20, block_queries=50)
+    return _rounded(probed_top_k(indexed, _self_queries(spark, sf), centroids, ["vec_id"], config=config))
 
 
 def ivf_recall(spark, sf):
-    vectors, centroids = _seeded(spark, sf)
+    indexed, centroids, nprobe = _trained(spark, sf)
     asked = _self_queries(spark, sf)
-    exact = top_k(vectors, asked, ["vec_id"])
-    near = probed_top_k(assign_cells(vectors, centroids), asked, centroids, ["vec_id"], config=PROBES)
+    exact = top_k(indexed, asked, ["vec_id"])
+    near = probed_top_k(indexed, asked, centroids, ["vec_id"], config=SearchConfig(nprobe=nprobe))
     return recall(exact, near, ["vec_id"]).withColumn("recall", F.round("recall", 6))
 
 

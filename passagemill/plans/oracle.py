@@ -12,6 +12,7 @@ from ..operators.prompting import (
     SYSTEM_SENTENCES,
 )
 from ..operators.reports import THRESHOLDS
+from .catalogue import MEASURED_QUERIES, TARGET_RECALL
 
 CAP = CHUNK_TOKENS
 
@@ -226,22 +227,49 @@ def nearest(vectors: str = "embeddings") -> str:
 WHERE rk <= {TOP_K}"""
 
 
-def _cells(nprobe: int) -> str:
-    return f"""nl AS (SELECT cast(floor(sqrt(count(*))) AS bigint) AS n FROM embeddings),
-centroids AS (
-  SELECT cell_id, embedding FROM (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cell_id, embedding FROM embeddings)
-  WHERE cell_id < (SELECT n FROM nl)),
-close AS (
-  SELECT q.vec_id, v.cell_id,
-         row_number() OVER (PARTITION BY q.vec_id ORDER BY {_COS} DESC, v.cell_id) AS place
-  FROM embeddings q CROSS JOIN centroids v),
-assigned AS (SELECT vec_id, cell_id FROM close WHERE place = 1),
-probed AS (SELECT vec_id AS qid, cell_id FROM close WHERE place <= {nprobe}),
+def lloyd(points: str, nlist: str, iterations: int = 3) -> str:
+    """Cells of ``points (key, vec double[])``: CTEs up to ``centroids (cell_id, vec)``, ``close (key, cell_id, place)`` and ``assigned``."""
+    out = [
+        f"""nl AS ({nlist}),
+c0 AS (
+  SELECT cell_id, vec FROM (SELECT row_number() OVER (ORDER BY md5(key)) - 1 AS cell_id, vec FROM {points})
+  WHERE cell_id < (SELECT n FROM nl))"""
+    ]
+    for i in range(iterations):
+        out.append(f"""a{i} AS (
+  SELECT key, vec, cell_id FROM (
+    SELECT p.key, p.vec, c.cell_id, row_number() OVER (PARTITION BY p.key ORDER BY list_cosine_similarity(p.vec, c.vec) DESC, c.cell_id) AS place
+    FROM {points} p CROSS JOIN c{i} c) WHERE place = 1),
+m{i} AS (
+  SELECT cell_id, list(x ORDER BY dim) AS vec FROM (
+    SELECT cell_id, dim, round(sum(x) / count(*), 6) AS x FROM (
+      SELECT cell_id, unnest(vec) / sqrt(list_inner_product(vec, vec)) AS x, generate_subscripts(vec, 1) AS dim FROM a{i})
+    GROUP BY cell_id, dim) GROUP BY cell_id),
+c{i + 1} AS (SELECT c.cell_id, coalesce(m.vec, c.vec) AS vec FROM c{i} c LEFT JOIN m{i} m ON m.cell_id = c.cell_id)""")
+    out.append(f"""close AS (
+  SELECT p.key, c.cell_id, row_number() OVER (PARTITION BY p.key ORDER BY list_cosine_similarity(p.vec, c.vec) DESC, c.cell_id) AS place
+  FROM {points} p CROSS JOIN c{iterations} c),
+assigned AS (SELECT key, cell_id FROM close WHERE place = 1)""")
+    return ",\n".join(out)
+
+
+#: Trained cells over the embeddings, and as many of them probed as it takes.
+CELLS = f"""points AS (SELECT CAST(vec_id AS VARCHAR) AS key, vec_id, CAST(embedding AS double[]) AS vec FROM embeddings),
+{lloyd("points", "SELECT CAST(floor(sqrt(count(*))) AS bigint) AS n FROM embeddings")},
+exact AS ({nearest()}),
+places AS (
+  SELECT c.place FROM exact e JOIN assigned a ON a.key = CAST(e.vec_id AS VARCHAR)
+  JOIN close c ON c.key = CAST(e.qid AS VARCHAR) AND c.cell_id = a.cell_id
+  WHERE e.qid % greatest(1, (SELECT count(*) FROM embeddings) // {MEASURED_QUERIES}) = 0),
+np AS (
+  SELECT min(place) AS n FROM (SELECT place, sum(count(*)) OVER (ORDER BY place) AS seen, sum(count(*)) OVER () AS every FROM places GROUP BY place)
+  WHERE seen >= {TARGET_RECALL} * every),
 near AS (
   SELECT qid, vec_id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id) AS rk FROM (
-    SELECT p.qid, v.vec_id, {_COS} AS score
-    FROM probed p JOIN assigned a ON a.cell_id = p.cell_id
-    JOIN embeddings v ON v.vec_id = a.vec_id JOIN embeddings q ON q.vec_id = p.qid)),
+    SELECT q.vec_id AS qid, v.vec_id, {_COS} AS score
+    FROM close c JOIN assigned a ON a.cell_id = c.cell_id
+    JOIN embeddings v ON CAST(v.vec_id AS VARCHAR) = a.key JOIN embeddings q ON CAST(q.vec_id AS VARCHAR) = c.key
+    WHERE c.place <= (SELECT n FROM np))),
 ivf AS (SELECT qid, rk, vec_id, round(score, 6) AS score FROM near WHERE rk <= {TOP_K})"""
 
 
@@ -330,11 +358,11 @@ ORDER BY {_COS} DESC, v.vec_id LIMIT {TOP_K}""",
     "topk_blocks": nearest(),
     "topk_filtered": nearest("(SELECT * FROM embeddings WHERE label >= 5)"),
     "nlist_rule": "SELECT cast(floor(sqrt(count(*))) AS bigint) AS nlist FROM embeddings",
-    "ivf_assign": _with(_cells(4), select="SELECT vec_id, cell_id FROM assigned"),
-    "ivf_topk": _with(_cells(4), select="SELECT qid, rk, vec_id, score FROM ivf"),
-    "ivf_blocks": _with(_cells(4), select="SELECT qid, rk, vec_id, score FROM ivf"),
+    "ivf_assign": _with(CELLS, select="SELECT CAST(key AS BIGINT) AS vec_id, cell_id FROM assigned"),
+    "ivf_topk": _with(CELLS, select="SELECT qid, rk, vec_id, score FROM ivf"),
+    "ivf_blocks": _with(CELLS, select="SELECT qid, rk, vec_id, score FROM ivf"),
     "ivf_recall": _with(
-        _cells(4), f"exact AS ({nearest()})",
+        CELLS,
         select="""SELECT count(*) AS expected, count(i.vec_id) AS found,
   round(count(i.vec_id) / cast(count(*) AS double), 6) AS recall
 FROM exact e LEFT JOIN ivf i ON i.qid = e.qid AND i.vec_id = e.vec_id""",

@@ -1,0 +1,194 @@
+import os
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from passagemill.config import CollectionConfig, SearchConfig
+from passagemill.operators import cells as c
+from passagemill.operators.ivf import CELL, Centroids, assign_cells, probed_top_k, recall
+from passagemill.operators.search import top_k
+from passagemill.plans import upkeep
+from passagemill.sources import collection as store
+
+
+def vectors(spark, rows, parts=4):
+    return spark.createDataFrame(rows, "id bigint, embedding array<float>").repartition(parts)
+
+
+def clustered(n=400, dim=8, groups=10, seed=1, spread=0.05):
+    rng = np.random.default_rng(seed)
+    centers = rng.normal(size=(groups, dim))
+    return [(i, (centers[i % groups] + spread * rng.normal(size=dim)).astype(np.float32).tolist()) for i in range(n)]
+
+
+def units(rows):
+    m = np.array([v for _, v in rows], float)
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
+
+
+def hits(df):
+    return [tuple(r) for r in df.orderBy("qid", "rk").select("qid", "rk", "id", F.round("score", 9)).collect()]
+
+
+@pytest.fixture()
+def clusters(spark):
+    rows = clustered()
+    # null, zero and repeated vectors
+    rows += [(1000, None), (1001, [0.0] * 8)] + [(2000 + i, rows[0][1]) for i in range(150)]
+    return rows
+
+
+def indexed_of(spark, rows, nlist=10):
+    table = vectors(spark, rows)
+    centroids = c.lloyd_centroids(table, "id", nlist)
+    indexed = assign_cells(table, Centroids(centroids))
+    return table, indexed, c.statistics(indexed, centroids)
+
+
+def test_statistics_are_those_of_the_rows(spark, clusters):
+    _, indexed, cells = indexed_of(spark, clusters)
+    rows = {r["id"]: r for r in indexed.collect()}
+    assert rows[1000][CELL] is None and rows[1001][CELL] is None
+    for cell in cells.collect():
+        members = units([(0, r["embedding"]) for r in rows.values() if r[CELL] == cell[CELL]])
+        assert cell["n"] == len(members)
+        assert np.allclose(cell["total"], members.sum(axis=0))
+        assert np.isclose(cell["reach"], (members @ np.array(cell["centroid"])).min())
+    assert sum(r["n"] for r in cells.collect()) == len(clusters) - 2
+
+
+def test_merged_statistics_are_those_of_all_rows(spark, clusters):
+    _, indexed, cells = indexed_of(spark, clusters)
+    centroids = cells.select(CELL, "centroid")
+    parts = [c.statistics(indexed.where(F.col("id") % 2 == i), centroids) for i in (0, 1)]
+    both = {r[CELL]: r for r in c.merged(*parts).collect()}
+    for r in cells.collect():
+        assert both[r[CELL]]["n"] == r["n"] and both[r[CELL]]["reach"] == pytest.approx(r["reach"])
+        assert np.allclose(both[r[CELL]]["total"], r["total"])
+
+
+def test_training_is_the_same_whatever_the_partitions(spark):
+    rows = clustered()
+    found = [c.lloyd_centroids(vectors(spark, rows, p), "id", 10).orderBy(CELL).collect() for p in (1, 5)]
+    assert found[0] == found[1] and len(found[0]) == 10
+
+
+@pytest.mark.parametrize("limit", [None, 0])  # shipped queries, and blocks
+def test_pruned_search_is_exact_and_reads_less(spark, clusters, monkeypatch, limit):
+    table, indexed, cells = indexed_of(spark, clusters)
+    config = SearchConfig(nprobe=1, k=5) if limit is None else SearchConfig(nprobe=1, k=5, broadcast_bytes=0, block_rows=50, block_queries=60)
+    asked = table.select(F.col("id").alias("qid"), "embedding").where("qid % 7 = 0 or qid >= 1000")
+    if limit == 0:  # the cell table is still read whole
+        known = c.cell_arrays(cells)
+        monkeypatch.setattr(c, "cell_arrays", lambda _: known)
+    found = c.pruned_top_k(indexed, asked, cells, ["id"], config=config)
+    assert hits(found.hits) == hits(top_k(table, asked, ["id"], config=SearchConfig(k=5)))
+    (share,) = found.shares(cells).collect()
+    assert share["vectors_share"] < 0.6 and share["cells_share"] < 0.5
+    assert share["vectors"] == len(clusters) - 2
+
+
+def test_fewer_rows_than_k_reads_everything(spark):
+    rows = clustered(6, groups=3)
+    table, indexed, cells = indexed_of(spark, rows, 3)
+    asked = table.select(F.col("id").alias("qid"), "embedding")
+    found = c.pruned_top_k(indexed, asked, cells, ["id"], config=SearchConfig(nprobe=1, k=10))
+    assert hits(found.hits) == hits(top_k(table, asked, ["id"], config=SearchConfig(k=10)))
+    assert found.shares(cells).first()["cells_share"] == 1.0
+
+
+def test_no_queries(spark):
+    table, indexed, cells = indexed_of(spark, clustered(20, groups=3), 3)
+    found = c.pruned_top_k(indexed, table.select(F.col("id").alias("qid"), "embedding").limit(0), cells, ["id"])
+    assert found.hits.collect() == [] and found.reads.collect() == []
+
+
+def test_probes_are_enough_for_the_target(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=16).astype(np.float32).tolist()) for i in range(600)]
+    table, indexed, cells = indexed_of(spark, rows, 20)
+    centroids, asked = Centroids(cells), table.select(F.col("id").alias("qid"), "embedding")
+    exact = top_k(table, asked, ["id"])
+    for target in (0.5, 0.9):
+        n = c.probes_for_recall(indexed, centroids, asked, ["id"], target)
+        share = [recall(exact, probed_top_k(indexed, asked, centroids, ["id"], config=SearchConfig(nprobe=p)), ["id"]).first()["recall"] for p in (n, n - 1)]
+        assert share[0] >= target > share[1]
+
+
+# ---- upkeep ---------------------------------------------------------------------------------
+
+
+def files_of(spark, config):
+    """Data files by cell, with what identifies their content."""
+    out = {}
+    for path in store.open_collection(spark, config).inputFiles():
+        local = path.removeprefix("file://")
+        cell = int(path.split(f"{CELL}=")[1].split("/")[0])
+        out.setdefault(cell, set()).add((os.path.basename(local), os.stat(local).st_mtime_ns))
+    return out
+
+
+def exact_over(spark, config, rows):
+    table = vectors(spark, rows)
+    asked = table.select(F.col("id").alias("qid"), "embedding").where("qid % 5 = 0")
+    stored, cells = store.open_collection(spark, config), upkeep.open_cells(spark, config)
+    assert stored.count() == len(rows) and stored.select("id").distinct().count() == len(rows)
+    sizes = {r[CELL]: r["n"] for r in stored.where(f"{CELL} is not null").groupBy(CELL).agg(F.count("*").alias("n")).collect()}
+    assert {r[CELL]: r["n"] for r in cells.collect()} == sizes
+    got = c.pruned_top_k(stored, asked, cells, ["id"], config=SearchConfig(nprobe=1))
+    assert hits(got.hits) == hits(top_k(table, asked, ["id"]))
+
+
+def test_upkeep_touches_only_cells_that_need_it(spark):
+    config, rows = CollectionConfig("upkept"), clustered(300, groups=10, spread=0.02)
+    # one cluster in two places, so that it is worth a split; and a lone vector of its own
+    rng = np.random.default_rng(9)
+    more = [(5000 + i, (np.array(rows[0][1]) + 0.3 * rng.normal(size=8)).astype(np.float32).tolist()) for i in range(200)]
+    upkeep.create(vectors(spark, rows), config, 10)
+    exact_over(spark, config, rows)
+    upkeep.append(vectors(spark, more), config)
+    upkeep.append(vectors(spark, more[:50]), config)  # a repeat adds nothing
+    exact_over(spark, config, rows + more)
+    before = files_of(spark, config)
+    wanted = upkeep.UpkeepConfig(most_rows=90, least_rows=8)
+    sizes = {r[CELL]: r["n"] for r in upkeep.open_cells(spark, config).collect()}
+    over, starved = {k for k, n in sizes.items() if n > 90}, {k for k, n in sizes.items() if n < 8}
+    assert over
+    report = upkeep.maintain(spark, config, wanted).first()
+    assert report["splits"] >= len(over) and report["rows"] == 500
+    exact_over(spark, config, rows + more)
+    after = files_of(spark, config)
+    untouched = [k for k in before if k in after and before[k] == after[k]]
+    assert not over & set(untouched) and len(untouched) >= len(set(before) - over - starved) - 3 and untouched
+    assert upkeep.maintain(spark, config, wanted).first()["splits"] == 0
+
+
+def test_cell_of_equal_vectors_stays_and_starved_ones_go(spark):
+    config = CollectionConfig("equal_vectors")
+    rows = clustered(60, groups=3) + [(9000 + i, [1.0] + [0.0] * 7) for i in range(200)]
+    upkeep.create(vectors(spark, rows), config, 4)
+    upkeep.split_oversized(spark, config, upkeep.UpkeepConfig(most_rows=50, least_rows=1))
+    exact_over(spark, config, rows)
+    merges = upkeep.merge_starved(spark, config, upkeep.UpkeepConfig(most_rows=500, least_rows=25))
+    assert merges >= 1 and upkeep.open_cells(spark, config).where("n < 20").count() <= 1
+    exact_over(spark, config, rows)
+
+
+def test_a_broken_off_merge_is_finished(spark, monkeypatch):
+    config, rows = CollectionConfig("broken_off"), clustered(90, groups=3)
+    upkeep.create(vectors(spark, rows), config, 6)
+    some = sorted(r["n"] for r in upkeep.open_cells(spark, config).collect())
+    wanted = upkeep.UpkeepConfig(most_rows=1000, least_rows=some[1] + 1)
+    overwrite = upkeep._overwrite
+
+    def broken(*args):
+        overwrite(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(upkeep, "_overwrite", broken)
+    with pytest.raises(RuntimeError):
+        upkeep.merge_starved(spark, config, wanted)
+    monkeypatch.setattr(upkeep, "_overwrite", overwrite)
+    upkeep.merge_starved(spark, config, wanted)
+    exact_over(spark, config, rows)
