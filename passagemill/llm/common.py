@@ -70,6 +70,27 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(blobs), np.uint8), starts
 
 
+class Remembered(dict):
+    """What ``make`` gives for each key. Kept in two generations of ``most`` / 2 keys: frequent keys outlive a turn."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most, self.old = make, most // 2, {}
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        self[key] = found
+        return found
+
+    def turn(self) -> None:
+        """Forget the older generation if the younger one is full; between slices of text."""
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+
+
 def kept(batch: pa.RecordBatch, keep: Sequence[str]) -> list[pa.Array]:
     return [batch.column(c) for c in keep]
 

@@ -14,7 +14,7 @@ as binary, little-endian. Payloads are compressed already, so the files aren't.
 
 Null texts are empty: they are their end id only. Null ids come first; equal ids keep
 the order of the input. Repeated rows are rows of their own. An empty table
-gives no frames. Extra columns aren't stored; the stored ids are kept as long integers.
+gives no frames. Extra columns aren't stored. Ids must be whole numbers, or texts of such, and are kept as long integers.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_path, materialise, running_start, scratch_path, text_slices, texts_of
+from .common import Remembered, drop_path, materialise, running_start, scratch_path, text_slices, texts_of
 
 END_ID = 2
 #: Frequencies add up to 2 to this power.
@@ -40,7 +40,7 @@ FRAME_TOKENS = 16 * BLOCK_TOKENS
 _LOW = np.uint64(1 << 32)
 _LOW32 = np.uint64(0xFFFFFFFF)
 #: Different words that a task remembers with their ids.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 450_000
 #: Letters that normalisation leaves alone but for their case, with one mark behind: one or two pieces before merging.
 _SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 
@@ -70,45 +70,41 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(content)
-        self.model = self.tokenizer.model
         self.kind = np.dtype(id_type(self.tokenizer))
-        self.memory: dict[bytes, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        self.words = Remembered(self._word, CACHE_WORDS)
+        self.stems = Remembered(self._stem, CACHE_WORDS)
+        self.marks = {m: self._whole(m.decode()) for m in (b".", b",")}
+        self.tokenize = self.tokenizer.model.tokenize
+        self.each = [i.to_bytes(self.kind.itemsize, "little") for i in range(self.tokenizer.get_vocab_size())]
 
     def _whole(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _learn(self, words: set[bytes]) -> None:
-        memory, stems, tokenize = self.memory, self.stems, self.model.tokenize
-        simple, letter, size = _SIMPLE.fullmatch, _LETTERS, self.kind.itemsize
-        for mark in (".", ","):
-            if mark not in stems:
-                stems[mark] = self._whole(mark)
-        for w in words:
-            m = simple(w.decode())
-            if not m:
-                memory[w] = self._whole(w.decode())
-                continue
-            stem, mark = m.groups()
-            stem = stem.lower()
-            ids = stems.get(stem)
-            if ids is None:
-                spelled = stem if stem.isascii() else "".join([letter[b] for b in stem.encode()])
-                ids = stems[stem] = b"".join([t.id.to_bytes(size, "little") for t in tokenize(spelled)])
-            memory[w] = ids + stems[mark] if mark else ids
+    def _word(self, w: bytes) -> bytes:
+        if w.isalpha():  # of ASCII letters
+            return self.stems[w.lower()]
+        stem, mark = w[:-1], w[-1:]
+        if mark in self.marks and stem.isalpha():
+            return self.stems[stem.lower()] + self.marks[mark]
+        word = w.decode()
+        m = _SIMPLE.fullmatch(word)
+        if not m:
+            return self._whole(word)
+        stem, mark = m.groups()
+        ids = self.stems[stem.lower().encode()]
+        return ids + self.marks[mark.encode()] if mark else ids
+
+    def _stem(self, stem: bytes) -> bytes:
+        each = self.each
+        spelled = stem.decode() if stem.isascii() else "".join([_LETTERS[b] for b in stem])
+        return b"".join([each[t.id] for t in self.tokenize(spelled)])
 
     def encode(self, texts: list[bytes], end: int) -> list[bytes]:
         """Ids of each text and ``end``, as little-endian integers."""
-        split = [t.split() for t in texts]
-        memory = self.memory
-        if len(memory) > CACHE_WORDS:
-            memory.clear()
-            self.stems.clear()
-        new = set().union(*split).difference(memory)
-        if new:
-            self._learn(new)
-        tail = end.to_bytes(self.kind.itemsize, "little")
-        return [b"".join([memory[w] for w in words]) + tail for words in split]
+        self.words.turn()
+        self.stems.turn()
+        ids_of, tail = self.words.__getitem__, end.to_bytes(self.kind.itemsize, "little")
+        return [b"".join(map(ids_of, t.split())) + tail for t in texts]
 
 
 def id_type(tokenizer) -> str:

@@ -74,3 +74,25 @@ def test_awkward_rows(spark, odd, tmp_path):
     _check(spark, docs, docs.collect(), str(tmp_path / "c"), 1000)
     tokens.write_corpus(odd("ids", rows=[]), str(tmp_path / "none"), PATH)
     assert tokens.read_corpus(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_random_strings_get_the_librarys_ids():
+    """Marks, odd spaces, special tokens, letters of many scripts, in any order; with memories that turn over all the time."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    rng, content = random.Random(7), open(PATH, encoding="utf-8").read()
+    whole, encoder = Tokenizer.from_str(content), tokens.Encoder(content)
+    for memory in (encoder.words, encoder.stems):
+        memory.most = 50
+    pieces = [
+        *"abcXYZéÉßøÿ×÷Ā漢字ع", *".,;:!?'\"-_/\\#*$%&|<>()[]{}0123456789", " ", "  ", "\t", "\n", "\r", "\x0b", "\x0c", "\x1c", "\x85", "\xa0", " ", "　",
+        "'s", "'ll", "don't", "<|startoftext|>", "<|endoftext|>", "</w>", "the", "The,", "end.", "ﬁ", "é", "‍", "\U0001f600", "\x00", "﻿",
+    ]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(30))) for _ in range(4000)]
+    kind = np.dtype(tokens.id_type(whole))
+    for at in range(0, len(texts), 100):
+        part = texts[at : at + 100]
+        got = [np.frombuffer(x, kind).tolist() for x in encoder.encode([t.encode() for t in part], tokens.END_ID)]
+        assert got == [whole.encode(t, add_special_tokens=False).ids + [tokens.END_ID] for t in part]
