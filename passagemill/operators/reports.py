@@ -41,9 +41,8 @@ def normalise_log(log: DataFrame) -> DataFrame:
     )
 
 
-def run_report(log: DataFrame) -> DataFrame:
-    """Counts by status, totals and mean duration: one row, one pass."""
-    return log.agg(
+def report_columns() -> list[Column]:
+    return [
         F.count("*").alias("total_files"),
         F.count_if(_is("success")).alias("success"),
         F.count_if(_is("empty")).alias("empty"),
@@ -52,7 +51,12 @@ def run_report(log: DataFrame) -> DataFrame:
         F.coalesce(F.sum("page_count"), F.lit(0)).cast("long").alias("total_pages"),
         F.coalesce(F.sum("chunk_count"), F.lit(0)).cast("long").alias("total_chunks"),
         F.round(F.avg("duration_s"), 3).alias("avg_duration_s"),
-    )
+    ]
+
+
+def run_report(log: DataFrame) -> DataFrame:
+    """Counts by status, totals and mean duration: one row, one pass."""
+    return log.agg(*report_columns())
 
 
 def worker_distribution(log: DataFrame, worker: str = "actor_host") -> DataFrame:

@@ -41,6 +41,7 @@ _MOST_PARTITIONS = 50_000
 _SMALL_HITS = 200_000
 _LARGE_K = 100
 _MERGE_PARTS = 64
+_LISTED_MODELS = 1000
 
 
 def matrix_of(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -392,6 +393,30 @@ def top_k(
     return rank(winners, query_id, keys, config.k)
 
 
+def top_k_by_model(
+    collection: DataFrame,
+    queries: DataFrame,
+    keys: list[str],
+    model: str = "model",
+    query_id: str = "qid",
+    vector: str = "embedding",
+    query_vector: str = "embedding",
+    config: SearchConfig = SearchConfig(),
+) -> DataFrame:
+    """Exact search where each query meets the vectors of its own model only: all models in one plan.
+
+    Models may differ in dimension; a block of vectors never holds two of them. ``query_id`` must be
+    unique over all models. Rows and queries without a model aren't found.
+    """
+    hit_schema = _hit_schema(queries, query_id, collection, keys)
+    asked = queries.select(query_id, query_vector, model).filter(F.col(model).isNotNull())
+    wanted = [r[0] for r in asked.select(model).distinct().limit(_LISTED_MODELS + 1).collect()]
+    if len(wanted) <= _LISTED_MODELS:  # read only these models' folders
+        collection = collection.filter(F.col(model).isin(wanted))
+    rows = collection.filter(F.col(model).isNotNull())
+    return rank(block_search(rows, asked, hit_schema, query_id, keys, vector, query_vector, model, config), query_id, keys, config.k)
+
+
 def top_k_of(
     collection: DataFrame, query_vector: list[float], keys: list[str], vector: str = "embedding", k: int = 5
 ) -> DataFrame:

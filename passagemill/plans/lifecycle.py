@@ -12,18 +12,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import CollectionConfig, ParseConfig, SearchConfig
-from ..operators.batchmap import parse_files
-from ..operators.embedding import EndpointEmbedder, LocalEmbedder, embed
+from ..operators.batchmap import native_documents, parse_files
+from ..operators.embedding import EndpointEmbedder, LocalEmbedder, embed, hashed_vectors
 from ..operators.generation import generated_by_model
 from ..operators.ivf import CELL, Centroids, assign_cells, nlist_rule, probed_top_k, recall, train_centroids
-from ..operators.search import top_k
+from ..operators.progress import duration_sketches, merged_quantiles, observed, observed_report
+from ..operators.search import top_k, top_k_by_model
+from ..operators.units import line_units
 from ..session import materialise, scratch_path
 from ..sources import collection as store
 from ..sources.files import list_files, with_source_names
 from ..sources.jsonl import read_chunk_runs
+from ..streaming.compaction import base_of, compact
 from ..streaming.ingest import current_rows, ingest_stream
 from . import ingest
+from .retry import RetryConfig, Retried, parse_with_retries
 
+#: Models of one collection and their dimensions.
+MODELS = {"short": 64, "long": 384}
 PARSE = ParseConfig(blocks_per_worker=1, timeout_s=120)
 
 
@@ -172,19 +178,117 @@ def ivf_stored_recall(spark, sf):
     return found.select("expected", (F.col("recall") >= 0.9).alias("good"))
 
 
-def stream_two_versions(spark, sf):
-    """Documents taken by a stream, some of them again with another text or with none."""
+def _two_versions(spark: SparkSession, sf: str) -> str:
+    """Documents taken by a stream, some of them again with another text or with none; the folder it went to."""
     base = scratch_path(spark, "versions")
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     changed = docs.filter("doc_id % 10 < 2").withColumn("text", F.when(F.col("doc_id") % 10 == 0, "second version").otherwise(""))
     for version in (docs, changed):
-        version.coalesce(1).write.mode("append").parquet(f"{base}/in")
+        version.write.mode("append").parquet(f"{base}/in")
         query = ingest_stream(
             spark, f"{base}/in", f"{base}/rows", f"{base}/checkpoint", file_format="parquet",
             blocks=spark.sparkContext.defaultParallelism,
         )
         query.awaitTermination()
-    return current_rows(spark, f"{base}/rows").select(F.col("source_file").cast("long").alias("doc_id"), "chunk_index", "text")
+    return f"{base}/rows"
+
+
+def _by_document(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("source_file").cast("long").alias("doc_id"), "chunk_index", "text")
+
+
+def stream_two_versions(spark, sf):
+    return _by_document(current_rows(spark, _two_versions(spark, sf)))
+
+
+def stream_compacted(spark, sf):
+    """The same after a compaction: what is stored now, without choosing among versions."""
+    target = _two_versions(spark, sf)
+    number = compact(spark, target).first()["snapshot"]
+    return _by_document(spark.read.parquet(f"{base_of(target)}/{number}/rows"))
+
+
+def stream_compaction_report(spark, sf):
+    """Live rows, documents and tombstones of a compaction, and how many rows the stream's batches had."""
+    target = _two_versions(spark, sf)
+    before = spark.read.parquet(target).agg(F.count("*").alias("streamed_rows")).first()[0]
+    found = compact(spark, target)
+    return found.select("live_rows", "documents", "tombstones", F.lit(before).alias("streamed_rows"))
+
+
+def _flaky(n: int):
+    """Attempt ``n`` of a parser that manages a document at the attempt that its first line names."""
+
+    def make():
+        def parse(content: bytes, name: str):
+            wanted, _, text = content.decode().removesuffix("\n").partition("\n")
+            if int(wanted) > n:
+                raise ValueError(f"not before attempt {wanted}")
+            return 1, [{"text": line} for line in text.split("\n") if line.strip()]
+
+        return parse
+
+    return make
+
+
+def _retried(spark: SparkSession, sf: str) -> Retried:
+    base = scratch_path(spark, "retried")
+    shown = F.concat((F.col("doc_id") % 5 + 1).cast("string"), F.lit("\n"), F.col("text"))
+    return parse_with_retries(document_files(spark, sf, shown), _flaky, f"{base}/chunks", f"{base}/log", RetryConfig(3), PARSE)
+
+
+def retry_until_done(spark, sf):
+    """The last attempt of every document, and whether it is in quarantine."""
+    found = _retried(spark, sf)
+    given_up = found.quarantine.select("source_key", F.lit(True).alias("quarantine"))
+    rows = found.last.join(given_up, "source_key", "left")
+    return rows.select(
+        doc_of(F.col("source_key")).alias("doc_id"), F.col("attempt").cast("long").alias("attempt"), "status", "chunk_count", "error",
+        F.coalesce("quarantine", F.lit(False)).alias("quarantine"),
+    )
+
+
+def retry_chunks(spark, sf):
+    """The chunks of all documents that some attempt managed."""
+    return _retried(spark, sf).chunks.select(doc_of(F.col("source_key")).alias("doc_id"), "chunk_index", "text")
+
+
+def observed_run(spark, sf):
+    """The report of a run, taken by the write that stores it."""
+    from .catalogue import documents
+
+    docs = documents(spark, sf).select(F.col("doc_id").cast("string").alias("key"), "text")
+    run = ingest.chunk_documents(native_documents(line_units(docs, "text"), "key", "key"), collapsed=True)
+    run, taken = observed(run)
+    materialise(run, "observed")
+    return observed_report(spark, taken)
+
+
+def duration_quantiles(spark, sf):
+    """Median and 95 % of the durations of each host over all days, from sketches by host and day."""
+    from .catalogue import run_log
+
+    log = run_log(spark, sf).withColumn("day", F.to_date("finished_at"))
+    sketches = materialise(duration_sketches(log, ["actor_host", "day"]), "sketches")
+    return merged_quantiles(sketches, ["actor_host"])
+
+
+def models_keyed_topk(spark, sf):
+    """One collection with vectors of two models of different length, and questions for both in one search."""
+    config = CollectionConfig("two_dimensions")
+    chunks, asked = _chunks(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet")
+    rows = [
+        chunks.select(F.col("source_file").cast("long").alias("source_file"), "chunk_index", hashed_vectors(F.col("text"), dim).alias("embedding"), F.lit(m).alias("model"))
+        for m, dim in MODELS.items()
+    ]
+    rows = rows[0].unionByName(rows[1]).withColumn("id", F.xxhash64("model", "source_file", "chunk_index"))
+    store.create_or_replace(rows, config, "model")
+    questions = [
+        asked.select(F.concat(F.lit(f"{m}-"), F.col("item_id").cast("string")).alias("qid"), F.lit(m).alias("model"), hashed_vectors(F.col("text"), dim).alias("embedding"))
+        for m, dim in MODELS.items()
+    ]
+    found = top_k_by_model(store.open_collection(spark, config), materialise(questions[0].unionByName(questions[1]), "asked"), ["source_file", "chunk_index"])
+    return found.withColumn("score", F.round("score", 6))
 
 
 def letters_encoder():
@@ -252,6 +356,13 @@ QUERIES = {
         collection_lifecycle,
         append_incremental,
         stream_two_versions,
+        stream_compacted,
+        stream_compaction_report,
+        retry_until_done,
+        retry_chunks,
+        observed_run,
+        duration_quantiles,
+        models_keyed_topk,
         ivf_stored_recall,
         embedder_modes,
         several_models,

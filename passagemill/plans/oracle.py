@@ -143,9 +143,8 @@ WINDOWS = rf"""win AS (
         FROM (SELECT doc_id, source, {words('text')} AS w FROM documents) WHERE len(w) > 0))"""
 
 
-def hashed(name: str, table: str, keys: str, text: str) -> str:
+def hashed(name: str, table: str, keys: str, text: str, d: int = EMBEDDING_DIM) -> str:
     """Sparse vectors ``name (keys, dim, v)`` and their squared norms ``name_ss``."""
-    d = EMBEDDING_DIM
     return rf"""{name}_tok AS (
   SELECT {keys}, cast('0x' || substr(md5(t), 1, 8) AS bigint) AS h
   FROM (SELECT {keys}, unnest({words(f'lower({text})')}) AS t FROM {table})),
@@ -294,6 +293,22 @@ def _health() -> str:
     )
 
 
+
+def _of_model(model: str, dim: int) -> str:
+    """CTEs up to ``<model>_hits``: every question against all chunks, under vectors of ``dim`` components."""
+    c, q = f"{model}_c", f"{model}_q"
+    return f"""{hashed(c, 'chunks_v', 'source_file, chunk_index', 'text', dim)},
+{hashed(q, 'questions', 'qid', 'question', dim)},
+{model}_dots AS (
+  SELECT q.qid, c.source_file, c.chunk_index, sum(q.v * c.v) AS dp FROM {q} q JOIN {c} c ON c.dim = q.dim GROUP BY ALL),
+{model}_all AS (
+  SELECT q.qid, c.source_file, c.chunk_index, coalesce(s.dp, 0) / sqrt(cast(c.ss * q.ss AS double)) AS score
+  FROM {q}_ss q CROSS JOIN {c}_ss c LEFT JOIN {model}_dots s ON s.qid = q.qid AND s.source_file = c.source_file AND s.chunk_index = c.chunk_index),
+{model}_hits AS (
+  SELECT '{model}-' || qid AS qid, rk, source_file, chunk_index, round(score, 6) AS score
+  FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, source_file, chunk_index) AS rk FROM {model}_all) WHERE rk <= {TOP_K})"""
+
+
 ORACLE = {
     "rag_end_to_end": _with(
         GREEDY_HITS, PROMPTS, select="SELECT qid, question, answer, n_sources, prompt FROM prompts", recursive=True
@@ -479,6 +494,35 @@ ORACLE |= {
         LINES, DOC_UNITS, GREEDY, recursive=True,
         select="""SELECT doc AS doc_id, chunk_index, text FROM greedy WHERE doc % 10 >= 2
 UNION ALL SELECT doc_id, 0, 'second version' FROM documents WHERE doc_id % 10 = 0""",
+    ),
+    "stream_compacted": _with(
+        LINES, DOC_UNITS, GREEDY, recursive=True,
+        select="""SELECT doc AS doc_id, chunk_index, text FROM greedy WHERE doc % 10 >= 2
+UNION ALL SELECT doc_id, 0, 'second version' FROM documents WHERE doc_id % 10 = 0""",
+    ),
+    "stream_compaction_report": _with(
+        LINES, DOC_UNITS, GREEDY, recursive=True,
+        select="""SELECT (SELECT count(*) FROM greedy WHERE doc % 10 >= 2) + count(*) FILTER (WHERE doc_id % 10 = 0) AS live_rows,
+  count(*) AS documents, count(*) FILTER (WHERE doc_id % 10 = 1) + count(*) FILTER (WHERE doc_id % 10 >= 2 AND NOT regexp_matches(text, '\\S')) AS tombstones,
+  (SELECT count(*) FROM greedy) + count(*) FILTER (WHERE doc_id % 10 = 0) AS streamed_rows FROM documents""",
+    ),
+    "retry_until_done": _with(
+        LINES, DOC_UNITS, GREEDY, recursive=True,
+        select="""SELECT d.doc_id, least(d.doc_id % 5 + 1, 3) AS attempt,
+  CASE WHEN d.doc_id % 5 >= 3 THEN 'error' WHEN count(g.chunk_index) > 0 THEN 'success' ELSE 'empty' END AS status,
+  CASE WHEN d.doc_id % 5 >= 3 THEN 0 ELSE count(g.chunk_index) END AS chunk_count,
+  CASE WHEN d.doc_id % 5 >= 3 THEN 'not before attempt ' || (d.doc_id % 5 + 1) WHEN count(g.chunk_index) > 0 THEN '' ELSE 'No chunks produced' END AS error,
+  d.doc_id % 5 >= 3 AS quarantine
+FROM documents d LEFT JOIN greedy g ON g.doc = d.doc_id GROUP BY d.doc_id""",
+    ),
+    "retry_chunks": _with(
+        LINES, DOC_UNITS, GREEDY, recursive=True, select="SELECT doc AS doc_id, chunk_index, text FROM greedy WHERE doc % 5 < 3"
+    ),
+    "observed_run": _with(
+        LINES, DOC_UNITS, GREEDY, recursive=True,
+        select="""SELECT count(*) AS total_files, count(*) FILTER (WHERE n > 0) AS success, count(*) FILTER (WHERE n = 0) AS empty,
+  0 AS errors, 0 AS timeouts, count(*) AS total_pages, cast(sum(n) AS bigint) AS total_chunks, 0.0::double AS avg_duration_s
+FROM (SELECT d.doc_id, count(g.chunk_index) AS n FROM documents d LEFT JOIN greedy g ON g.doc = d.doc_id GROUP BY d.doc_id)""",
     ),
     "pipeline_log": _with(
         LINES, DOC_UNITS, GREEDY, recursive=True,
@@ -510,4 +554,9 @@ UNION ALL SELECT 'loaded rows', n FROM n UNION ALL SELECT 'exists after', 'false
     "generator_per_query": """
 SELECT item_id, model, CASE WHEN model <> 'unknown' THEN model || ': ' || length(text) END AS answer
 FROM (SELECT *, ['small', 'large', 'unknown'][item_id % 3 + 1] AS model FROM benchmark)""",
+    "models_keyed_topk": _with(
+        LINES, DOC_UNITS, GREEDY, "chunks_v AS (SELECT doc AS source_file, chunk_index, text FROM greedy)", QUESTIONS,
+        _of_model("short", 64), _of_model("long", 384), recursive=True,
+        select="SELECT * FROM short_hits UNION ALL SELECT * FROM long_hits",
+    ),
 }

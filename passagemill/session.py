@@ -56,6 +56,33 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _at(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists_path(spark: SparkSession, path: str) -> bool:
+    where, system = _at(spark, path)
+    return system.exists(where)
+
+
+def names_below(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none if there is no such folder."""
+    where, system = _at(spark, path)
+    return sorted(f.getPath().getName() for f in system.listStatus(where)) if system.exists(where) else []
+
+
+def mark_done(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    where, system = _at(spark, path)
+    system.create(where, True).close()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    where, system = _at(spark, path)
+    system.delete(where, True)
+
+
 def spread(df: DataFrame, blocks: int | None = None) -> DataFrame:
     """Repartition a scan that has fewer splits than the cluster has cores.
 

@@ -17,9 +17,11 @@ from pyspark.sql.types import StructType
 
 from ..config import ChunkConfig, CollectionConfig
 from ..operators.batchmap import native_documents
+from ..operators.chunking import explode_chunks
 from ..operators.units import line_units
 from ..plans.ingest import chunk_documents, chunk_rows, collection_rows
 from ..session import materialise
+from .compaction import live_rows, log_of, parts
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -72,7 +74,8 @@ def ingest_stream(
         chunked = materialise(
             chunk_documents(parsed, chunk, collapsed=True).withColumnRenamed("__version", "version"), "batch"
         )
-        rows = chunk_rows(chunked, chunk.index_mode).join(chunked.select("source_key", "version"), "source_key")
+        # the version goes along with the chunks, so nothing is joined back to them
+        rows = explode_chunks(chunked, ["source_key", "source_file", "version"], "chunks", chunk.index_mode)
         rows, rejected = collection_rows(rows, collection, embedder)
         _write_batch(rows, batch_id, stream_id, target)
         _write_batch(rejected, batch_id, stream_id, rejects_of(target))
@@ -91,29 +94,29 @@ def rejects_of(target: str) -> str:
     return f"{target.rstrip('/')}__rejected"
 
 
-def log_of(target: str) -> str:
-    return f"{target.rstrip('/')}__log"
-
-
 def latest_versions(batch: DataFrame, key: str, version: str = "__version") -> DataFrame:
-    """One row per document: of the latest file, and of equal times that with the largest content hash."""
+    """One row per document: of the latest file, and of equal times that with the largest content hash.
+
+    Only documents that the batch holds more than once are brought together; the others, usually nearly all,
+    are not shuffled.
+    """
     others = [c for c in batch.columns if c != key]
+    again = batch.groupBy(key).agg(F.count("*").alias("__n")).where("__n > 1").select(F.col(key).alias("__key"))
+    same = F.col(key).eqNullSafe(F.col("__key"))
+    several = batch.join(again, same, "left_semi")
     newest = F.max(F.struct(version, F.xxhash64(*others).alias("__hash"), *[c for c in others if c != version]))
-    return batch.groupBy(key).agg(newest.alias("__r")).select(key, *[F.col(f"__r.{c}").alias(c) for c in others])
+    chosen = several.groupBy(key).agg(newest.alias("__r")).select(key, *[F.col(f"__r.{c}").alias(c) for c in others])
+    return batch.join(again, same, "left_anti").unionByName(chosen)
 
 
 def current_rows(spark: SparkSession, target: str) -> DataFrame:
     """The streamed collection; of a document that came more than once, its latest version.
 
     Versions are ordered by the time of their file, then by stream and batch. The log has an
-    entry for each, also for one without chunks, which so replaces what came before.
+    entry for each, also for one without chunks, which so replaces what came before. After a
+    compaction, the snapshot's rows and those of later batches.
     """
-    entry = ["stream_id", "batch_id", "source_file"]
-    log = spark.read.option("basePath", log_of(target)).parquet(log_of(target))
-    latest = log.groupBy("source_file").agg(F.max(F.struct("version", "batch_id", "stream_id")).alias("v"))
-    latest = latest.select("source_file", "v.stream_id", "v.batch_id")
-    rows = spark.read.option("basePath", target).parquet(target)
-    return rows.join(latest, entry, "left_semi")
+    return live_rows(parts(spark, target))
 
 
 def question_stream(
