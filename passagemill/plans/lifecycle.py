@@ -13,16 +13,17 @@ from pyspark.sql import functions as F
 
 from ..config import CollectionConfig, ParseConfig, SearchConfig
 from ..operators.batchmap import native_documents, parse_files
-from ..operators.embedding import EndpointEmbedder, LocalEmbedder, embed, hashed_vectors
+from ..operators.embedding import EndpointEmbedder, LocalEmbedder, PipelinedEndpoint, embed, embed_or_error, hashed_vectors
 from ..operators.generation import generated_by_model
 from ..operators.ivf import CELL, Centroids, assign_cells, nlist_rule, probed_top_k, recall, train_centroids
+from ..operators.packing import pack, with_cost
 from ..operators.progress import duration_sketches, merged_quantiles, observed, observed_report
 from ..operators.search import top_k, top_k_by_model
 from ..operators.units import line_units
 from ..session import materialise, scratch_path
 from ..sources import collection as store
 from ..sources.files import list_files, with_source_names
-from ..sources.jsonl import read_chunk_runs
+from ..sources.jsonl import corrupt_run_lines, read_chunk_runs
 from ..streaming.compaction import base_of, compact
 from ..streaming.ingest import current_rows, ingest_stream
 from . import ingest
@@ -328,6 +329,70 @@ def several_models(spark, sf):
     return ingest.of_model(rows, "second").select(F.col("source_file").cast("long").alias("item_id"), "model")
 
 
+class Refused(Exception):
+    """A request that is wrong for good."""
+
+
+def moody_service():
+    """Letters behind an endpoint that is busy at every third request and refuses texts of some lengths."""
+    encode, asked = letters_encoder(), iter(range(1 << 62))
+
+    def post(payload: dict) -> dict:
+        if next(asked) % 3 == 0:
+            raise ConnectionError("busy")
+        if any(len(t) % 7 == 0 for t in payload["input"]):
+            raise Refused("refused")
+        return {"data": [{"index": i, "embedding": v} for i, v in enumerate(encode(payload["input"]))]}
+
+    return post
+
+
+def endpoint_pipelined(spark, sf):
+    """Vectors from a service with transient failures; what it refuses is a row with an error."""
+    b = spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text")
+    found = embed_or_error(b, PipelinedEndpoint(moody_service, "letters", sub_batch=1, window=4, attempts=50, pause_s=0.0001, most_pause_s=0.001))
+    vector = F.array_join(F.transform("embedding", lambda x: x.cast("long")), ",")
+    return found.select("item_id", vector.alias("vector"), "error")
+
+
+PACKED_TASKS = 24
+
+
+def _packed(spark: SparkSession, sf: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    files = docs.select(F.col("doc_id").alias("source_key"), F.octet_length("text").cast("long").alias("length"))
+    return pack(materialise(with_cost(files), "files"), PACKED_TASKS)
+
+
+def packed_tasks(spark, sf):
+    """The documents, taken as files, packed into tasks of equal size."""
+    return _packed(spark, sf).select(F.col("source_key").alias("doc_id"), F.col("task").cast("long").alias("task"))
+
+
+def packed_balance(spark, sf):
+    """The greatest task against the mean, and against the mean with one greatest file more."""
+    tasks = _packed(spark, sf).groupBy("task").agg(F.sum("cost").alias("cost"), F.max("cost").alias("file"), F.count("*").alias("files"))
+    mean = F.sum("cost") / PACKED_TASKS
+    return tasks.agg(F.count("*").alias("tasks"), F.sum("files").alias("files"), F.round(F.max("cost") / mean, 6).alias("greatest_to_mean"))
+
+
+def chunk_lines_account(spark, sf):
+    """Chunk files from elsewhere, some of whose lines are broken: what can be read and what can't, by run."""
+    base = scratch_path(spark, "foreign")
+    chunks = _chunks(spark, sf).select("source_file", "chunk_index", "text")
+    whole = F.to_json(F.struct("source_file", "chunk_index", "text"))
+    broken = (
+        F.when(F.col("source_file").cast("long") % 10 == 3, F.left(whole, F.length(whole) - 2))
+        .when(F.col("source_file").cast("long") % 10 == 4, F.to_json(F.struct("source_file", "text")))
+        .otherwise(whole)
+    )
+    run = F.concat(F.lit("run-"), (F.col("source_file").cast("long") % 2).cast("string"))
+    chunks.select(broken.alias("value"), run.alias("run_id")).write.partitionBy("run_id").option("compression", "none").text(base)
+    good = read_chunk_runs(spark, base, "*.txt").groupBy("run_id").agg(F.count("*").alias("lines"))
+    bad = corrupt_run_lines(spark, base, "*.txt").groupBy("run_id").agg(F.count("*").alias("lines"))
+    return good.withColumn("readable", F.lit(True)).unionByName(bad.withColumn("readable", F.lit(False)))
+
+
 class Answering:
     """A generator that says its name and how long the prompt is."""
 
@@ -363,6 +428,10 @@ QUERIES = {
         observed_run,
         duration_quantiles,
         models_keyed_topk,
+        endpoint_pipelined,
+        packed_tasks,
+        packed_balance,
+        chunk_lines_account,
         ivf_stored_recall,
         embedder_modes,
         several_models,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ..config import CHUNK_TOKENS, EMBEDDING_DIM, TOP_K
 from ..operators.generation import NOT_IN_CONTEXT
+from ..operators.packing import FILE_BYTES, LARGE_PARTS
 from ..operators.prompting import (
     ANSWER_HEADER,
     CONTEXT_HEADER,
@@ -294,6 +295,25 @@ def _health() -> str:
 
 
 
+PACKED_TASKS = 24
+_PACKED = f"""cost AS (SELECT doc_id, cast(coalesce(strlen(text), 0) AS double) + {FILE_BYTES} AS cost FROM documents),
+mean AS (SELECT sum(cost) / {PACKED_TASKS} AS mean FROM cost),
+large AS (
+  SELECT doc_id, cost, CASE WHEN (pos // {PACKED_TASKS}) % 2 = 0 THEN pos % {PACKED_TASKS} ELSE {PACKED_TASKS - 1} - pos % {PACKED_TASKS} END AS task
+  FROM (SELECT doc_id, cost, row_number() OVER (ORDER BY cost DESC, doc_id) - 1 AS pos FROM cost, mean WHERE cost * {LARGE_PARTS} > mean)),
+small AS (
+  SELECT doc_id, cost, sum(cost) OVER (ORDER BY cost DESC, doc_id ROWS UNBOUNDED PRECEDING) - cost / 2 AS middle, sum(cost) OVER () AS whole
+  FROM cost, mean WHERE NOT cost * {LARGE_PARTS} > mean),
+room AS (
+  SELECT task, greatest(mean - coalesce((SELECT sum(cost) FROM large l WHERE l.task = t.task), 0), 0) AS room
+  FROM (SELECT unnest(range({PACKED_TASKS})) AS task) t, mean),
+piece AS (SELECT task, room, sum(room) OVER (ORDER BY task) - room AS before, sum(room) OVER () AS rooms FROM room),
+packed AS (
+  SELECT doc_id, cost, task FROM large
+  UNION ALL
+  SELECT doc_id, cost, (SELECT max(task) FROM piece WHERE room > 0 AND before * (whole / rooms) <= middle) FROM small)"""
+
+
 def _of_model(model: str, dim: int) -> str:
     """CTEs up to ``<model>_hits``: every question against all chunks, under vectors of ``dim`` components."""
     c, q = f"{model}_c", f"{model}_q"
@@ -554,6 +574,17 @@ UNION ALL SELECT 'loaded rows', n FROM n UNION ALL SELECT 'exists after', 'false
     "generator_per_query": """
 SELECT item_id, model, CASE WHEN model <> 'unknown' THEN model || ': ' || length(text) END AS answer
 FROM (SELECT *, ['small', 'large', 'unknown'][item_id % 3 + 1] AS model FROM benchmark)""",
+    "endpoint_pipelined": f"""SELECT item_id, CASE WHEN length(text) % 7 <> 0 THEN {_LETTERS} END AS vector,
+  CASE WHEN length(text) % 7 = 0 THEN 'Refused: refused' END AS error FROM benchmark""",
+    "packed_tasks": f"WITH {_PACKED} SELECT doc_id, task FROM packed",
+    "packed_balance": f"""WITH {_PACKED}
+SELECT count(*) AS tasks, cast(sum(files) AS bigint) AS files, round(max(cost) / (sum(cost) / {PACKED_TASKS}), 6) AS greatest_to_mean
+FROM (SELECT task, sum(cost) AS cost, count(*) AS files FROM packed GROUP BY task)""",
+    "chunk_lines_account": _with(
+        LINES, DOC_UNITS, GREEDY, recursive=True,
+        select="""SELECT 'run-' || (doc % 2) AS run_id, count(*) AS lines, doc % 10 NOT IN (3, 4) AS readable
+FROM greedy GROUP BY ALL""",
+    ),
     "models_keyed_topk": _with(
         LINES, DOC_UNITS, GREEDY, "chunks_v AS (SELECT doc AS source_file, chunk_index, text FROM greedy)", QUESTIONS,
         _of_model("short", 64), _of_model("long", 384), recursive=True,
