@@ -117,16 +117,16 @@ def tokenised(docs: DataFrame, tokenizer_file: str, text: str, doc_id: str, end:
     with open(tokenizer_file, encoding="utf-8") as f:
         content = f.read()
     spark = docs.sparkSession
-    shipped = spark.sparkContext.broadcast(content)
+    # a worker process keeps what it was sent, so the encoder beside it, with the words it has learned, serves all its tasks
+    shipped = spark.sparkContext.broadcast({"content": content})
     from tokenizers import Tokenizer
 
     kind = id_type(Tokenizer.from_str(content))
 
     def run(batches):
-        encoder = None
+        held = shipped.value
         for batch in batches:
-            if encoder is None:
-                encoder = Encoder(shipped.value)
+            encoder = held.get("encoder") or held.setdefault("encoder", Encoder(held["content"]))
             for part in text_slices(batch, "t", 2 << 20):
                 ids = encoder.encode(texts_of(part.column("t")), end)
                 arrays = [part.column("doc_id"), part.column("place"), pa.array(ids, pa.binary())]
