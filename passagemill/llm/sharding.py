@@ -26,7 +26,7 @@ from .common import materialise
 SHARDS = 8
 #: Bytes of text in a bucket, on average.
 BUCKET_BYTES = 16 << 20
-#: At least so many buckets, and at most so many: beyond, buckets grow.
+#: At least so many buckets, and at most so many, as a shuffle has no more parts: beyond 16 TB buckets grow, to 95 MB at 100 TB.
 LEAST_BUCKETS, MOST_BUCKETS = 96, 1 << 20
 SEED = 11
 
@@ -39,7 +39,8 @@ def shuffled(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", seed:
     row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])
     place = F.monotonically_increasing_id()
     scattered = docs.select(place.alias("place"), F.pmod(F.xxhash64(F.lit(seed), F.col(doc_id), place), F.lit(buckets)).cast("int").alias("bucket"), row.alias("row"))
-    grouped = scattered.repartition(buckets, "bucket").groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("place", "row"))).alias("rows"))
+    # each bucket in a task of its own: hashed once more, several would share one
+    grouped = scattered.repartitionById(buckets, F.col("bucket")).groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("place", "row"))).alias("rows"))
     # in the order of buckets, so that the generator of a task meets them in the same order each time
     drawn = grouped.sortWithinPartitions("bucket").select("bucket", F.shuffle("rows", F.lit(seed)).alias("rows"))
     out = drawn.select("bucket", F.posexplode("rows").alias("pos", "r"))
