@@ -40,7 +40,7 @@ FRAME_TOKENS = 16 * BLOCK_TOKENS
 _LOW = np.uint64(1 << 32)
 _LOW32 = np.uint64(0xFFFFFFFF)
 #: Different words that a task remembers with their ids.
-CACHE_WORDS = 450_000
+CACHE_WORDS = 200_000
 #: Letters that normalisation leaves alone but for their case, with one mark behind: one or two pieces before merging.
 _SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 
