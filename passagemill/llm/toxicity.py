@@ -19,7 +19,6 @@ through; a result column takes the place of one of its name.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -36,8 +35,8 @@ STEMS = (4, 5, 6, 7, 8)
 BLOCK = 64
 #: Terms that this share of the examples has are held in blocks, at most so many; all others as lists.
 HEAD_SHARE, HEAD_TERMS = 0.1, 1024
-#: Documents that are scored at a time.
-QUERIES = 64
+#: Documents that are scored at a time, and whose lists are added up at a time.
+QUERIES, LISTS_AT_ONCE = 64, 8
 #: Words that a task remembers with their terms.
 CACHE_WORDS = 120_000
 NEIGHBOURS = 15
@@ -73,20 +72,134 @@ def terms_of(word: bytes) -> Iterator[bytes]:
                     yield s[i : i + n].encode()
 
 
-def _term_counts(text: bytes, vocabulary: dict, cache: dict) -> dict[int, int]:
-    """How often each term of the vocabulary occurs."""
-    if len(cache) > CACHE_WORDS:
-        cache.clear()
-    found: dict[int, int] = {}
-    for w, n in Counter(words_of(text)).items():
-        at = cache.get(w)
+_KEY_BYTES = 24
+#: Which bits of a key's three numbers belong to a word of 0 to 24 bytes.
+_BITS = np.array([[(1 << (8 * min(8, max(0, n - 8 * i)))) - 1 for i in range(3)] for n in range(_KEY_BYTES + 1)], np.uint64)
+_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+
+
+def _hash(keys: np.ndarray, stem: np.ndarray | int) -> np.ndarray:
+    h = keys[:, 0] * _MIX[0]
+    h = (h ^ (h >> np.uint64(29)) ^ keys[:, 1]) * _MIX[1]
+    h = (h ^ (h >> np.uint64(32)) ^ keys[:, 2]) * _MIX[2]
+    return (h ^ (h >> np.uint64(31)) ^ np.asarray(stem, np.uint64)) * _MIX[3]
+
+
+class Vocabulary:
+    """Numbers of the terms, and the terms of whole slices of text.
+
+    Words of ASCII letters and digits, and their stems, are keys of 24 bytes that are looked up side by side in one table by
+    their hash, and compared; other words go through ``terms_of`` one by one and are remembered.
+    """
+
+    def __init__(self, terms: Sequence[bytes]):
+        self.terms, self.number, self.cache = len(terms), {t: i for i, t in enumerate(terms)}, {}
+        short = [(i, t) for i, t in enumerate(terms) if t.isascii() and len(t) <= _KEY_BYTES]
+        self.at = np.array([i for i, _ in short], np.int64)
+        stem = np.array([t.endswith(b"*") for _, t in short], np.uint8)
+        raw = b"".join([t.rstrip(b"*").ljust(_KEY_BYTES, b"\0") for _, t in short])
+        self.keys = np.frombuffer(raw, "<u8").reshape(-1, 3)
+        self.stem = stem
+        bits = max(8, int(len(short) * 4).bit_length())
+        self.shift, self.table = np.uint64(64 - bits), np.full((1 << bits) + len(short) + 1, -1, np.int32)
+        left, place = np.arange(len(short), dtype=np.int32), (_hash(self.keys, stem) >> self.shift).astype(np.int64)
+        while len(left):  # the first of those that want a free place gets it, the others look one further
+            free = self.table[place] < 0
+            _, first = np.unique(place[free], return_index=True)
+            won = np.flatnonzero(free)[first]
+            self.table[place[won]] = left[won]
+            rest = np.ones(len(left), bool)
+            rest[won] = False
+            left, place = left[rest], place[rest] + 1
+
+    def lookup(self, keys: np.ndarray, stem: np.ndarray) -> np.ndarray:
+        """Number of each term, -1 for those that the vocabulary lacks."""
+        out, left = np.full(len(keys), -1, np.int64), np.arange(len(keys))
+        place = (_hash(keys, stem) >> self.shift).astype(np.int64)
+        while len(left):
+            found = self.table[place]
+            some = np.flatnonzero(found >= 0)
+            left, found, place = left[some], found[some], place[some]
+            same = (self.keys[found] == keys[left]).all(1) & (self.stem[found] == stem[left])
+            out[left[same]] = self.at[found[same]]
+            left, place = left[~same], place[~same] + 1
+        return out
+
+    def counts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term, occurrences) of the vocabulary's terms, by text and term."""
+        none = np.zeros(0, np.int64)
+        joined = b" ".join(texts).translate(_TABLE)
+        if not self.terms or not joined.strip():
+            return none, none, none
+        data = np.frombuffer(joined + bytes(_KEY_BYTES), np.uint8)
+        inside = data[: len(joined)] != 32
+        edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        start, size = edges[::2], edges[1::2] - edges[::2]
+        text = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), start, side="right")
+        beyond = np.cumsum(data > 127, dtype=np.int32)
+        odd = (size > min(LONG_RUN, _KEY_BYTES)) | (beyond[start + size - 1] - beyond[start] + (data[start] > 127) > 0)
+        plain = np.flatnonzero(~odd)
+        keys = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, _KEY_BYTES)[start[plain]]).view("<u8") & _BITS[size[plain]]
+        _, first, which = np.unique(_hash(keys, 0), return_index=True, return_inverse=True)
+        if (keys[first][which] != keys).any():  # two words of one hash
+            _, first, which = np.unique(keys, axis=0, return_index=True, return_inverse=True)
+            which = which.reshape(-1)
+        lists, lengths = self._plain(keys[first], size[plain][first])
+        word = np.empty(len(start), np.int64)
+        word[plain] = which
+        more, place = [], {}
+        for i, a, n in zip(np.flatnonzero(odd).tolist(), start[odd].tolist(), size[odd].tolist()):
+            w = joined[a : a + n]
+            at = place.get(w)
+            if at is None:
+                at = place[w] = len(lengths) + len(more)
+                more.append(self._odd(w))
+            word[i] = at
+        lists = np.concatenate([lists, np.array([t for ts in more for t in ts], np.int64)])
+        lengths = np.concatenate([lengths, np.array([len(ts) for ts in more], np.int64)])
+        pairs, n = np.unique(text * len(lengths) + word, return_counts=True)
+        text, word = np.divmod(pairs, len(lengths))
+        # each word's terms one after another
+        many = lengths[word]
+        ends = np.cumsum(many)
+        of = np.repeat((np.cumsum(lengths) - lengths)[word] - ends + many, many) + np.arange(ends[-1])
+        key = np.repeat(text, many) * self.terms + lists[of]
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        text, term = np.divmod(key[first], self.terms)
+        return text, term, np.add.reduceat(np.repeat(n, many)[order], first) if len(first) else none
+
+    def _plain(self, keys: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Terms of plain words one after another, and how many each has: the same as ``terms_of`` gives."""
+        found = np.full((len(keys), 1 + len(STEMS)), -1, np.int64)
+        found[:, 0] = self.lookup(keys, np.zeros(len(keys), np.uint8))
+        starts = [np.flatnonzero(size > n) for n in STEMS]
+        stems = np.zeros((sum(map(len, starts)), 3), np.uint64)
+        stems[:, 0] = np.concatenate([keys[at, 0] & _BITS[n, 0] for at, n in zip(starts, STEMS)])
+        # words share their starts
+        short, which = np.unique(stems[:, 0], return_inverse=True)
+        own = np.zeros((len(short), 3), np.uint64)
+        own[:, 0] = short
+        got = self.lookup(own, np.ones(len(own), np.uint8))[which]
+        for i, at in enumerate(starts):
+            found[at, 1 + i], got = got[: len(at)], got[len(at) :]
+        return found[found >= 0], (found >= 0).sum(1)
+
+    def _odd(self, word: bytes) -> tuple[int, ...]:
+        at = self.cache.get(word)
         if at is None:
-            at = (vocabulary[t] for t in terms_of(w) if t in vocabulary)
-            if len(w) <= 64:  # of longer ones, the terms aren't held
-                at = cache[w] = tuple(at)
-        for t in at:
-            found[t] = found.get(t, 0) + n
-    return found
+            at = tuple([self.number[t] for t in terms_of(word) if t in self.number])
+            if len(word) <= 64:  # of longer ones, the terms aren't held
+                if len(self.cache) > CACHE_WORDS:
+                    self.cache.clear()
+                self.cache[word] = at
+        return at
+
+
+def _kept_vocabulary(shipped: dict) -> Vocabulary:
+    """The vocabulary of what a worker process was sent, made once and kept beside it for all its tasks."""
+    return shipped.get("vocabulary") or shipped.setdefault("vocabulary", Vocabulary(shipped["terms"]))
 
 
 def examples(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str, chosen: Column, limit: int) -> tuple[DataFrame, float | None]:
@@ -115,17 +228,16 @@ def all_terms(found: DataFrame) -> list[bytes]:
 
 def document_frequencies(docs: DataFrame, text: str, terms: list[bytes]) -> tuple[np.ndarray, int]:
     """Documents with each term, and all documents: over the whole table."""
-    shipped = docs.sparkSession.sparkContext.broadcast(terms)
+    shipped = docs.sparkSession.sparkContext.broadcast({"terms": terms})
 
     def run(batches):
-        vocabulary, cache = {t: i for i, t in enumerate(shipped.value)}, {}
-        df, n = np.zeros(len(vocabulary) + 1, np.int64), 0
+        vocabulary = _kept_vocabulary(shipped.value)
+        df = np.zeros(len(shipped.value["terms"]) + 1, np.int64)
         for batch in batches:
             for part in text_slices(batch, "t", 1 << 20):
-                for t in texts_of(part.column("t")):
-                    n += 1
-                    df[list(_term_counts(t, vocabulary, cache))] += 1
-        df[-1] = n
+                _, terms, _ = vocabulary.counts(texts_of(part.column("t")))
+                df[:-1] += np.bincount(terms, minlength=len(df) - 1)
+                df[-1] += len(part)
         some = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(df[some])], ["term", "n"])
 
@@ -135,15 +247,17 @@ def document_frequencies(docs: DataFrame, text: str, terms: list[bytes]) -> tupl
     return df[:-1], int(df[-1])
 
 
-def vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Terms in order and their unit-length weights."""
-    at = np.fromiter(counts, np.int64, len(counts))
-    n = np.fromiter(counts.values(), float, len(counts))
-    order = np.argsort(at)
-    at = at[order]
-    w = (1 + np.log(n[order])) * idf[at]
-    norm = np.sqrt((w * w).sum())
-    return (at, w / norm) if norm > 0 else (at[:0], w[:0])
+def vectors(text: np.ndarray, term: np.ndarray, n: np.ndarray, idf: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, weight) with unit length for each of ``texts`` texts that has a term."""
+    w = (1 + np.log(n)) * idf[term]
+    norm = np.sqrt(np.bincount(text, w * w, texts))
+    return text, term, w / norm[text]
+
+
+def _listed(text: np.ndarray, term: np.ndarray, w: np.ndarray, texts: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Terms and weights of each text."""
+    cuts = np.searchsorted(text, np.arange(1, texts))
+    return list(zip(np.split(term, cuts), np.split(w, cuts))) if texts else []
 
 
 def build_index(vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int) -> tuple:
@@ -177,27 +291,40 @@ def nearest(index: tuple, queries: list[tuple[np.ndarray, np.ndarray]], k: int)
 
     Cosines are rounded to 12 digits before they are ranked, so ties don't depend on batches.
     """
-    cos, who = np.full((len(queries), k), -1.0), np.full((len(queries), k), -1, np.int64)
+    q = np.repeat(np.arange(len(queries)), [len(t) for t, _ in queries])
+    t, w = np.concatenate([np.zeros(0, np.int64), *[t for t, _ in queries]]), np.concatenate([np.zeros(0), *[w for _, w in queries]])
+    return nearest_of(index, q, t, w, len(queries), k)
+
+
+def nearest_of(index: tuple, q: np.ndarray, t: np.ndarray, w: np.ndarray, m: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``nearest`` for ``m`` queries as rows (query, term, weight) in order."""
+    cos, who = np.full((m, k), -1.0), np.full((m, k), -1, np.int64)
     if index[0]:
-        for at in range(0, len(queries), QUERIES):
-            part = slice(at, at + QUERIES)
-            _nearest(index, queries[part], k, cos[part], who[part])
+        for at in range(0, m, QUERIES):
+            part, (a, b) = slice(at, at + QUERIES), np.searchsorted(q, [at, at + QUERIES])
+            _nearest(index, q[a:b] - at, t[a:b], w[a:b], min(QUERIES, m - at), k, cos[part], who[part])
     return cos, who
 
 
-def _nearest(index: tuple, queries: list[tuple[np.ndarray, np.ndarray]], k: int, cos: np.ndarray, who: np.ndarray) -> None:
+def _nearest(index: tuple, q: np.ndarray, t: np.ndarray, w: np.ndarray, m: int, k: int, cos: np.ndarray, who: np.ndarray) -> None:
     n, starts, lists, weights, row, blocks, most = index
-    m = len(queries)
-    q = np.repeat(np.arange(m), [len(t) for t, _ in queries])
-    t, w = np.concatenate([t for t, _ in queries]), np.concatenate([w for _, w in queries])
     dense = np.zeros((m, most.shape[0]))
     inside = row[t] >= 0
     dense[q[inside], row[t[inside]]] = w[inside]
-    # all lists: the places of each one after another
-    sizes = starts[t + 1] - starts[t]
-    ends = np.cumsum(sizes)
-    place = np.repeat(starts[t] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
-    found = np.bincount(np.repeat(q * n, sizes) + lists[place], np.repeat(w, sizes) * weights[place], m * n).reshape(m, n).astype(float, copy=False)
+    found = np.empty((m, n))
+    for at in range(0, m, LISTS_AT_ONCE):
+        a, b = np.searchsorted(q, [at, at + LISTS_AT_ONCE])
+        # all lists of these queries: the places of each one after another
+        sizes = starts[t[a:b] + 1] - starts[t[a:b]]
+        ends = np.cumsum(sizes)
+        place = np.repeat((starts[t[a:b]] - ends + sizes).astype(np.int32), sizes)
+        place += np.arange(len(place), dtype=np.int32)
+        key = np.repeat(((q[a:b] - at) * n).astype(np.int32), sizes)
+        key += lists[place]
+        share = np.repeat(w[a:b], sizes)
+        share *= weights[place]
+        some = min(LISTS_AT_ONCE, m - at)
+        found[at : at + some] = np.bincount(key, share, some * n).reshape(some, n)
     # weights aren't negative: the k-th best sum so far is a bound from below, a block's greatest sum and weights one from above
     least = np.partition(found, n - k, 1)[:, n - k] if n > k else np.zeros(m)
     width = range(0, n, BLOCK)
@@ -259,19 +386,21 @@ def train(
     shipped = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches):
-        vocabulary = {t: i for i, t in enumerate(shipped.value)}
+        vocabulary = Vocabulary(shipped.value)
         for batch in batches:
             for part in text_slices(batch, "t"):
-                counts = [_term_counts(t, vocabulary, {}) for t in texts_of(part.column("t"))]
-                arrays = [part.column("id").cast(pa.string()), part.column("y")]
-                arrays.append(pa.array([list(c) for c in counts], pa.list_(pa.int32())))
-                arrays.append(pa.array([list(c.values()) for c in counts], pa.list_(pa.int32())))
-                yield pa.RecordBatch.from_arrays(arrays, ["id", "y", "terms", "counts"])
+                text, term, n = vocabulary.counts(texts_of(part.column("t")))
+                ends = pa.array(np.searchsorted(text, np.arange(len(part) + 1)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (term, n)]
+                yield pa.RecordBatch.from_arrays([part.column("id").cast(pa.string()), part.column("y"), *lists], ["id", "y", "terms", "counts"])
 
     rows = []
     for batch in found.mapInArrow(run, "id string, y int, terms array<int>, counts array<int>").toArrow().to_batches():
-        for i, label_of, at, counts in zip(*[batch.column(c) for c in ("id", "y", "terms", "counts")]):
-            rows.append((i.as_py(), label_of.as_py(), vector(dict(zip(at.values.to_numpy().tolist(), counts.values.to_numpy().tolist())), idf)))
+        ends = np.asarray(batch.column("terms").offsets)
+        term, counts = (batch.column(c).flatten().to_numpy().astype(np.int64) for c in ("terms", "counts"))
+        text = np.repeat(np.arange(len(batch)), np.diff(ends))
+        listed = _listed(*vectors(text, term, counts, idf, len(batch)), len(batch))
+        rows += list(zip(batch.column("id").to_pylist(), batch.column("y").to_pylist(), listed))
     ones = sum(y for _, y, _ in rows)
     weight_of = (1 - share) / max(1, len(rows) - ones), share / max(1, ones)
     blank = [(y, weight_of[y]) for _, y, (t, _) in rows if not len(t)]
@@ -300,23 +429,20 @@ def train(
     }
 
 
-def score(model: dict, texts: list[bytes], vocabulary: dict, cache: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def score(model: dict, texts: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Scores, and the neighbours' cosines and numbers."""
     k = model["k"]
     out = np.full(len(texts), model["blank"])
-    cos, who = np.full((len(texts), k), -1.0), np.full((len(texts), k), -1, np.int64)
     if not model["terms"]:
-        return out, cos, who
-    found = [_term_counts(t, vocabulary, cache) for t in texts]
-    rows = np.array([i for i, c in enumerate(found) if c], np.int64)
-    for at in range(0, len(rows), 512):
-        part = rows[at : at + 512]
-        cos[part], who[part] = nearest(model["index"], [vector(found[i], model["idf"]) for i in part.tolist()], k)
-        near = votes(cos[part], who[part], model["y"], model["weight"], model["prior"])
-        xs, ys = model["curve"]
-        fitted = np.interp(near, xs, ys) if len(xs) else near
-        # the curve is flat in places; a little of the vote keeps the order of documents
-        out[part] = np.where(who[part][:, 0] < 0, model["blank"], 0.99 * fitted + 0.01 * near)
+        return out, np.full((len(texts), k), -1.0), np.full((len(texts), k), -1, np.int64)
+    text, term, w = vectors(*vocabulary.counts(texts), model["idf"], len(texts))
+    cos, who = nearest_of(model["index"], text, term, w, len(texts), k)
+    rows = np.unique(text)
+    near = votes(cos[rows], who[rows], model["y"], model["weight"], model["prior"])
+    xs, ys = model["curve"]
+    fitted = np.interp(near, xs, ys) if len(xs) else near
+    # the curve is flat in places; a little of the vote keeps the order of documents
+    out[rows] = np.where(who[rows, 0] < 0, model["blank"], 0.99 * fitted + 0.01 * near)
     return np.clip(out, 0, 1), cos, who
 
 
@@ -329,21 +455,19 @@ def toxicity(docs: DataFrame, model: dict, text: str = "text", keep: Sequence[st
     fields = [("score", "double"), ("predicted", "int")]
     if evidence:
         fields.append(("neighbours", "array<struct<id:string,toxic:int,cosine:double>>"))
-    kind = pa.list_(pa.struct([("id", pa.string()), ("toxic", pa.int32()), ("cosine", pa.float64())]))
-
     def run(batches):
         known = shipped.value
-        vocabulary, cache = {t: i for i, t in enumerate(known["terms"])}, {}
+        vocabulary, names = _kept_vocabulary(known), pa.array(known.get("ids", []), pa.string())
+        toxic = np.asarray(known.get("y", []), np.int32)
         for batch in batches:
             for part in text_slices(batch, text, 1 << 20):
-                s, cos, who = score(known, texts_of(part.column(text)), vocabulary, cache)
+                s, cos, who = score(known, texts_of(part.column(text)), vocabulary)
                 arrays = [*kept(part, keep), pa.array(s), pa.array((s >= 0.5).astype(np.int32))]
                 if evidence:
-                    near = [
-                        [{"id": known["ids"][j], "toxic": int(known["y"][j]), "cosine": c} for c, j in zip(cs, js) if j >= 0]
-                        for cs, js in zip(cos.tolist(), who.tolist())
-                    ]
-                    arrays.append(pa.array(near, kind))
+                    there = who >= 0  # the first of each row
+                    ends = pa.array(np.concatenate([[0], np.cumsum(there.sum(1))]).astype(np.int32))
+                    near = [names.take(pa.array(who[there])), pa.array(toxic[who[there]]), pa.array(cos[there])]
+                    arrays.append(pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(near, ["id", "toxic", "cosine"])))
                 yield pa.RecordBatch.from_arrays(arrays, [*keep, *[f for f, _ in fields]])
 
     return source.mapInArrow(run, schema_of(docs, keep, *fields))

@@ -111,3 +111,30 @@ def test_awkward_rows(spark, odd, tmp_path):
     assert {r.score for r in t.toxicity(docs, none).collect()} == {0.0}
     ones = t.train(docs, labels.where("toxic = 1"), F.lit(True))
     assert {r.predicted for r in t.toxicity(docs, ones).collect()} == {1}
+
+
+def test_terms_of_slices_are_those_of_each_word():
+    """Looked up side by side or one by one, in any mixture of scripts and lengths."""
+    import random
+    from collections import Counter
+
+    rng = random.Random(5)
+    pieces = ["word", "words", "wordsmith", "W", "x" * 23, "x" * 24, "x" * 25, "naïve", "café", "漢字かな", "a—b", "3", "3rd", "é", "abcdefgh", "abcdefghi", "Ab*c", "-", " ", "\n", "\x00", "q" * 200, "ﬁ"]
+    texts = ["".join(rng.choice(pieces) + rng.choice(["", " ", ".", "  "]) for _ in range(rng.randrange(40))).encode() for _ in range(300)]
+    every = sorted({x for s in texts for w in t.words_of(s) for x in t.terms_of(w)})
+    for terms in (every, every[::3], [b"wor*"], [], [b"nothing"]):
+        number = {x: i for i, x in enumerate(terms)}
+        want = {}
+        for i, s in enumerate(texts):
+            for x, n in Counter(x for w in t.words_of(s) for x in t.terms_of(w)).items():
+                if x in number:
+                    want[i, number[x]] = n
+        for some in (300, 7):
+            vocabulary, got = t.Vocabulary(terms), {}
+            for at in range(0, 300, some):
+                text, term, n = vocabulary.counts(texts[at : at + some])
+                assert (np.diff(text * (len(terms) + 1) + term) > 0).all()
+                got |= {(at + i, x): c for i, x, c in zip(text.tolist(), term.tolist(), n.tolist())}
+            assert got == want
+    empty = t.Vocabulary(every).counts([b"", b" . "])
+    assert all(len(x) == 0 for x in empty)
