@@ -34,9 +34,9 @@ MAX_EXAMPLES = 2000
 STEMS = (4, 5, 6, 7, 8)
 BLOCK = 64
 #: Terms that this share of the examples has are held in blocks, at most so many; all others as lists.
-HEAD_SHARE, HEAD_TERMS = 0.1, 1024
+HEAD_SHARE, HEAD_TERMS = 0.05, 1536
 #: Documents that are scored at a time, and whose lists are added up at a time.
-QUERIES, LISTS_AT_ONCE = 64, 8
+QUERIES, LISTS_AT_ONCE = 128, 8
 #: Words that a task remembers with their terms.
 CACHE_WORDS = 120_000
 NEIGHBOURS = 15
@@ -75,6 +75,7 @@ def terms_of(word: bytes) -> Iterator[bytes]:
 _KEY_BYTES = 24
 #: Which bits of a key's three numbers belong to a word of 0 to 24 bytes.
 _BITS = np.array([[(1 << (8 * min(8, max(0, n - 8 * i)))) - 1 for i in range(3)] for n in range(_KEY_BYTES + 1)], np.uint64)
+_HIGH = np.uint64(0x8080808080808080)
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -136,25 +137,33 @@ class Vocabulary:
         edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
         start, size = edges[::2], edges[1::2] - edges[::2]
         text = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), start, side="right")
-        beyond = np.cumsum(data > 127, dtype=np.int32)
-        odd = (size > min(LONG_RUN, _KEY_BYTES)) | (beyond[start + size - 1] - beyond[start] + (data[start] > 127) > 0)
-        plain = np.flatnonzero(~odd)
-        keys = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, _KEY_BYTES)[start[plain]]).view("<u8") & _BITS[size[plain]]
-        _, first, which = np.unique(_hash(keys, 0), return_index=True, return_inverse=True)
+        short = np.flatnonzero(size <= min(LONG_RUN, _KEY_BYTES))
+        keys = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, _KEY_BYTES)[start[short]]).view("<u8") & _BITS[size[short]]
+        h = _hash(keys, 0)
+        order = np.argsort(h)
+        fresh = np.diff(h[order], prepend=h[order[:1]] + np.uint64(1)) != 0
+        first, which = order[fresh], np.empty(len(h), np.int64)
+        which[order] = np.cumsum(fresh) - 1
         if (keys[first][which] != keys).any():  # two words of one hash
             _, first, which = np.unique(keys, axis=0, return_index=True, return_inverse=True)
             which = which.reshape(-1)
-        lists, lengths = self._plain(keys[first], size[plain][first])
+        # plain words come first, then those with other characters, then long ones
+        ascii_only = ((keys[first] & _HIGH) == 0).all(1)
+        place = np.empty(len(first), np.int64)
+        place[ascii_only] = np.arange(ascii_only.sum())
+        place[~ascii_only] = ascii_only.sum() + np.arange((~ascii_only).sum())
         word = np.empty(len(start), np.int64)
-        word[plain] = which
-        more, place = [], {}
-        for i, a, n in zip(np.flatnonzero(odd).tolist(), start[odd].tolist(), size[odd].tolist()):
-            w = joined[a : a + n]
-            at = place.get(w)
-            if at is None:
-                at = place[w] = len(lengths) + len(more)
+        word[short] = place[which]
+        lists, lengths = self._plain(keys[first[ascii_only]], size[short[first[ascii_only]]])
+        at = short[first[~ascii_only]]
+        more = [self._odd(joined[a : a + n]) for a, n in zip(start[at].tolist(), size[at].tolist())]
+        numbers: dict[bytes, int] = {}
+        for i in np.flatnonzero(size > min(LONG_RUN, _KEY_BYTES)).tolist():
+            w = joined[start[i] : start[i] + size[i]]
+            if w not in numbers:
+                numbers[w] = len(lengths) + len(more)
                 more.append(self._odd(w))
-            word[i] = at
+            word[i] = numbers[w]
         lists = np.concatenate([lists, np.array([t for ts in more for t in ts], np.int64)])
         lengths = np.concatenate([lengths, np.array([len(ts) for ts in more], np.int64)])
         pairs, n = np.unique(text * len(lengths) + word, return_counts=True)
@@ -164,7 +173,7 @@ class Vocabulary:
         ends = np.cumsum(many)
         of = np.repeat((np.cumsum(lengths) - lengths)[word] - ends + many, many) + np.arange(ends[-1])
         key = np.repeat(text, many) * self.terms + lists[of]
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key = key[order]
         first = np.flatnonzero(np.diff(key, prepend=-1))
         text, term = np.divmod(key[first], self.terms)

@@ -136,5 +136,7 @@ def test_terms_of_slices_are_those_of_each_word():
                 assert (np.diff(text * (len(terms) + 1) + term) > 0).all()
                 got |= {(at + i, x): c for i, x, c in zip(text.tolist(), term.tolist(), n.tolist())}
             assert got == want
+    lone = t.Vocabulary([b"x" * 30]).counts([b"", b"x" * 30 + b" " + b"x" * 30])
+    assert [x.tolist() for x in lone] == [[1], [0], [2]]
     empty = t.Vocabulary(every).counts([b"", b" . "])
     assert all(len(x) == 0 for x in empty)
