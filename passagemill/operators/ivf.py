@@ -215,8 +215,10 @@ def _probed_blocks(
     asked = queries.withColumn("__cells", probe(F.col(query_vector))).select(
         query_id, query_vector, F.explode("__cells").alias(CELL)
     )
+    asked = materialise(asked, "probes")
+    wanted = [r[0] for r in asked.select(CELL).distinct().collect()]  # at most all cells
     return block_search(
-        indexed.filter(F.col(CELL).isNotNull()),
+        _in_cells(indexed, wanted) if len(wanted) < len(centroids.cells) else indexed.filter(F.col(CELL).isNotNull()),
         asked, hit_schema, query_id, keys, vector, query_vector, CELL, config,
     )
 

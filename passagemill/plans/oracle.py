@@ -273,6 +273,14 @@ near AS (
 ivf AS (SELECT qid, rk, vec_id, round(score, 6) AS score FROM near WHERE rk <= {TOP_K})"""
 
 
+_RECALL = _with(
+    CELLS,
+    select="""SELECT count(*) AS expected, count(i.vec_id) AS found,
+  round(count(i.vec_id) / cast(count(*) AS double), 6) AS recall
+FROM exact e LEFT JOIN ivf i ON i.qid = e.qid AND i.vec_id = e.vec_id""",
+)
+
+
 def _health() -> str:
     rows = []
     for metric, direction, warn, alert in THRESHOLDS:
@@ -396,12 +404,7 @@ ORDER BY {_COS} DESC, v.vec_id LIMIT {TOP_K}""",
     "ivf_assign": _with(CELLS, select="SELECT CAST(key AS BIGINT) AS vec_id, cell_id FROM assigned"),
     "ivf_topk": _with(CELLS, select="SELECT qid, rk, vec_id, score FROM ivf"),
     "ivf_blocks": _with(CELLS, select="SELECT qid, rk, vec_id, score FROM ivf"),
-    "ivf_recall": _with(
-        CELLS,
-        select="""SELECT count(*) AS expected, count(i.vec_id) AS found,
-  round(count(i.vec_id) / cast(count(*) AS double), 6) AS recall
-FROM exact e LEFT JOIN ivf i ON i.qid = e.qid AND i.vec_id = e.vec_id""",
-    ),
+    "ivf_recall": _RECALL,
     "ivf_trained_full_probe": nearest(),
     "context_block": _with(WINDOW_HITS, PROMPTS, select="SELECT qid, context FROM prompts"),
     "build_prompt": _with(WINDOW_HITS, PROMPTS, select="SELECT qid, prompt FROM prompts"),
@@ -568,9 +571,9 @@ UNION ALL SELECT 'found in', 'default' UNION ALL SELECT 'rows', n FROM n
 UNION ALL SELECT 'columns', 'id,source_file,chunk_index,text,embedding,source_key'
 UNION ALL SELECT 'loaded rows', n FROM n UNION ALL SELECT 'exists after', 'false'""",
     ),
-    "ivf_stored_recall": "SELECT 5 * count(*) AS expected, true AS good FROM embeddings",
+    "ivf_stored_recall": _RECALL,
     "embedder_modes": f"SELECT item_id, {_LETTERS} AS local, {_LETTERS} AS remote FROM benchmark",
-    "several_models": "SELECT item_id, 'second' AS model FROM benchmark WHERE item_id % 3 >= 1",
+    "several_models": "SELECT item_id, 'second' AS model FROM benchmark",
     "generator_per_query": """
 SELECT item_id, model, CASE WHEN model <> 'unknown' THEN model || ': ' || length(text) END AS answer
 FROM (SELECT *, ['small', 'large', 'unknown'][item_id % 3 + 1] AS model FROM benchmark)""",

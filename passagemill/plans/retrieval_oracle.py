@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..config import EMBEDDING_DIM, TOP_K
+from ..operators.dialogue import BACK, DECAY, STRIDE
 from ..operators.sparse import DIMS, SCALE
 from .oracle import CELLS, GREEDY, PAGE_UNITS, QUESTIONS, WINDOWS, _with, hashed, lloyd, nearest, words
 from .retrieval import CHUNK_ROUNDS
@@ -17,8 +18,10 @@ def _terms(name: str, table: str, keys: str, text: str) -> str:
   GROUP BY ALL)"""
 
 
-SPARSE = f"""{_terms('ct', 'chunks_v', 'source_file, chunk_index', 'text')},
-{_terms('qt', 'questions', 'qid', 'question')},
+def _sparse(asked: str) -> str:
+    """CTEs up to ``sparse (qid, rk, source_file, chunk_index, score)``, from ``asked``, which gives ``qt (qid, dim, n)``."""
+    return f"""{_terms('ct', 'chunks_v', 'source_file, chunk_index', 'text')},
+{asked},
 idf AS (
   SELECT dim, cast(floor({SCALE} * ln(cast((SELECT count(*) FROM (SELECT DISTINCT source_file, chunk_index FROM ct)) AS double) / count(*))) AS bigint) AS i
   FROM ct GROUP BY dim),
@@ -34,6 +37,17 @@ sparse AS (
       FROM sdots d JOIN cs USING (source_file, chunk_index) JOIN qs USING (qid)))
   WHERE rk <= {TOP_K})"""
 
+
+SPARSE = _sparse(_terms("qt", "questions", "qid", "question"))
+
+_DIALOGUE = f"""turns AS (SELECT conv_id, turn, text FROM conversations WHERE role = 'user'),
+final AS (SELECT conv_id, max(turn) AS turn FROM turns GROUP BY conv_id),
+held AS (
+  SELECT f.conv_id, t.turn, {DECAY} ** cast(({BACK} - (f.turn - t.turn)) // {STRIDE} AS int) AS weight, t.text
+  FROM final f JOIN turns t ON t.conv_id = f.conv_id AND t.turn <= f.turn AND t.turn >= f.turn - {BACK}),
+{_terms("ht", "held", "conv_id, turn, weight", "text")},
+qt AS (SELECT conv_id AS qid, dim, cast(sum(n * weight) AS bigint) AS n FROM ht GROUP BY ALL)"""
+
 TRUTH = f"""truth AS (
   SELECT DISTINCT q.qid, d.doc_id FROM (SELECT qid, ' ' || array_to_string({words('lower(question)')}, ' ') || ' ' AS t FROM questions) q
   JOIN (SELECT doc_id, ' ' || array_to_string({words('lower(text)')}, ' ') || ' ' AS t FROM documents) d ON contains(d.t, q.t)
@@ -110,6 +124,9 @@ FROM greedy g JOIN first_of f ON f.doc = g.doc AND f.chunk = g.chunk_index
 LEFT JOIN sec_ord o ON o.page_id = g.doc AND o.ord = f.ord LEFT JOIN path p ON p.page_id = o.page_id AND p.sec_no = o.sec_no""",
     ),
     "sparse_topk": _with(_CHUNKS, QUESTIONS, SPARSE, select="SELECT qid, rk, source_file, chunk_index, round(score, 6) AS score FROM sparse"),
+    "dialogue_topk": _with(
+        _CHUNKS, _sparse(_DIALOGUE), select="SELECT qid, rk, source_file, chunk_index, round(score, 6) AS score FROM sparse"
+    ),
     "containment_truth": _with(QUESTIONS, TRUTH, select="SELECT qid, doc_id FROM truth"),
     "retrieval_quality": _with(
         _CHUNKS, QUESTIONS, SPARSE, TRUTH, _DENSE,

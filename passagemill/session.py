@@ -35,7 +35,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         context = spark.sparkContext
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):  # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         app = context.applicationId
         if app not in _local_scratch:

@@ -178,3 +178,16 @@ def test_scratch_folder():
     assert os.path.dirname(scratch_path(local, "a")) == os.path.dirname(scratch_path(local, "b"))
     with pytest.raises(RuntimeError, match="checkpoint"):
         scratch_path(session(None, "spark://host"), "x")
+
+
+def test_files_from_rows(spark, tmp_path):
+    from passagemill.sources.files import read_bytes, write_files
+
+    rows = [(f"{i % 3}/f{i}.txt", None if i == 4 else f"é {i}") for i in range(20)]
+    root = str(tmp_path / "out")
+    for _ in range(2):  # again, the same files
+        assert write_files(spark.createDataFrame(rows, "name string, content string").repartition(4), root) == 20
+    found = {r.path.removeprefix(root + "/"): r.length for r in list_files(spark, root, ".txt").collect()}
+    assert found == {n: len((t or "").encode()) for n, t in rows}
+    assert read_bytes(f"{root}/1/f7.txt") == "é 7".encode()
+    assert write_files(spark.createDataFrame([], "name string, content string"), str(tmp_path / "none")) == 0
