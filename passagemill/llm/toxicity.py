@@ -34,7 +34,7 @@ MAX_EXAMPLES = 2000
 STEMS = (4, 5, 6, 7, 8)
 BLOCK = 64
 #: Terms that this share of the examples has are held in blocks, at most so many; all others as lists.
-HEAD_SHARE, HEAD_TERMS = 0.05, 1536
+HEAD_SHARE, HEAD_TERMS = 0.07, 1200
 #: Documents that are scored at a time, and whose lists are added up at a time.
 QUERIES, LISTS_AT_ONCE = 128, 8
 #: Words that a task remembers with their terms.
@@ -300,9 +300,12 @@ def nearest(index: tuple, queries: list[tuple[np.ndarray, np.ndarray]], k: int)
 
     Cosines are rounded to 12 digits before they are ranked, so ties don't depend on batches.
     """
-    q = np.repeat(np.arange(len(queries)), [len(t) for t, _ in queries])
-    t, w = np.concatenate([np.zeros(0, np.int64), *[t for t, _ in queries]]), np.concatenate([np.zeros(0), *[w for _, w in queries]])
-    return nearest_of(index, q, t, w, len(queries), k)
+    found = [(np.zeros((0, k)), np.zeros((0, k), np.int64))]
+    for at in range(0, len(queries), QUERIES):  # few at a time: they are copied
+        some = queries[at : at + QUERIES]
+        q = np.repeat(np.arange(len(some)), [len(t) for t, _ in some])
+        found.append(nearest_of(index, q, np.concatenate([t for t, _ in some]), np.concatenate([w for _, w in some]), len(some), k))
+    return np.concatenate([c for c, _ in found]), np.concatenate([w for _, w in found])
 
 
 def nearest_of(index: tuple, q: np.ndarray, t: np.ndarray, w: np.ndarray, m: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -406,7 +409,7 @@ def train(
     rows = []
     for batch in found.mapInArrow(run, "id string, y int, terms array<int>, counts array<int>").toArrow().to_batches():
         ends = np.asarray(batch.column("terms").offsets)
-        term, counts = (batch.column(c).flatten().to_numpy().astype(np.int64) for c in ("terms", "counts"))
+        term, counts = (batch.column(c).flatten().to_numpy() for c in ("terms", "counts"))
         text = np.repeat(np.arange(len(batch)), np.diff(ends))
         listed = _listed(*vectors(text, term, counts, idf, len(batch)), len(batch))
         rows += list(zip(batch.column("id").to_pylist(), batch.column("y").to_pylist(), listed))
