@@ -6,9 +6,12 @@ import pytest
 import __spark_entry__ as contract
 from check import compare, oracle_connection
 from conftest import SF, plan_of
-from passagemill.plans import catalogue, lifecycle, oracle
+from passagemill.plans import catalogue, lifecycle, oracle, retrieval, retrieval_oracle
 
-OWN = catalogue.QUERIES | lifecycle.QUERIES
+OWN = catalogue.QUERIES | lifecycle.QUERIES | retrieval.QUERIES
+ORACLE = oracle.ORACLE | retrieval_oracle.ORACLE
+#: Sketches, and figures of an index that SQL can't follow: tested by themselves (test_progress, test_cells).
+WITHOUT_SQL = {"duration_quantiles", "ivf_pruned_share", "ivf_upkeep_recall"}
 
 
 @pytest.fixture(scope="module")
@@ -17,13 +20,13 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(oracle.ORACLE) == set(OWN)
+    assert set(ORACLE) == set(OWN) - WITHOUT_SQL
 
 
 @pytest.mark.parametrize("name", list(OWN))
 def test_query(spark, con, name):
     verdict, _, _ = compare(spark, con, SF, name)
-    assert verdict.startswith("ok"), verdict
+    assert verdict.startswith("rows" if name in WITHOUT_SQL else "ok"), verdict
 
 
 def test_entry(spark):
