@@ -27,7 +27,7 @@ from ..config import SearchConfig
 from ..functions.vectors import not_zero
 from ..session import materialise
 from .ivf import CELL, Centroids, _in_cells, _typed_nulls, assign_cells
-from .search import MARGIN, SCORES_AT_ONCE, QueryBlock, _hit_schema, block_search, fetch_queries, matrix_of, rank, scan_search, top_k
+from .search import _SCAN_QUERIES, MARGIN, SCORES_AT_ONCE, QueryBlock, _hit_schema, block_search, fetch_queries, matrix_of, rank, scan_search, top_k
 
 CELL_TABLE = f"{CELL} int, centroid array<double>, n long, total array<double>, reach double"
 #: Angles of float vectors are good to about this.
@@ -268,12 +268,12 @@ def _round(indexed, asked, hit_schema, keys, query_id, vector, query_vector, con
     if not wanted:
         return None
     rows = _in_cells(indexed, wanted)
-    table = fetch_queries(asked, query_id, query_vector, config.broadcast_bytes)
+    table = fetch_queries(asked, query_id, query_vector, config.broadcast_bytes, _SCAN_QUERIES)
     if table is not None and table.num_rows * len(wanted) <= SCORES_AT_ONCE:
         lists = {r[query_id]: r["__cells"] for r in asked.select(query_id, "__cells").collect()}
         block = QueryBlock.of(table.column(query_id), table.column(query_vector))
         widest = max(map(len, lists.values()))
         block.cells = np.array([lists[q] + [-1] * (widest - len(lists[q])) for q in block.names.to_pylist()], np.int32)
         return scan_search(rows, block, hit_schema, query_id, keys, vector, config.k, CELL)
-    asked = asked.select(query_id, query_vector, F.explode("__cells").alias(CELL))
-    return block_search(rows, asked, hit_schema, query_id, keys, vector, query_vector, CELL, config)
+    rows = rows.select(*keys, vector, CELL)
+    return block_search(rows, asked, hit_schema, query_id, keys, vector, query_vector, config, CELL, "__cells")

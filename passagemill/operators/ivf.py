@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..config import BROADCAST_BYTES, NLIST, SearchConfig
 from ..functions.vectors import not_zero
 from ..session import materialise
-from .search import SCORES_AT_ONCE, QueryBlock, _hit_schema, block_search, bounded, fetch_queries, matrix_of, rank, scan_search, top_k
+from .search import _SCAN_QUERIES, SCORES_AT_ONCE, QueryBlock, _hit_schema, block_search, bounded, fetch_queries, matrix_of, rank, scan_search, top_k
 
 CELL = "cell_id"
 
@@ -161,7 +161,7 @@ def probed_top_k(
     are read.
     """
     hit_schema = _hit_schema(queries, query_id, indexed, keys)
-    table = fetch_queries(queries, query_id, query_vector, config.broadcast_bytes)
+    table = fetch_queries(queries, query_id, query_vector, config.broadcast_bytes, _SCAN_QUERIES)
     if table is not None:
         block = QueryBlock.of(table.column(query_id), table.column(query_vector))
         if not len(block.squares):
@@ -197,7 +197,7 @@ def _typed_nulls(schema) -> list[Column]:
 def _probed_blocks(
     indexed, queries, centroids, hit_schema, keys, query_id, vector, query_vector, config
 ) -> DataFrame:
-    """Each query meets the blocks of its own cells only."""
+    """Each query meets the blocks of its own cells only, and there these cells."""
     shared = indexed.sparkSession.sparkContext.broadcast(centroids.arrays)
     nprobe = config.nprobe
 
@@ -212,14 +212,11 @@ def _probed_blocks(
                     found[i] = cells
             yield pa.array(found, pa.list_(pa.int32()))
 
-    asked = queries.withColumn("__cells", probe(F.col(query_vector))).select(
-        query_id, query_vector, F.explode("__cells").alias(CELL)
-    )
-    asked = materialise(asked, "probes")
-    wanted = [r[0] for r in asked.select(CELL).distinct().collect()]  # at most all cells
+    asked = materialise(queries.select(query_id, query_vector, probe(F.col(query_vector)).alias("__cells")), "probes")
+    wanted = [r[0] for r in asked.select(F.explode("__cells").alias(CELL)).distinct().collect()]  # at most all cells
+    rows = _in_cells(indexed, wanted) if len(wanted) < len(centroids.cells) else indexed.filter(F.col(CELL).isNotNull())
     return block_search(
-        _in_cells(indexed, wanted) if len(wanted) < len(centroids.cells) else indexed.filter(F.col(CELL).isNotNull()),
-        asked, hit_schema, query_id, keys, vector, query_vector, CELL, config,
+        rows.select(*keys, vector, CELL), asked, hit_schema, query_id, keys, vector, query_vector, config, CELL, "__cells"
     )
 
 

@@ -5,9 +5,10 @@ Two physical strategies, chosen by the checked size of the query matrix:
 * few queries (and few candidates: tasks times queries times k): the matrix is shipped to every task; each task streams its part of
   the collection, keeps a running top-k per query and emits only that. The
   collection is neither shuffled nor joined.
-* many queries: the collection is hashed into blocks of bounded size, queries are
-  sent to the blocks they must meet, and each task holds one block while the
-  queries stream past it. Hot cells are split over several blocks.
+* many queries: both sides are dealt over a grid of blocks that has no more columns and rows than the
+  memory of a task and the number of cores ask for, so that a vector travels a few times however many
+  queries there are, and a query once to each block that holds one of its cells. A task holds a block's vectors
+  while its queries stream past. Small cells share blocks, hot ones are split over several.
 
 Both end in one ``row_number`` over the per-task winners. Score is the cosine in
 double precision; a zero vector has none and is never ranked. Ties go to the
@@ -19,6 +20,7 @@ partitioning, therefore give the same ranks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,11 +32,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import SearchConfig
-from ..session import materialise
 
 SCORES_AT_ONCE = 4_000_000
 #: Cosines from a matrix product and from a sum of products differ by less.
 MARGIN = 1e-9
+#: Unit vectors in single precision: a product of ``dim`` components is off by less than half of this times dim + 4.
+MARGIN_32 = 2.0**-22
+#: Queries up to which the matrix is shipped: every task hands in k rows for each of them.
+_SCAN_QUERIES = 5_000
+#: Memory of a block's vectors in double precision, queries and vectors that a matrix product takes at once.
+BLOCK_BYTES = 64 * 1024 * 1024
+_QUERIES_AT_ONCE, _VECTORS_AT_ONCE = 2_000, 2_000
+#: A grid has about so many blocks a core if memory doesn't ask for more, and no turn of fewer queries only for that.
+_BLOCKS_PER_CORE = 4
+_LEAST_TURN = 1_000
 _EXACT_VALUES = 8_000_000
 _EMIT_ROWS = 10_000
 _MOST_PARTITIONS = 50_000
@@ -204,8 +215,8 @@ def bounded(hits: DataFrame, queries: int, k: int) -> DataFrame:
     return F.broadcast(hits) if queries * k <= _SMALL_HITS else hits
 
 
-def fetch_queries(queries: DataFrame, query_id: str, vector: str, limit_bytes: int):
-    """The query table if its matrix fits in ``limit_bytes``, else None.
+def fetch_queries(queries: DataFrame, query_id: str, vector: str, limit_bytes: int, limit_rows: int | None = None):
+    """The query table if its matrix fits in ``limit_bytes`` and has no more than ``limit_rows``, else None.
 
     The dimension is asked for, one row of those that have a vector; then at most one
     row more than fits is read, whatever the size of the table.
@@ -215,6 +226,7 @@ def fetch_queries(queries: DataFrame, query_id: str, vector: str, limit_bytes: i
     if not known:  # nothing to search for
         return queries.select(query_id, vector).limit(0).toArrow()
     most = max(1, limit_bytes // (8 * known[0].n))
+    most = most if limit_rows is None else min(most, limit_rows)
     table = queries.select(query_id, vector).limit(most + 1).toArrow()
     return table if table.num_rows <= most else None
 
@@ -246,26 +258,138 @@ def scan_search(
     return collection.select(*columns).mapInArrow(best_of_task, hit_schema)
 
 
-def _block_table(collection: DataFrame, asked: DataFrame, cell: str, config: SearchConfig) -> DataFrame:
-    """How each cell is cut: vectors into ``__parts``, queries into ``__turns``.
+@dataclass
+class Grid:
+    """How both sides are dealt. Cell ``cells[i]`` lies in ``parts[i]`` blocks from ``first[i]`` on; each block has ``turns``."""
+
+    cells: np.ndarray
+    first: np.ndarray
+    parts: np.ndarray
+    blocks: int
+    turns: int
+
 
-    One row per cell. ``__first`` numbers the blocks of all cells without overlap.
+def _grid(rows: list[tuple], asked: int, dim: int, share: bool, cores: int, config: SearchConfig) -> Grid:
+    """The grid for ``rows`` (cell, vectors), ``asked`` queries of ``dim`` components; cells share blocks or don't.
+
+    A block is no smaller than ``config.block_rows`` unless that overfills a task. More vectors and queries make
+    larger blocks until memory ends that, so what travels grows with the input and not with its square.
     """
-    vectors = collection.groupBy(cell).agg(F.count("*").alias("__n"))
-    queries = asked.groupBy(cell).agg(F.count("*").alias("__m"))
-    size = (
-        vectors.join(queries, cell)
-        .select(
-            cell,
-            F.ceil(F.col("__n") / config.block_rows).cast("long").alias("__parts"),
-            F.ceil(F.col("__m") / config.block_queries).cast("long").alias("__turns"),
-        )
-    )
-    before = Window.orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = F.col("__parts") * F.col("__turns")
-    return materialise(
-        size.withColumn("__first", F.coalesce(F.sum(blocks).over(before), F.lit(0).cast("long"))), "blocks"
-    )
+    rows = sorted(rows)
+    sizes = np.array([n for _, n in rows], np.int64)
+    every, side = int(sizes.sum()), math.isqrt(_BLOCKS_PER_CORE * cores - 1) + 1
+    parts = max(min(-(-every // config.block_rows), side), -(-every // max(1, BLOCK_BYTES // (8 * max(1, dim)))), 1)
+    most = max(1, -(-every // parts))
+    if share:
+        before = np.cumsum(sizes) - sizes
+        first = before // most
+        last = np.maximum(before + sizes - 1, before) // most
+    else:
+        spans = np.maximum(1, -(-sizes // most))
+        first = np.cumsum(spans) - spans
+        last = first + spans - 1
+    blocks = int(last[-1]) + 1 if len(rows) else 1
+    turns = max(min(-(-asked // config.block_queries), side), min(-(-2 * cores // blocks), asked // _LEAST_TURN), 1)
+    return Grid(np.array([c for c, _ in rows]), first, last - first + 1, blocks, turns)
+
+
+def blocks_of(lists: pa.Array, cells: np.ndarray, first: np.ndarray, parts: np.ndarray) -> pa.Array:
+    """For each list of cells, the blocks that hold them: ``list<struct<block, cells>>``, cells by their number."""
+    lists = lists.fill_null([]) if lists.null_count else lists
+    flat = lists.flatten()
+    asked = np.asarray(flat) if len(cells) and cells.dtype.kind in "iu" else np.array(flat.to_pylist(), cells.dtype if len(cells) else object)
+    row = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
+    number = np.minimum(np.searchsorted(cells, asked), max(0, len(cells) - 1))
+    held = np.flatnonzero(cells[number] == asked) if len(cells) else np.zeros(0, np.int64)  # cells without rows are in no block
+    row, number = row[held], number[held]
+    times = parts[number]
+    nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    row, block, number = np.repeat(row, times), np.repeat(first[number], times) + nth, np.repeat(number, times)
+    order = np.lexsort((number, block, row))
+    row, block, number = row[order], block[order], number[order]
+    starts = np.flatnonzero(np.r_[True, (np.diff(row) != 0) | (np.diff(block) != 0)]) if len(row) else np.zeros(0, np.int64)
+    inner = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(row)].astype(np.int32)), pa.array(number.astype(np.int32)))
+    groups = pa.StructArray.from_arrays([pa.array(block[starts].astype(np.int32)), inner], ["block", "cells"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(row[starts], np.arange(len(lists) + 1)).astype(np.int32)), groups)
+
+
+class HeldBlock:
+    """The vectors of a block, sorted by cell, that queries stream past."""
+
+    def __init__(self, table: pa.Table, vector: str, keys: list[str], cell: str):
+        self.rows, matrix, self.squares, cells = prepared(table, vector, keys, cell)
+        narrow = pa.types.is_float32(table.schema.field(vector).type.value_type)
+        self.units = (matrix / np.sqrt(self.squares)[:, None]).astype(np.float32) if len(matrix) else matrix
+        self.matrix = matrix.astype(np.float32) if narrow else matrix  # widened where it is multiplied
+        sort = pc.sort_indices(self.rows, sort_keys=[(c, "ascending") for c in keys])
+        self.place = np.empty(len(self.squares), np.int64)  # ties go to the smaller key
+        self.place[np.asarray(sort)] = np.arange(len(self.squares))
+        cuts = np.flatnonzero(np.diff(cells)) + 1
+        self.spans = {int(cells[a]): (int(a), int(b)) for a, b in zip([0, *cuts], [*cuts, len(cells)]) if a < b}
+
+    def search(self, names: pa.Array, vectors: pa.Array, lists: pa.Array | None, k: int) -> Iterator[tuple]:
+        """(names, rows, scores) of the ``k`` best for some queries at a time; with ``lists``, of the listed cells."""
+        matrix, usable = matrix_of(vectors)
+        squares = (matrix * matrix).sum(axis=1)
+        good = np.flatnonzero(squares > 0)
+        if not len(good) or not len(self.squares):
+            return
+        if matrix.shape[1] != self.matrix.shape[1]:
+            raise ValueError(f"query dimension {matrix.shape[1]}, vector dimension {self.matrix.shape[1]}")
+        matrix, squares, names = matrix[good], squares[good], names.take(pa.array(usable[good]))
+        if lists is not None:
+            lists = lists.take(pa.array(usable[good]))
+        for at in range(0, len(squares), _QUERIES_AT_ONCE):
+            here = slice(at, at + _QUERIES_AT_ONCE)
+            n = len(squares[here])
+            if lists is None:
+                asking = [(np.arange(n), 0, len(self.squares))]
+            else:
+                some = lists.slice(at, n)
+                row = np.repeat(np.arange(n), np.diff(np.asarray(some.offsets)))
+                cell = np.asarray(some.flatten())
+                order = np.argsort(cell, kind="stable")
+                row, cell = row[order], cell[order]
+                cuts = np.flatnonzero(np.r_[True, np.diff(cell) != 0]) if len(cell) else []
+                asking = [(row[a:b], *self.spans[int(cell[a])]) for a, b in zip(cuts, [*cuts[1:], len(cell)]) if int(cell[a]) in self.spans]
+            q, r, s = self._best(matrix[here], squares[here], asking, k)
+            yield names.take(pa.array(q + at)), self.rows.take(pa.array(r)), s
+
+    def _best(self, matrix: np.ndarray, squares: np.ndarray, asking: list[tuple], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        units = (matrix / np.sqrt(squares)[:, None]).astype(np.float32)
+        margin = MARGIN_32 * (matrix.shape[1] + 4)
+        floor = np.full(len(squares), -np.inf)
+        best, more, waiting = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), [], 0
+        for rows, start, end in asking:
+            mine = units if len(rows) == len(units) else units[rows]
+            for at in range(start, end, _VECTORS_AT_ONCE):
+                scores = mine @ self.units[at : min(end, at + _VECTORS_AT_ONCE)].T
+                wide = scores.shape[1]
+                least = (floor[rows] - margin).astype(np.float32)
+                open_ = np.flatnonzero(np.isneginf(least))  # queries without k hits yet
+                if wide > k and len(open_):
+                    least[open_] = np.partition(scores[open_], wide - k, axis=1)[:, wide - k] - np.float32(margin)
+                hits = np.flatnonzero(scores >= least[:, None])
+                if wide > k and len(hits) > 4 * k * len(rows):  # rising scores: the best of this slab only
+                    kth = np.partition(scores, wide - k, axis=1)[:, wide - k] - np.float32(margin)
+                    hits = np.flatnonzero(scores >= np.maximum(least, kth)[:, None])
+                if len(hits):
+                    qi, ri = rows[hits // wide], hits % wide + at
+                    more.append((qi, ri, _cosines(matrix, squares, self.matrix, self.squares, qi, ri)))
+                    waiting += len(hits)
+                if more and (len(open_) or waiting > 2 * k * len(units)):
+                    best, more, waiting = self._merge([best, *more], floor, k), [], 0
+        return self._merge([best, *more], floor, k) if more else best
+
+    def _merge(self, found: list[tuple], floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        q, r, s = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((self.place[r], -s, q))
+        q, r, s = q[order], r[order], s[order]
+        nth = np.arange(len(q)) - np.searchsorted(q, q, side="left")
+        full = nth == k - 1
+        floor[q[full]] = s[full]
+        keep = nth < k
+        return q[keep], r[keep], s[keep]
 
 
 def block_search(
@@ -276,67 +400,80 @@ def block_search(
     keys: list[str],
     vector: str,
     query_vector: str,
-    cell: str,
     config: SearchConfig,
+    cell: str | None = None,
+    cells: str | None = None,
+    share: bool = True,
 ) -> DataFrame:
-    """Winners per block, for rows of both sides that share a cell.
+    """Winners per block: of all rows, or of those whose ``cell`` is in the query's list ``cells``.
 
-    A cell is cut into blocks of at most about ``block_rows`` vectors and
-    ``block_queries`` queries, so neither a hot cell nor a hot query set ends up in
-    one task. A task holds a block's vectors while its queries stream past in
-    Arrow batches.
+    Neither a hot cell nor a hot query set ends up in one task. With ``share`` false, no block holds rows of
+    two cells, and vectors may differ in dimension from cell to cell.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    spark = collection.sparkSession
     arrow_schema = to_arrow_schema(hit_schema)
-    table = _block_table(collection, asked, cell, config)
-    total = table.agg(F.sum(F.col("__parts") * F.col("__turns")).alias("n")).head()["n"] or 1
-    table = F.broadcast(table)  # one row per cell: bounded by the checked centroids
-
-    def upto(n: str):
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-
-    def block(part, turn):
-        return (F.col("__first") + part * F.col("__turns") + turn).alias("__block")
+    size = asked.agg(F.count("*").alias("n"), F.max(F.size(query_vector)).alias("dim")).head()
+    # at most a row a centroid or model
+    rows = [(0, collection.count())] if cell is None else [tuple(r) for r in collection.filter(F.col(cell).isNotNull()).groupBy(cell).count().collect()]
+    grid = _grid(rows, size.n, size.dim or 0, share, spark.sparkContext.defaultParallelism, config)
+    total = min(grid.blocks * grid.turns, _MOST_PARTITIONS)
+    listed = cell is not None and share
 
     # floats travel as floats and are widened in the kernel
     kinds = {collection.schema[vector].dataType.simpleString(), asked.schema[query_vector].dataType.simpleString()}
     shipped = kinds.pop() if len(kinds) == 1 else "array<double>"
     null_keys = [F.lit(None).cast(collection.schema[c].dataType).alias(c) for c in keys]
     no_query = F.lit(None).cast(asked.schema[query_id].dataType).alias(query_id)
-    left = (
-        collection.join(table, cell)
-        .withColumn("__turn", upto("__turns"))
-        .select(
-            block(F.pmod(F.xxhash64(*keys), F.col("__parts")), F.col("__turn")),
-            F.lit(0).alias("__side"),
-            no_query,
-            *keys,
-            F.col(vector).cast(shipped).alias("__v"),
-        )
+    if cell is None:
+        placed = collection.withColumns({"__no": F.lit(0), "__first": F.lit(0), "__parts": F.lit(int(grid.parts[0]))})
+        meets = asked.withColumn("__m", F.explode(F.sequence(F.lit(0), F.lit(grid.blocks - 1))))
+        meets = meets.select(query_id, query_vector, F.col("__m").alias("__part"), F.lit(None).cast("array<int>").alias("__cells"))
+    else:
+        kind = collection.schema[cell].dataType.simpleString()
+        table = [(c, i, f, p) for i, (c, f, p) in enumerate(zip(grid.cells.tolist(), grid.first.tolist(), grid.parts.tolist()))]
+        table = spark.createDataFrame(table, f"`{cell}` {kind}, __no int, __first int, __parts int")
+        placed = collection.join(F.broadcast(table), cell)
+        shared = spark.sparkContext.broadcast((grid.cells, grid.first, grid.parts))
+
+        @F.arrow_udf("array<struct<block:int,cells:array<int>>>")
+        def meet(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for lists in batches:
+                yield blocks_of(lists, *shared.value)
+
+        meets = asked.withColumn("__m", F.explode(meet(F.col(cells))))
+        none = F.lit(None).cast("array<int>")
+        meets = meets.select(query_id, query_vector, F.col("__m.block").alias("__part"), (F.col("__m.cells") if listed else none).alias("__cells"))
+
+    turn = F.explode(F.sequence(F.lit(0), F.lit(grid.turns - 1)))
+    part = (F.col("__first") + F.pmod(F.xxhash64(*keys), F.col("__parts"))).cast("int")
+    left = placed.select("*", turn.alias("__turn")).select(
+        (part * grid.turns + F.col("__turn")).alias("__block"),
+        F.lit(0).alias("__side"),
+        F.col("__no") if listed else F.lit(0).alias("__no"),
+        no_query,
+        *keys,
+        F.col(vector).cast(shipped).alias("__v"),
+        F.lit(None).cast("array<int>").alias("__cells"),
     )
-    right = (
-        asked.join(table, cell)
-        .withColumn("__part", upto("__parts"))
-        .select(
-            block(F.col("__part"), F.pmod(F.xxhash64(query_id), F.col("__turns"))),
-            F.lit(1).alias("__side"),
-            query_id,
-            *null_keys,
-            F.col(query_vector).cast(shipped).alias("__v"),
-        )
-    )
-    together = (
-        left.unionByName(right)
-        .repartition(min(int(total), _MOST_PARTITIONS), "__block")
-        .sortWithinPartitions("__block", "__side")
+    right = meets.select(
+        (F.col("__part") * grid.turns + F.pmod(F.xxhash64(query_id), F.lit(grid.turns))).cast("int").alias("__block"),
+        F.lit(1).alias("__side"),
+        F.lit(0).alias("__no"),
+        query_id,
+        *null_keys,
+        F.col(query_vector).cast(shipped).alias("__v"),
+        "__cells",
     )
+    together = left.unionByName(right).repartitionById(total, F.pmod("__block", F.lit(total)).cast("int"))
+    together = together.sortWithinPartitions("__block", "__side", "__no")
     k = config.k
 
     def best_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
         held_block = None
-        vectors: tuple | None = None
+        vectors: HeldBlock | None = None
         for batch in batches:
             code = np.asarray(batch.column("__block"))
             side = np.asarray(batch.column("__side"))
@@ -346,15 +483,17 @@ def block_search(
                 if code[at] != held_block:
                     held, held_block, vectors = [], code[at], None
                 if side[at] == 0:
-                    held.append(part)
-                    continue
-                if not held:
+                    held.append(part.select([*keys, "__v", "__no"]))
                     continue
                 if vectors is None:
-                    vectors, held = prepared(pa.concat_tables(held).combine_chunks(), "__v", keys), [part.slice(0, 0)]
-                best = BestK(QueryBlock.of(part.column(query_id), part.column("__v")), k, keys)
-                best.add_prepared(vectors)
-                yield from best.batches(query_id, arrow_schema)
+                    if not held:
+                        continue
+                    vectors, held = HeldBlock(pa.concat_tables(held).combine_chunks(), "__v", keys, "__no"), [part.slice(0, 0)]
+                asked_here = part.combine_chunks()
+                lists = asked_here.column("__cells").combine_chunks() if listed else None
+                for names, rows, scores in vectors.search(asked_here.column(query_id).combine_chunks(), asked_here.column("__v"), lists, k):
+                    out = pa.table({query_id: names, **{c: rows.column(c) for c in keys}, "score": pa.array(scores)})
+                    yield from out.select(arrow_schema.names).cast(arrow_schema).to_batches(max_chunksize=_EMIT_ROWS)
 
     return together.mapInArrow(best_of_blocks, hit_schema)
 
@@ -379,17 +518,13 @@ def top_k(
     collection before the call for a filtered search.
     """
     hit_schema = _hit_schema(queries, query_id, collection, keys)
-    table = fetch_queries(queries, query_id, query_vector, config.broadcast_bytes)
+    table = fetch_queries(queries, query_id, query_vector, config.broadcast_bytes, _SCAN_QUERIES)
     if table is not None and table.num_rows * config.k * _tasks(collection) <= config.candidate_rows:
         block = QueryBlock.of(table.column(query_id), table.column(query_vector))
         winners = scan_search(collection, block, hit_schema, query_id, keys, vector, config.k)
         return bounded(rank(winners, query_id, keys, config.k), table.num_rows, config.k)
-    everything = F.lit(0).alias("__cell")
-    winners = block_search(
-        collection.select("*", everything),
-        queries.select("*", everything),
-        hit_schema, query_id, keys, vector, query_vector, "__cell", config,
-    )
+    queries = queries.select(query_id, query_vector)
+    winners = block_search(collection.select(*keys, vector), queries, hit_schema, query_id, keys, vector, query_vector, config)
     return rank(winners, query_id, keys, config.k)
 
 
@@ -413,8 +548,10 @@ def top_k_by_model(
     wanted = [r[0] for r in asked.select(model).distinct().limit(_LISTED_MODELS + 1).collect()]
     if len(wanted) <= _LISTED_MODELS:  # read only these models' folders
         collection = collection.filter(F.col(model).isin(wanted))
-    rows = collection.filter(F.col(model).isNotNull())
-    return rank(block_search(rows, asked, hit_schema, query_id, keys, vector, query_vector, model, config), query_id, keys, config.k)
+    asked = asked.select(query_id, query_vector, F.array(model).alias("__models"))
+    rows = collection.filter(F.col(model).isNotNull()).select(*keys, vector, model)
+    winners = block_search(rows, asked, hit_schema, query_id, keys, vector, query_vector, config, model, "__models", share=False)
+    return rank(winners, query_id, keys, config.k)
 
 
 def top_k_of(
