@@ -33,7 +33,7 @@ from ..operators.ivf import (
 from ..operators.prompting import build_prompts
 from ..operators.search import gather_hits, top_k, top_k_of
 from ..operators.units import explode_units, html_units, line_units
-from ..session import materialise, scratch_path, spread
+from ..session import is_folder, materialise, scratch_path, spread
 from ..sources.collection import query as collection_query
 from ..sources.collection import text_problem
 from ..sources.files import first_files
@@ -546,9 +546,12 @@ def stream_ingest(spark, sf):
     from ..streaming.ingest import current_rows, ingest_stream
 
     base = scratch_path(spark, "stream")
+    # a stream takes the files of a folder: the table's own, if it has several, or one by name
+    table = f"{sf}/documents.parquet"
+    whole = is_folder(spark, table)
     query = ingest_stream(
-        spark, sf, f"{base}/rows", f"{base}/checkpoint", file_format="parquet",
-        options={"pathGlobFilter": "documents.parquet"}, blocks=spark.sparkContext.defaultParallelism,
+        spark, table if whole else sf, f"{base}/rows", f"{base}/checkpoint", file_format="parquet",
+        options={} if whole else {"pathGlobFilter": "documents.parquet"}, blocks=spark.sparkContext.defaultParallelism,
     )
     query.awaitTermination()
     return current_rows(spark, f"{base}/rows").select(

@@ -66,6 +66,11 @@ def exists_path(spark: SparkSession, path: str) -> bool:
     return system.exists(where)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    where, system = _at(spark, path)
+    return system.exists(where) and system.getFileStatus(where).isDirectory()
+
+
 def names_below(spark: SparkSession, path: str) -> list[str]:
     """Names of what lies directly in a folder; none if there is no such folder."""
     where, system = _at(spark, path)
