@@ -27,7 +27,9 @@ def truth_by_containment(
     """
     asked = questions.select(query_id, words(F.lower(F.col(question))).alias("w")).where(F.size("w") > 0)
     asked = asked.withColumn("size", F.least(F.size("w"), F.lit(ANCHOR_WORDS)))
-    asked = asked.select(query_id, _padded(F.col("w")).alias("whole"), "size", F.xxhash64(F.array_join(F.slice("w", F.lit(1), F.col("size")), " ")).alias("anchor"))
+    # the number of words is part of the hash: distinct hashes are found by hashing, distinct pairs by comparing all with all
+    anchor = F.xxhash64("size", F.array_join(F.slice("w", F.lit(1), F.col("size")), " "))
+    asked = asked.select(query_id, _padded(F.col("w")).alias("whole"), "size", anchor.alias("anchor"))
     asked = materialise(asked, "anchors")
     lengths = sorted(r[0] for r in asked.select("size").distinct().collect())  # at most ANCHOR_WORDS numbers
     if not lengths:
@@ -37,10 +39,10 @@ def truth_by_containment(
 
     def runs(size: int) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size("w") - size + 1, F.lit(1)))
-        return F.transform(starts, lambda i: F.struct(F.lit(size).alias("size"), F.xxhash64(F.array_join(F.slice("w", i, F.lit(size)), " ")).alias("anchor")))
+        return F.transform(starts, lambda i: F.xxhash64(F.lit(size), F.array_join(F.slice("w", i, F.lit(size)), " ")))
 
-    places = rows.select(doc_id, F.explode(F.array_distinct(F.concat(*[runs(n) for n in lengths]))).alias("run"))
-    maybe = places.select(doc_id, "run.*").join(asked, ["size", "anchor"]).select(query_id, doc_id, "whole").distinct()
+    places = rows.select(doc_id, F.explode(F.array_distinct(F.concat(*[runs(n) for n in lengths]))).alias("anchor"))
+    maybe = places.join(asked, "anchor").select(query_id, doc_id, "whole").distinct()
     # texts meet only the few pairs that share an anchor
     texts = docs.select(doc_id, _padded(cut).alias("doc"))
     return materialise(maybe, "maybe").join(texts, doc_id).where(F.contains("doc", "whole")).select(query_id, doc_id).distinct()
