@@ -29,8 +29,10 @@ EMBEDDINGS_ROUTE = "/v1/embeddings"
 # ------------------------------------------------------------------------------
 
 _VECTOR = "array<float>"
-_CELLS_AT_ONCE = 4_000_000
-_KNOWN_TOKENS = 1_000_000
+#: Components of vectors, and tokens, that a task works on at a time, and tokens whose place it remembers.
+_CELLS_AT_ONCE = 1_000_000
+_TOKENS_AT_ONCE = 250_000
+_KNOWN_TOKENS = 400_000
 
 
 def _to_lists(matrix: np.ndarray) -> pa.Array:
@@ -48,6 +50,16 @@ def _unit_rows(matrix: np.ndarray) -> np.ndarray:
 # ---- built-in: feature hashing -------------------------------------------------
 
 
+def _slices(lengths: np.ndarray, rows: int, tokens: int) -> Iterator[tuple[int, int]]:
+    """Runs (start, end) of at most ``rows`` lists with at most ``tokens`` in all; a longer list is a run of its own."""
+    ends, at = np.cumsum(lengths, dtype=np.int64), 0
+    while at < len(lengths):
+        before = ends[at - 1] if at else 0
+        end = min(at + rows, max(at + 1, int(np.searchsorted(ends, before + tokens, side="right"))))
+        yield at, end
+        at = end
+
+
 def _bucket(token: str, dim: int) -> tuple[int, int]:
     h = int.from_bytes(hashlib.md5(token.encode("utf-8")).digest()[:4], "big")
     return h % dim, 1 if (h // dim) % 2 == 0 else -1
@@ -63,26 +75,27 @@ def hashed_vectors(text: Column, dim: int = EMBEDDING_DIM, normalize: bool = Fal
 
     @F.arrow_udf(_VECTOR)
     def hash_tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known: dict[str, tuple[int, int]] = {}
+        known: dict[str, int] = {}  # twice the component, odd if it falls by one
         step = max(1, _CELLS_AT_ONCE // dim)
         for batch in batches:
             parts = []
-            for at in range(0, len(batch), step):
-                tokens = batch.slice(at, step)
+            for at, end in _slices(np.diff(np.asarray(batch.offsets)), step, _TOKENS_AT_ONCE):
+                tokens = batch.slice(at, end - at)
                 n = len(tokens)
                 lengths = np.diff(np.asarray(tokens.offsets))
                 coded = tokens.flatten().dictionary_encode()
                 if len(known) > _KNOWN_TOKENS:
                     known.clear()
-                table = np.zeros((len(coded.dictionary), 2), dtype=np.int64)
+                table = np.zeros(len(coded.dictionary), dtype=np.int64)
                 for i, token in enumerate(coded.dictionary.to_pylist()):
                     place = known.get(token)
                     if place is None:
-                        place = known[token] = _bucket(token, dim)
+                        component, sign = _bucket(token, dim)
+                        place = known[token] = 2 * component + (sign < 0)
                     table[i] = place
                 place = table[np.asarray(coded.indices)]
                 row = np.repeat(np.arange(n), lengths)
-                flat = np.bincount(row * dim + place[:, 0], weights=place[:, 1], minlength=n * dim)
+                flat = np.bincount(row * dim + (place >> 1), weights=1 - 2 * (place & 1), minlength=n * dim)
                 matrix = flat.astype(np.float64, copy=False).reshape(n, dim)  # bincount of nothing counts in int
                 parts.append(_to_lists(_unit_rows(matrix) if normalize else matrix))
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float32()))

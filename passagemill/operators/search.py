@@ -46,7 +46,9 @@ _QUERIES_AT_ONCE, _VECTORS_AT_ONCE = 2_000, 2_000
 #: A grid has about so many blocks a core if memory doesn't ask for more, and no turn of fewer queries only for that.
 _BLOCKS_PER_CORE = 4
 _LEAST_TURN = 1_000
-_EXACT_VALUES = 8_000_000
+_EXACT_VALUES = 1_000_000
+#: Components of vectors that a task with shipped queries works on at a time.
+_SCAN_VALUES = 1_000_000
 _EMIT_ROWS = 10_000
 _MOST_PARTITIONS = 50_000
 _SMALL_HITS = 200_000
@@ -112,7 +114,9 @@ class BestK:
         self.floor = np.full(len(queries.squares), -np.inf)
 
     def add(self, batch: pa.RecordBatch | pa.Table, vector: str, cell: str | None = None) -> None:
-        self.add_prepared(prepared(batch, vector, self.keys, cell))
+        step = max(1, _SCAN_VALUES // max(1, self.q.matrix.shape[1]))
+        for at in range(0, batch.num_rows, step):
+            self.add_prepared(prepared(batch.slice(at, step), vector, self.keys, cell))
 
     def add_prepared(self, vectors: tuple) -> None:
         rows, matrix, squares, cells = vectors

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from passagemill.functions.vectors import l2_normalize
+from passagemill.operators import embedding
 from passagemill.operators.embedding import (
     EndpointEmbedder, LocalEmbedder, choose_embedder, embed, hashed_vectors, http_json_client, vectors_of_reply,
 )
@@ -122,3 +123,21 @@ def test_long_texts_are_set_aside(spark):
     assert sorted((r["chunk_index"], r["problem"]) for r in rejected.collect()) == [
         (0, "source_file too long"), (1, "text too long"), (2, "text too long"),
     ]
+
+
+def test_long_texts_are_hashed_few_at_a_time(spark, monkeypatch):
+    """A task's memory follows neither the words of an Arrow batch nor all the words it ever saw."""
+    texts = [" ".join(f"w{i * j % 97}" for j in range(i % 40)) for i in range(300)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string").coalesce(1)
+    whole = {r["id"]: r["v"] for r in rows.select("id", embedding.hashed_vectors(F.col("text"), 16).alias("v")).collect()}
+
+    monkeypatch.setattr(embedding, "_TOKENS_AT_ONCE", 50)
+    monkeypatch.setattr(embedding, "_KNOWN_TOKENS", 10)
+    got = {r["id"]: r["v"] for r in rows.select("id", embedding.hashed_vectors(F.col("text"), 16).alias("v")).collect()}
+    assert got == whole
+
+    lengths = np.array([len(t.split()) for t in texts])
+    parts = list(embedding._slices(lengths, 7, 50))
+    assert [a for a, _ in parts] == [0, *[b for _, b in parts[:-1]]] and parts[-1][1] == 300
+    assert all(b - a <= 7 and (lengths[a:b].sum() <= 50 or b == a + 1) for a, b in parts)
+    assert list(embedding._slices(np.array([900, 0, 0, 900]), 7, 50)) == [(0, 1), (1, 3), (3, 4)]

@@ -194,3 +194,20 @@ def test_block_of_rising_scores(listed):
         want = brute([(int(k), v) for k, v, c in zip(keys, vectors, cell) if not listed or c in allowed[n]], [(n, q)], 5)
         assert [i for _, i in sorted(got[n])] == [i for _, _, i in want]
     assert 8 not in got
+
+
+def test_shipped_search_takes_few_vectors_at_a_time(monkeypatch):
+    """An Arrow batch of long vectors is widened slice by slice."""
+    rng = np.random.default_rng(5)
+    vectors = rng.integers(-1, 2, (1000, 8)).astype(np.float32)
+    batch = pa.record_batch({"key": pa.array(range(1000)), "v": pa.array(vectors.tolist(), pa.list_(pa.float32()))})
+    block = search.QueryBlock.of(pa.array([1, 2]), pa.array(rng.integers(1, 3, (2, 8)).astype(float).tolist(), pa.list_(pa.float64())))
+    whole = search.BestK(block, 5, ["key"])
+    whole.add(batch, "v")
+
+    seen, add = [], search.BestK.add_prepared
+    monkeypatch.setattr(search, "_SCAN_VALUES", 800)
+    monkeypatch.setattr(search.BestK, "add_prepared", lambda self, rows: (seen.append(rows[1].size), add(self, rows))[1])
+    sliced = search.BestK(block, 5, ["key"])
+    sliced.add(batch, "v")
+    assert sliced.best.equals(whole.best) and max(seen) <= 800
