@@ -8,11 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import CollectionConfig
 from ..functions.vectors import has_dim
 
 _MOST_WRITERS = 50_000
+#: Memory of the rows of a file, and so of the task that writes it.
+_FILE_BYTES = 128 * 1024 * 1024
 COLUMNS = ("id", "source_file", "chunk_index", "text", "embedding")
 
 
@@ -78,26 +81,40 @@ def find_database(spark: SparkSession, name: str) -> str | None:
     return None
 
 
-def even_files(df: DataFrame, column: str, rows_per_file: int) -> DataFrame:
+def _row_bytes(df: DataFrame) -> Column:
+    """About the memory of a row: texts by their bytes, lists by their length."""
+    width = F.lit(16 * len(df.columns)).cast("long")
+    for f in df.schema.fields:
+        kind = f.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(kind, T.ArrayType):
+            each = {T.FloatType: 4, T.IntegerType: 4}.get(type(kind.elementType), 8)
+            width = width + each * F.greatest(F.coalesce(F.size(f.name), F.lit(0)), F.lit(0))
+    return width
+
+
+def even_files(df: DataFrame, column: str, rows_per_file: int, bytes_per_file: int = _FILE_BYTES) -> DataFrame:
     """Lay rows out for a table partitioned by ``column``.
 
-    Each value gets as many files as its rows ask for, each file from one task, so
-    a value that holds a third of all rows is written by many tasks and a rare one
-    does not leave a file per task. ``df`` is read twice: pass a stored table.
+    Each value gets as many files as its rows and their bytes ask for, each file from a task of its own, so
+    a value that holds a third of all rows is written by many tasks, a rare one
+    does not leave a file per task, and no task holds more than about ``bytes_per_file``. ``df`` is read twice: pass a stored table.
     """
-    parts = df.groupBy(column).agg(
-        F.ceil(F.count("*") / F.lit(rows_per_file)).cast("long").alias("__parts")
-    )
-    files = parts.agg(F.sum("__parts").alias("n")).head()["n"] or 1
-    # One row per partition folder, so it is small. Null-safe: rows without a value stay.
-    spread_out = df.alias("d").join(
-        F.broadcast(parts.withColumnRenamed(column, "__value")), F.col(f"d.{column}").eqNullSafe(F.col("__value")), "left"
-    )
-    return (
-        spread_out.withColumn("__part", F.pmod(F.xxhash64("id"), F.col("__parts")))
-        .repartition(min(int(files), _MOST_WRITERS), column, "__part")
-        .drop("__parts", "__part", "__value")
-    )
+    by_rows, by_bytes = (F.ceil(x / F.lit(y)) for x, y in ((F.count("*"), rows_per_file), (F.sum(_row_bytes(df)), bytes_per_file)))
+    # One row per partition folder, so it is small.
+    parts = df.groupBy(column).agg(F.greatest(by_rows, by_bytes, F.lit(1)).cast("long").alias("__parts")).collect()
+    table, files = [], 0
+    for value, n in parts:
+        table.append((value, n, files))
+        files += n
+    kind = T.StructType([T.StructField("__value", df.schema[column].dataType), T.StructField("__parts", T.LongType()), T.StructField("__first", T.LongType())])
+    firsts = F.broadcast(df.sparkSession.createDataFrame(table, kind))
+    # Null-safe: rows without a value stay.
+    spread_out = df.alias("d").join(firsts, F.col(f"d.{column}").eqNullSafe(F.col("__value")), "left")
+    writers = max(1, min(files, _MOST_WRITERS))
+    file = F.col("__first") + F.pmod(F.xxhash64("id"), F.col("__parts"))
+    return spread_out.repartitionById(writers, F.pmod(file, F.lit(writers)).cast("int")).drop("__parts", "__first", "__value")
 
 
 def create_or_replace(

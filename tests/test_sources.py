@@ -191,3 +191,15 @@ def test_files_from_rows(spark, tmp_path):
     assert found == {n: len((t or "").encode()) for n, t in rows}
     assert read_bytes(f"{root}/1/f7.txt") == "é 7".encode()
     assert write_files(spark.createDataFrame([], "name string, content string"), str(tmp_path / "none")) == 0
+
+
+def test_files_of_wide_rows_are_bounded_by_bytes(spark):
+    """Few partition folders, long vectors: a task writes a bounded part of a folder, not up to a million rows of it."""
+    wide = F.transform(F.sequence(F.lit(1), F.lit(100)), lambda i: i.cast("float"))
+    df = spark.range(1000).select("id", wide.alias("embedding"), F.when(F.col("id") % 4 > 0, F.col("id") % 2).alias("model"))
+    laid = store.even_files(df, "model", 1_000_000, bytes_per_file=50_000)
+    per_task = laid.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.count_distinct("model").alias("models")).collect()
+    assert sum(r["n"] for r in per_task) == 1000 and max(r["n"] for r in per_task) < 200
+    assert all(r["models"] <= 1 for r in per_task)
+    assert sorted(map(tuple, laid.select("id", "model").collect())) == sorted(map(tuple, df.select("id", "model").collect()))
+    assert store.even_files(df.limit(0), "model", 10).count() == 0
