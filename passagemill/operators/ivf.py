@@ -11,15 +11,18 @@ from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import BROADCAST_BYTES, NLIST, SearchConfig
 from ..functions.vectors import not_zero
-from ..session import materialise
+from ..session import materialise, spread
 from .search import _SCAN_QUERIES, SCORES_AT_ONCE, QueryBlock, _hit_schema, block_search, bounded, fetch_queries, matrix_of, rank, scan_search, top_k
 
 CELL = "cell_id"
+#: Vectors, in double precision, of a partition that cells are trained on.
+TRAINING_BYTES = 64 * 1024 * 1024
 
 
 def nlist_rule(rows: Column) -> Column:
@@ -60,8 +63,15 @@ def train_centroids(
             drawn = drawn.sample(fraction=fraction, seed=seed)
     points = drawn.filter(not_zero(F.col(vector))).select(array_to_vector(F.col(vector)).alias("raw"))
     points = Normalizer(inputCol="raw", outputCol="features").transform(points).select("features")
-    points = materialise(points.repartition(points.sparkSession.sparkContext.defaultParallelism), "training")
-    model = KMeans(k=max(2, nlist), seed=seed, maxIter=iterations, featuresCol="features").fit(points)
+    points = materialise(spread(points), "training")
+    first = points.head()
+    parts = -(-points.count() * 8 * (len(first.features) if first else 0) // TRAINING_BYTES)
+    # held here and not by KMeans, which would deal the rows anew for each of its jobs and hold a partition as one block
+    points = points.repartition(max(parts, points.sparkSession.sparkContext.defaultParallelism)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = KMeans(k=max(2, nlist), seed=seed, maxIter=iterations, featuresCol="features").fit(points)
+    finally:
+        points.unpersist()
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     return vectors.sparkSession.createDataFrame(rows, f"{CELL} int, centroid array<double>")
 

@@ -211,3 +211,23 @@ def test_shipped_search_takes_few_vectors_at_a_time(monkeypatch):
     sliced = search.BestK(block, 5, ["key"])
     sliced.add(batch, "v")
     assert sliced.best.equals(whole.best) and max(seen) <= 800
+
+
+def test_training_partitions_are_bounded_by_bytes(spark, monkeypatch):
+    from pyspark.ml.clustering import KMeans
+    from passagemill.operators import ivf
+
+    rng = np.random.default_rng(9)
+    table = frame(spark, [(i, rng.normal(size=16).tolist()) for i in range(2000)], "vec_id")
+    seen, fit = [], KMeans.fit
+
+    def counted(self, points):
+        seen.extend(r["n"] for r in points.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+        return fit(self, points)
+
+    monkeypatch.setattr(KMeans, "fit", counted)
+    monkeypatch.setattr(ivf, "TRAINING_BYTES", 100 * 16 * 8)
+    cells = train_centroids(table, 4, iterations=1)
+    assert cells.count() == 4 and sum(seen) == 2000 and max(seen) <= 200
+    with pytest.raises(Exception):  # nothing to train on
+        train_centroids(table.limit(0), 4)
