@@ -102,6 +102,19 @@ def test_run_layout_keeps_the_latest_run_of_each_source(spark, tmp_path):
     assert got == [("a", "new"), ("b", "b")]
 
 
+def test_a_single_run_is_read_without_a_shuffle(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    write_chunk_run(spark.createDataFrame([("a", "a", 0, "old"), ("b", "b", 0, "b")], CHUNK), path, "r1")
+    one = read_chunk_runs(spark, path)
+    assert "Exchange" not in plan(one)
+    assert sorted((r["source_key"], r["text"]) for r in one.collect()) == [("a", "old"), ("b", "b")]
+    write_chunk_run(spark.createDataFrame([("a", "a", 0, "new")], CHUNK), path, "r2")
+    two = read_chunk_runs(spark, path)
+    assert two.columns == one.columns and "Join" in plan(two)
+    assert sorted((r["source_key"], r["text"]) for r in two.collect()) == [("a", "new"), ("b", "b")]
+
+
 def rows_of(spark, n, dim=2):
     df = spark.createDataFrame(
         [("f.pdf", i, f"t{i}", [float(i)] * dim) for i in range(n)],
