@@ -6,7 +6,7 @@ with the partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,12 @@ from ..functions.vectors import has_dim
 _MOST_WRITERS = 50_000
 #: Memory of the rows of a file, and so of the task that writes it.
 _FILE_BYTES = 128 * 1024 * 1024
+#: Bytes of a row group. Readers and writers hold one of each task in memory that no limit of Spark's counts.
+_ROW_GROUP_BYTES = 32 * 1024 * 1024
+#: Rows that a loaded collection holds as one object. Java's serializer keeps the last hundred that it wrote, so when blocks go to
+#: disk, objects of Spark's default (10 000 rows, about 4 MB) add hundreds of MB a task that no limit counts.
+_LOADED_ROWS = 100
+_LOADED_ROWS_SETTING = "spark.sql.inMemoryColumnarStorage.batchSize"
 COLUMNS = ("id", "source_file", "chunk_index", "text", "embedding")
 
 
@@ -117,6 +123,10 @@ def even_files(df: DataFrame, column: str, rows_per_file: int, bytes_per_file: i
     return spread_out.repartitionById(writers, F.pmod(file, F.lit(writers)).cast("int")).drop("__parts", "__first", "__value")
 
 
+def _writer(df: DataFrame) -> DataFrameWriter:
+    return df.write.format("parquet").option("parquet.block.size", _ROW_GROUP_BYTES)
+
+
 def create_or_replace(
     df: DataFrame, config: CollectionConfig, partition_by: str | None = None, rows_per_file: int = 1_000_000
 ) -> None:
@@ -131,17 +141,17 @@ def create_or_replace(
     side, laid = (f"`{config.database}`.`{config.name}__{x}`" for x in ("new", "laid"))
     for name in (side, laid):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-    df.write.format("parquet").saveAsTable(side)
+    _writer(df).saveAsTable(side)
     if partition_by is None:
         spark.sql(f"DROP TABLE IF EXISTS {full_name(config)}")
         spark.sql(f"ALTER TABLE {side} RENAME TO {full_name(config)}")
         return
     table = even_files(spark.table(side), partition_by, rows_per_file)
-    table.write.format("parquet").partitionBy(partition_by).saveAsTable(laid)
+    _writer(table).partitionBy(partition_by).saveAsTable(laid)
     spark.sql(f"DROP TABLE {side}")
     spark.sql(f"DROP TABLE IF EXISTS {full_name(config)}")
     # a rename would leave the catalog's partitions at their old place
-    spark.table(laid).write.format("parquet").partitionBy(partition_by).saveAsTable(full_name(config))
+    _writer(spark.table(laid)).partitionBy(partition_by).saveAsTable(full_name(config))
     spark.sql(f"DROP TABLE {laid}")
 
 
@@ -150,13 +160,9 @@ def append(
 ) -> None:
     """Add rows. With ``partition_by``, ``df`` must be a stored table."""
     if partition_by is None:
-        df.write.mode("append").option("maxRecordsPerFile", rows_per_file).format("parquet").saveAsTable(
-            full_name(config)
-        )
+        _writer(df).mode("append").option("maxRecordsPerFile", rows_per_file).saveAsTable(full_name(config))
         return
-    even_files(df, partition_by, rows_per_file).write.mode("append").format("parquet").partitionBy(
-        partition_by
-    ).saveAsTable(full_name(config))
+    _writer(even_files(df, partition_by, rows_per_file)).mode("append").partitionBy(partition_by).saveAsTable(full_name(config))
 
 
 def open_collection(spark: SparkSession, config: CollectionConfig) -> DataFrame:
@@ -172,8 +178,15 @@ def describe(spark: SparkSession, config: CollectionConfig) -> DataFrame:
 
 
 def load(spark: SparkSession, config: CollectionConfig) -> DataFrame:
-    """Keep the collection in executor memory (spilling to disk) for repeated searches."""
-    return open_collection(spark, config).cache()
+    """Keep the collection in executor memory (spilling to disk) for repeated searches. It is filled at once, in small objects."""
+    rows = spark.conf.get(_LOADED_ROWS_SETTING)
+    spark.conf.set(_LOADED_ROWS_SETTING, str(_LOADED_ROWS))
+    try:
+        loaded = open_collection(spark, config).cache()
+        loaded.count()
+    finally:
+        spark.conf.set(_LOADED_ROWS_SETTING, rows)
+    return loaded
 
 
 def drop(spark: SparkSession, config: CollectionConfig) -> None:
